@@ -57,3 +57,17 @@ def sign_label(total: str | Column) -> Column:
 def money_double(c: str | Column, scale: int = 4) -> Column:
     """Decimal/avg result -> rounded double, the form used in reports."""
     return F.round(col_or(c), scale).cast("double")
+
+
+def cents(c: str | Column) -> Column:
+    """Exact 2-decimal money value as integer cents."""
+    return (col_or(c) * 100).cast("bigint")
+
+
+def half_up_ratio(num: str | Column, den: str | Column, scale: int = 4) -> Column:
+    """num / den for integer-valued inputs, rounded half-up on the exact
+    quotient (decimal(18,0) / decimal(18,0) keeps 19 fractional digits);
+    NULL when den is 0 or NULL.  Gives the same digits on every engine."""
+    n, d = col_or(num), col_or(den)
+    q = n.cast("decimal(18,0)") / d.cast("decimal(18,0)")
+    return F.when(d != 0, F.round(q, scale).cast("double"))

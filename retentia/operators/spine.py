@@ -164,10 +164,19 @@ def governing_subscription(subscriptions: DataFrame, needed: DataFrame, period:
     return days.groupBy("account_id", "observation_date").agg(F.max("cur").alias("gov"), F.max("prev").alias("gov_prev"))
 
 
-def _usage_rows(feature_usage: DataFrame, subscriptions: DataFrame, period: AnalysisPeriod) -> DataFrame:
+def _as_of(c: Column, period: AnalysisPeriod, lower: bool) -> Column:
+    """``c <= to`` (the as-of cut); with ``lower`` also ``c >= from`` - safe
+    inside the spine, whose rows all lie on/after the first window start."""
+    cond = c <= _date(period.last_to)
+    return cond & (c >= _date(period.first_from)) if lower else cond
+
+
+def _usage_rows(
+    feature_usage: DataFrame, subscriptions: DataFrame, period: AnalysisPeriod, lower: bool = True
+) -> DataFrame:
     u = feature_usage.select(
         "subscription_id", "usage_date", "usage_duration_secs", "error_count", "is_beta_feature"
-    ).where(F.col("usage_date").between(_date(period.first_from), _date(period.last_to)))
+    ).where(_as_of(F.col("usage_date"), period, lower))
     s = subscriptions.select("subscription_id", "account_id")
     return u.join(s, "subscription_id", "inner").select(
         "account_id",
@@ -178,10 +187,12 @@ def _usage_rows(feature_usage: DataFrame, subscriptions: DataFrame, period: Anal
     )
 
 
-def telemetry_rollup(feature_usage: DataFrame, subscriptions: DataFrame, period: AnalysisPeriod) -> DataFrame:
+def telemetry_rollup(
+    feature_usage: DataFrame, subscriptions: DataFrame, period: AnalysisPeriod, lower: bool = False
+) -> DataFrame:
     """Usage summed per (account, usage day) through the subscription's account."""
     return (
-        _usage_rows(feature_usage, subscriptions, period)
+        _usage_rows(feature_usage, subscriptions, period, lower)
         .groupBy("account_id", F.col("observation_date").alias("activity_date"))
         .agg(
             F.sum("u_time").cast("bigint").alias("daily_time_in_app"),
@@ -191,9 +202,9 @@ def telemetry_rollup(feature_usage: DataFrame, subscriptions: DataFrame, period:
     )
 
 
-def _ticket_rows(support_tickets: DataFrame, period: AnalysisPeriod) -> DataFrame:
+def _ticket_rows(support_tickets: DataFrame, period: AnalysisPeriod, lower: bool = True) -> DataFrame:
     d = F.to_date("submitted_at")
-    return support_tickets.where(d.between(_date(period.first_from), _date(period.last_to))).select(
+    return support_tickets.where(_as_of(d, period, lower)).select(
         "account_id",
         d.alias("observation_date"),
         F.when(F.col("ticket_id").isNotNull(), F.lit(1)).alias("t_n"),
@@ -202,10 +213,10 @@ def _ticket_rows(support_tickets: DataFrame, period: AnalysisPeriod) -> DataFram
     )
 
 
-def support_friction(support_tickets: DataFrame, period: AnalysisPeriod) -> DataFrame:
+def support_friction(support_tickets: DataFrame, period: AnalysisPeriod, lower: bool = False) -> DataFrame:
     """Tickets per (account, submission day): count, mean hours, mean CSAT."""
     return (
-        _ticket_rows(support_tickets, period)
+        _ticket_rows(support_tickets, period, lower)
         .groupBy("account_id", F.col("observation_date").alias("ticket_date"))
         .agg(
             F.count("t_n").alias("support_volume"),

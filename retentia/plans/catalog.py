@@ -189,3 +189,103 @@ QUERIES: dict[str, Query] = {
     "churned_account_arr": _dash(dash.churned_account_arr),
     "cross_filtered_velocity": q_cross_filtered_velocity,
 }
+
+
+# -- model, scores, drivers ----------------------------------------------------
+
+_MODEL_RUNS: dict[tuple, dict] = {}
+
+
+def model_run(spark: SparkSession, sf: str) -> dict:
+    """Features -> split -> GBT fit -> held-out report -> active scores ->
+    tree drivers, once per (session, input folder)."""
+    from retentia.operators import drivers, model
+
+    key = (id(spark._jsparkSession), sf.rstrip("/"))
+    if key not in _MODEL_RUNS:
+        fact = fact_table(spark, sf)
+        features = feat.feature_window(fact)
+        sp = split.cohort_split(features)
+        frame = model.model_frame(sp).join(sp.select("account_id", "split"), "account_id")
+        pipe = model.fit_gbt(frame)
+        scored = model.score_active(pipe, features)
+        _MODEL_RUNS[key] = {
+            "features": features,
+            "frame": frame,
+            "pipeline": pipe,
+            "scored": scored,
+            "drivers": drivers.tree_drivers(spark, pipe, scored),
+            "fact": fact,
+        }
+    return _MODEL_RUNS[key]
+
+
+def q_model_report(spark, sf):
+    from retentia.operators import model
+
+    r = model_run(spark, sf)
+    return model.evaluate(r["pipeline"], r["frame"])
+
+
+def q_risk_scores(spark, sf):
+    from retentia.operators import roster
+
+    r = model_run(spark, sf)
+    return roster.risk_roster(r["scored"], r["drivers"], r["fact"])
+
+
+def q_risk_drivers_tree(spark, sf):
+    return model_run(spark, sf)["drivers"]
+
+
+def _linear_scores(spark, sf) -> DataFrame:
+    """Score table of the deterministic linear score for never-churned accounts."""
+    from retentia.operators import drivers, roster
+
+    fact = fact_table(spark, sf)
+    f = feat.feature_window(fact).where(F.col("target_churn_flag") == 0)
+    d = drivers.linear_drivers(f)
+    scored = f.select("account_id", "industry", "active_mrr_run_rate").join(d, "account_id")
+    return roster.risk_roster(scored, d.select("account_id", "primary_risk_drivers"), fact)
+
+
+def q_risk_drivers_linear(spark, sf):
+    from retentia.operators import drivers
+
+    f = feat.feature_window(fact_table(spark, sf)).where(F.col("target_churn_flag") == 0)
+    return drivers.linear_drivers(f)
+
+
+def q_risk_roster(spark, sf):
+    return _linear_scores(spark, sf)
+
+
+def q_portfolio_kpis(spark, sf):
+    from retentia.operators import roster
+
+    return roster.portfolio_kpis(_linear_scores(spark, sf))
+
+
+def q_account_card(spark, sf):
+    from retentia.operators import roster
+
+    s = _linear_scores(spark, sf)
+    top = s.select(F.min_by("account_id", F.struct(-F.col("flight_risk_score"), F.col("account_id")))).scalar()
+    return roster.account_card(s, top)
+
+
+QUERIES.update(
+    {
+        "risk_drivers_linear": q_risk_drivers_linear,
+        "risk_roster": q_risk_roster,
+        "portfolio_kpis": q_portfolio_kpis,
+        "account_card": q_account_card,
+    }
+)
+
+# Model-based queries: no SQL oracle (row-count check only).
+MODEL_QUERIES: dict[str, Query] = {
+    "model_report": q_model_report,
+    "risk_scores": q_risk_scores,
+    "risk_drivers_tree": q_risk_drivers_tree,
+}

@@ -77,3 +77,15 @@ def is_local_path(path: str) -> bool:
 def ensure_parent(path: str) -> None:
     if path.startswith("/"):
         os.makedirs(os.path.dirname(path), exist_ok=True)
+
+
+def ship_by_value(*modules) -> None:
+    """Pickle functions of these modules by value, so Python workers that do
+    not have this package installed can run them (mapInPandas / pandas UDFs)."""
+    from pyspark import cloudpickle
+
+    for m in modules:
+        try:
+            cloudpickle.register_pickle_by_value(m)
+        except ValueError:  # already registered
+            pass

@@ -83,7 +83,9 @@ def account_profile(spine: DataFrame) -> DataFrame:
 def feature_window(
     spine: DataFrame, days: int = config.FEATURE_WINDOW_DAYS, recent: int = config.FEATURE_RECENT_DAYS
 ) -> DataFrame:
-    latest = spine.select(F.max(DATE)).scalar()
+    from retentia.plans.dashboard import latest_date
+
+    latest = latest_date(spine)
     prof = account_profile(spine).withColumnRenamed("target_churn_flag", "_label").withColumn(
         "eval_end_date", F.coalesce(F.date_sub(F.col("exit_date"), 1), latest)
     )

@@ -70,11 +70,11 @@ def q_support_friction(spark, sf):
 
 
 def q_daily_spine(spark, sf):
-    return decimals_to_double(fact_table(spark, sf))
+    return decimals_to_double(fact_table(spark, sf).drop("obs_ym"))
 
 
 def q_daily_spine_as_of_run(spark, sf):
-    return decimals_to_double(fact_table(spark, sf, mode=spine.AS_OF_RUN_MODE))
+    return decimals_to_double(fact_table(spark, sf, mode=spine.AS_OF_RUN_MODE).drop("obs_ym"))
 
 
 # -- quality -----------------------------------------------------------------

@@ -36,11 +36,38 @@ DATE = "observation_date"
 MRR = "active_mrr_run_rate"
 
 
+YM = "obs_ym"  # month partition column of the stored fact table
+
+
 def latest_date(spine: DataFrame) -> Column:
-    """{FIXED : MAX(observation_date)} as a scalar subquery."""
+    """{FIXED : MAX(observation_date)} as a scalar subquery.  On the stored
+    fact table the latest month comes from the partition column alone (no
+    column data is read) and only that month is scanned for the day."""
+    if YM in spine.columns:
+        last_ym = spine.select(F.max(YM)).scalar()
+        return spine.where(F.col(YM) == last_ym).select(F.max(DATE)).scalar()
     return spine.select(F.max(DATE)).scalar()
 
 
+def _month_of(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
+def on_latest(spine: DataFrame) -> DataFrame:
+    """Rows of the latest date; prunes to its month partition at run time."""
+    latest = latest_date(spine)
+    out = spine.where(F.col(DATE) == latest)
+    return out.where(F.col(YM) == _month_of(latest)) if YM in spine.columns else out
+
+
+def since(spine: DataFrame, days: int) -> DataFrame:
+    """Rows with observation_date >= latest - days (days + 1 dates); the same
+    bound on the month partition column prunes older months at run time."""
+    lower = F.date_sub(latest_date(spine), days)
+    out = spine.where(F.col(DATE) >= lower)
+    return out.where(F.col(YM) >= _month_of(lower)) if YM in spine.columns else out
+
+
 def trailing(spine: DataFrame, days: int) -> Column:
     """observation_date >= latest - days (inclusive: days + 1 dates)."""
     return F.col(DATE) >= F.date_sub(latest_date(spine), days)
@@ -92,16 +119,12 @@ def cross_filter(
 
 def total_arr(spine: DataFrame) -> DataFrame:
     """G1: sum(MRR) x 12 on the latest date."""
-    latest = latest_date(spine)
-    return spine.where(F.col(DATE) == latest).agg(
-        F.max(DATE).alias("latest_date"), money_double(F.sum(MRR) * 12).alias("total_arr")
-    )
+    return on_latest(spine).agg(F.max(DATE).alias("latest_date"), money_double(F.sum(MRR) * 12).alias("total_arr"))
 
 
 def arpa(spine: DataFrame) -> DataFrame:
     """Current ARR / distinct paying accounts on the latest date."""
-    latest = latest_date(spine)
-    g = spine.where(F.col(DATE) == latest).agg(
+    g = on_latest(spine).agg(
         (F.sum(MRR) * 12).alias("arr"),
         F.countDistinct(F.when(F.col(MRR) > 0, F.col("account_id"))).alias("paying_accounts"),
     )
@@ -114,14 +137,12 @@ def arpa(spine: DataFrame) -> DataFrame:
 
 def velocity_30d(spine: DataFrame, days: int = config.TRAILING_SHORT_DAYS) -> DataFrame:
     """Net MRR change over the trailing window."""
-    return spine.where(trailing(spine, days)).agg(money_double(F.sum("net_mrr_delta")).alias("net_mrr_velocity"))
+    return since(spine, days).agg(money_double(F.sum("net_mrr_delta")).alias("net_mrr_velocity"))
 
 
 def app_minutes_30d(spine: DataFrame, days: int = config.TRAILING_SHORT_DAYS) -> DataFrame:
     """Mean daily in-app minutes over the trailing window."""
-    g = spine.where(trailing(spine, days)).agg(
-        F.sum("daily_time_in_app").alias("secs"), F.count("daily_time_in_app").alias("n")
-    )
+    g = since(spine, days).agg(F.sum("daily_time_in_app").alias("secs"), F.count("daily_time_in_app").alias("n"))
     return g.select(half_up_ratio("secs", F.col("n") * 60).alias("daily_app_minutes"))
 
 
@@ -185,7 +206,7 @@ def growth_multiple(spine: DataFrame) -> DataFrame:
 def churned_arr_by_tier(spine: DataFrame, days: int = config.TRAILING_LONG_DAYS) -> DataFrame:
     """G7 / G-g: ARR on churn rows of the trailing window, by tier, with
     percent of total (a table calculation over the few tier rows)."""
-    rows = spine.where((F.col("target_churn_flag") == 1) & trailing(spine, days))
+    rows = since(spine, days).where(F.col("target_churn_flag") == 1)
     g = rows.groupBy("baseline_tier").agg(F.sum(F.col(MRR) * 12).alias("arr"))
     total = F.sum("arr").over(W.partitionBy())  # over <= number of tiers rows
     return g.select(

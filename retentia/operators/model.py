@@ -168,3 +168,15 @@ def score_active(model: PipelineModel, features: DataFrame) -> DataFrame:
     """Accounts that never churned, with their churn probability."""
     active = model_frame(features.where(F.col("target_churn_flag") == 0))
     return predict(model, active)
+
+
+def save_models(pipeline: PipelineModel, curve: DataFrame, base: str) -> dict[str, str]:
+    """The fitted pipeline (Spark ML format) and the survival curve (Parquet)."""
+    paths = {"classifier": f"{base}/classifier", "survival_curve": f"{base}/survival_curve"}
+    pipeline.write().overwrite().save(paths["classifier"])
+    curve.write.mode("overwrite").parquet(paths["survival_curve"])
+    return paths
+
+
+def load_classifier(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

@@ -86,6 +86,18 @@ def account_card(scores: DataFrame, account_id) -> DataFrame:
     return scores.where(F.col("account_id") == account_id).select(*config.SCORE_COLUMNS)
 
 
+def account_card_display(card: DataFrame) -> DataFrame:
+    """The card's display strings (percent with one decimal, money with
+    thousands separators and two decimals)."""
+    return card.select(
+        "account_id",
+        F.format_string("Account %s (%s) has been active for %d days.", "account_id", "industry", "tenure_days").alias("headline"),
+        F.concat(F.format_number(F.col("flight_risk_score") * 100, 1), F.lit("%")).alias("flight_risk"),
+        F.concat(F.lit("$"), F.format_number("active_mrr_run_rate", 2)).alias("monthly_revenue"),
+        F.col("primary_risk_drivers").alias("intervention_triggers"),
+    )
+
+
 def write_scores(scores: DataFrame, path: str) -> None:
     """A10: score file, highest score first, header, no index column."""
     (

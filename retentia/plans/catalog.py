@@ -188,6 +188,7 @@ QUERIES: dict[str, Query] = {
     "at_risk_arr": _dash(dash.at_risk_arr),
     "churned_account_arr": _dash(dash.churned_account_arr),
     "cross_filtered_velocity": q_cross_filtered_velocity,
+    "recognized_churned_arr": _dash(dash.recognized_churned_arr),
 }
 
 

@@ -217,6 +217,15 @@ def churned_arr_by_tier(spine: DataFrame, days: int = config.TRAILING_LONG_DAYS)
     )
 
 
+def recognized_churned_arr(spine: DataFrame) -> DataFrame:
+    """G-i: ARR on every churn row (no trailing window), by tier."""
+    rows = spine.where(F.col("target_churn_flag") == 1)
+    return rows.groupBy("baseline_tier").agg(
+        money_double(F.sum(F.col(MRR) * 12)).alias("recognized_churned_arr"),
+        F.count(F.lit(1)).alias("churn_rows"),
+    )
+
+
 def churned_account_arr(spine: DataFrame, days: int = config.TRAILING_LONG_DAYS) -> DataFrame:
     """G-a/b/c: per account - churned in the trailing window, its peak ARR,
     and the ARR on its trailing-window churn rows (accounts with a flag only)."""

@@ -46,8 +46,34 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*schemas.SPINE_COLUMNS, MONTH_COL)
 
 
+NAMESPACES = ("retentia_raw", "retentia_dimensions", "retentia_features")
+
+
+def ensure_namespaces(spark: SparkSession) -> None:
+    """The three databases (raw, dimensions, features)."""
+    for ns in NAMESPACES:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}")
+
+
 def default_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Buckets of the fact table: ``spark.retentia.fact.buckets`` if set,
+    else the session's shuffle partition count (size it to the cluster)."""
+    n = spark.conf.get("spark.retentia.fact.buckets", None)
+    return int(n) if n else int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def backfill(spark: SparkSession, raw, period, current_path: str | None = None, mode: str = "window") -> str:
+    """Refresh the fact table window by window, as the original
+    procedure was called once per window; returns the final version path.
+    Each window's rows come from one spine job over that window only."""
+    from retentia.config import AnalysisPeriod
+    from retentia.operators.spine import daily_spine
+
+    path = current_path
+    for w_from, w_to in period.windows:
+        one = AnalysisPeriod(period.cal_start, period.cal_end, ((w_from, w_to),))
+        path = refresh_window(spark, path, daily_spine(raw, one, mode), w_from, w_to)
+    return path
 
 
 def materialize(spark: SparkSession, spine: DataFrame, name: str = "fact_daily_spine", buckets: int | None = None) -> DataFrame:

@@ -109,3 +109,18 @@ def test_calendar_leap_year_and_reference_profile(spark):
     sp = rows_by_day(daily_spine(raw(spark, [account("a", "2024-01-01")], [sub("s", "a", "2024-01-01", mrr="100.00")]),
                                  AnalysisPeriod.quarters("2024-01-01", "2024-03-31", [("2024-01-01", "2024-03-31")])))
     assert sp[d("2024-02-10")]["daily_billing_accrual"] == Decimal("3.4483")  # 100 / 29
+
+
+def test_backfill_equals_single_window_mode_job(spark):
+    from retentia.sources.store import read_fact
+
+    period = AnalysisPeriod.quarters("2024-01-01", "2024-06-30", [("2024-01-01", "2024-03-31"), ("2024-04-01", "2024-06-30")])
+    from helpers import churn
+
+    r = raw(spark, [account("a", "2024-01-01"), account("b", "2024-02-01")],
+            [sub("s", "a", "2024-01-01", mrr="10.00"), sub("t", "b", "2024-02-01", "2024-05-01", mrr="20.00")],
+            churns=[churn("c", "b", "2024-05-10")])
+    path = store.backfill(spark, r, period)
+    got = sorted(tuple(x) for x in read_fact(spark, path).drop("obs_ym").collect())
+    want = sorted(tuple(x) for x in daily_spine(r, period).collect())
+    assert got == want

@@ -134,6 +134,18 @@ _GOV_ORDER = ("start_date", "mrr_amount", "subscription_id")
 _GOV_PAYLOAD = ("downgrade_flag", "billing_frequency", "auto_renew_flag", "is_trial")
 
 
+def _spread(df: DataFrame, key: str = "account_id") -> DataFrame:
+    """Hash-partition rows that are about to be exploded into many rows.
+
+    The input size of a scan says nothing about the work after ``explode``
+    (one subscription becomes up to one row per calendar day), so the rows
+    are spread over the shuffle partition count by key *before* exploding.
+    An explicit count keeps AQE from coalescing this small pre-explode
+    shuffle back into one task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
+
+
 def subscription_days(subscriptions: DataFrame, needed: DataFrame, period: AnalysisPeriod) -> DataFrame:
     """(account_id, observation_date, cur, prev): for every needed day x of an
     account, each subscription active on x (``cur``) or on x-1 (``prev``)
@@ -143,7 +155,7 @@ def subscription_days(subscriptions: DataFrame, needed: DataFrame, period: Analy
         (F.col("start_date") <= _date(period.last_to))
         & (F.col("end_date").isNull() | (F.col("end_date") >= F.date_sub(_date(period.first_from), 1)))
     )
-    s = s.join(needed, "account_id", "inner")
+    s = _spread(s).join(needed, "account_id", "inner")
     a = F.greatest(F.col("start_date"), F.col("need_lo"))
     b = F.least(F.coalesce(F.date_add(F.col("end_date"), 1), F.col("need_hi")), F.col("need_hi"))
     s = s.where(a <= b).select("*", F.explode(F.sequence(a, b)).alias("observation_date"))
@@ -239,7 +251,7 @@ def spine_bounds(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE
 def daily_spine(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE) -> DataFrame:
     """The daily fact table (schema ``retentia.schemas.DAILY_SPINE``)."""
     p = _resolve(period, mode)
-    bounds = account_windows(raw.accounts, latest_churn(raw.churn_events, p), p)
+    bounds = _spread(account_windows(raw.accounts, latest_churn(raw.churn_events, p), p))
     needed = bounds.groupBy("account_id").agg(F.min("lo").alias("need_lo"), F.max("hi").alias("need_hi"))
 
     markers = spine_days(bounds).withColumn("is_spine", F.lit(1))

@@ -62,9 +62,11 @@ def orphans(raw: RawTables) -> DataFrame:
     t = raw.as_dict()
     parts = []
     for child, ck, parent, pk in FOREIGN_KEYS:
-        c = t[child].select(F.col(ck).alias("_k")).where(F.col("_k").isNotNull())
+        # Distinct child keys with their row counts first: a key referenced by
+        # a huge share of the rows reaches the anti join as one row.
+        c = t[child].where(F.col(ck).isNotNull()).groupBy(F.col(ck).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
         p = t[parent].select(F.col(pk).alias("_k"))
-        n = c.join(p, "_k", "left_anti").agg(F.count(F.lit(1)).alias("orphan_rows"))
+        n = c.join(p, "_k", "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
         parts.append(n.select(F.lit(f"{child}.{ck} -> {parent}.{pk}").alias("relation"), "orphan_rows"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -93,18 +95,28 @@ def dropped_activity(raw: RawTables, spine: DataFrame, period: AnalysisPeriod) -
     (before signup, after churn, orphan subscription)."""
     lo, hi = F.lit(str(period.first_from)).cast("date"), F.lit(str(period.last_to)).cast("date")
     keys = spine.select("account_id", "observation_date")
-    u = raw.feature_usage.where(F.col("usage_date").between(lo, hi)).select("subscription_id", F.col("usage_date").alias("observation_date"))
+    # Rows per (subscription, day) and per (account, day) first, so a hot key
+    # reaches each join as one row with its count.
+    u = raw.feature_usage.where(F.col("usage_date").between(lo, hi)).groupBy(
+        "subscription_id", F.col("usage_date").alias("observation_date")
+    ).agg(F.count(F.lit(1)).alias("_n"))
     u = u.join(raw.subscriptions.select("subscription_id", "account_id"), "subscription_id", "left")
-    orphan_u = u.where(F.col("account_id").isNull()).agg(F.count(F.lit(1)).alias("n"))
+    orphan_u = u.where(F.col("account_id").isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n"))
     off_u = u.where(F.col("account_id").isNotNull()).join(keys, ["account_id", "observation_date"], "left_anti")
     t = raw.support_tickets.select("account_id", F.to_date("submitted_at").alias("observation_date"))
-    t = t.where(F.col("observation_date").between(lo, hi))
+    t = t.where(F.col("observation_date").between(lo, hi)).groupBy("account_id", "observation_date").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
     off_t = t.join(keys, ["account_id", "observation_date"], "left_anti")
     return reduce(
         DataFrame.unionByName,
         [
             orphan_u.select(F.lit("usage_orphan_subscription").alias("kind"), F.col("n").alias("dropped_rows")),
-            off_u.agg(F.count(F.lit(1)).alias("n")).select(F.lit("usage_outside_panel").alias("kind"), F.col("n").alias("dropped_rows")),
-            off_t.agg(F.count(F.lit(1)).alias("n")).select(F.lit("tickets_outside_panel").alias("kind"), F.col("n").alias("dropped_rows")),
+            off_u.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n")).select(
+                F.lit("usage_outside_panel").alias("kind"), F.col("n").alias("dropped_rows")
+            ),
+            off_t.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n")).select(
+                F.lit("tickets_outside_panel").alias("kind"), F.col("n").alias("dropped_rows")
+            ),
         ],
     )

@@ -134,7 +134,7 @@ _GOV_ORDER = ("start_date", "mrr_amount", "subscription_id")
 _GOV_PAYLOAD = ("downgrade_flag", "billing_frequency", "auto_renew_flag", "is_trial")
 
 
-def _spread(df: DataFrame, key: str = "account_id") -> DataFrame:
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition rows that are about to be exploded into many rows.
 
     The input size of a scan says nothing about the work after ``explode``
@@ -143,7 +143,7 @@ def _spread(df: DataFrame, key: str = "account_id") -> DataFrame:
     An explicit count keeps AQE from coalescing this small pre-explode
     shuffle back into one task."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key)
+    return df.repartition(n, *(keys or ("account_id",)))
 
 
 def subscription_days(subscriptions: DataFrame, needed: DataFrame, period: AnalysisPeriod) -> DataFrame:
@@ -155,7 +155,10 @@ def subscription_days(subscriptions: DataFrame, needed: DataFrame, period: Analy
         (F.col("start_date") <= _date(period.last_to))
         & (F.col("end_date").isNull() | (F.col("end_date") >= F.date_sub(_date(period.first_from), 1)))
     )
-    s = _spread(s).join(needed, "account_id", "inner")
+    # (account, subscription) so that one account with very many subscriptions
+    # is still exploded by many tasks; the join below keeps that spread when
+    # ``needed`` is broadcast, and AQE splits the hot partition otherwise.
+    s = _spread(s, "account_id", "subscription_id").join(needed, "account_id", "inner")
     a = F.greatest(F.col("start_date"), F.col("need_lo"))
     b = F.least(F.coalesce(F.date_add(F.col("end_date"), 1), F.col("need_hi")), F.col("need_hi"))
     s = s.where(a <= b).select("*", F.explode(F.sequence(a, b)).alias("observation_date"))
@@ -186,16 +189,20 @@ def _as_of(c: Column, period: AnalysisPeriod, lower: bool) -> Column:
 def _usage_rows(
     feature_usage: DataFrame, subscriptions: DataFrame, period: AnalysisPeriod, lower: bool = True
 ) -> DataFrame:
+    """Usage summed per (subscription, day) *before* the join to subscriptions:
+    a subscription then brings at most one row per day to the join, however
+    many events it has (map-side partial sums do the reduction)."""
     u = feature_usage.select(
         "subscription_id", "usage_date", "usage_duration_secs", "error_count", "is_beta_feature"
     ).where(_as_of(F.col("usage_date"), period, lower))
+    u = u.groupBy("subscription_id", "usage_date").agg(
+        F.sum("usage_duration_secs").alias("u_time"),
+        F.sum("error_count").alias("u_err"),
+        F.sum("is_beta_feature").alias("u_beta"),
+    )
     s = subscriptions.select("subscription_id", "account_id")
     return u.join(s, "subscription_id", "inner").select(
-        "account_id",
-        F.col("usage_date").alias("observation_date"),
-        F.col("usage_duration_secs").alias("u_time"),
-        F.col("error_count").alias("u_err"),
-        F.col("is_beta_feature").alias("u_beta"),
+        "account_id", F.col("usage_date").alias("observation_date"), "u_time", "u_err", "u_beta"
     )
 
 

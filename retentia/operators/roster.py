@@ -16,7 +16,7 @@ class ScoreContractError(ValueError):
     pass
 
 
-def risk_roster(scored: DataFrame, drivers: DataFrame, spine: DataFrame) -> DataFrame:
+def risk_roster(scored: DataFrame, drivers: DataFrame | None, spine: DataFrame) -> DataFrame:
     """The six score-file columns; tenure = panel's latest date - the
     account's first panel date.  Highest score first (account_id breaks ties)."""
     from retentia.plans.dashboard import latest_date
@@ -24,7 +24,11 @@ def risk_roster(scored: DataFrame, drivers: DataFrame, spine: DataFrame) -> Data
     latest = latest_date(spine)
     starts = spine.groupBy("account_id").agg(F.min(DATE).alias("first_seen"))
     r = scored.select("account_id", "industry", "active_mrr_run_rate", "flight_risk_score")
-    r = r.join(drivers, "account_id", "left").join(starts, "account_id", "left")
+    if drivers is not None:
+        r = r.join(drivers, "account_id", "left")
+    else:  # scores already carry their drivers
+        r = scored.select("account_id", "industry", "active_mrr_run_rate", "flight_risk_score", "primary_risk_drivers")
+    r = r.join(starts, "account_id", "left")
     return r.select(
         "account_id",
         "industry",

@@ -239,15 +239,26 @@ def q_risk_drivers_tree(spark, sf):
     return model_run(spark, sf)["drivers"]
 
 
+_SCORES: dict[tuple, DataFrame] = {}
+
+
 def _linear_scores(spark, sf) -> DataFrame:
-    """Score table of the deterministic linear score for never-churned accounts."""
+    """Score table of the deterministic linear score for never-churned
+    accounts, written once per session to the shared folder (the app and
+    KPIs read a written score table, as the original app reads its file)."""
     from retentia.operators import drivers, roster
+    from retentia.session import scratch_path
 
-    fact = fact_table(spark, sf)
-    f = feat.feature_window(fact).where(F.col("target_churn_flag") == 0)
-    d = drivers.linear_drivers(f)
-    scored = f.select("account_id", "industry", "active_mrr_run_rate").join(d, "account_id")
-    return roster.risk_roster(scored, d.select("account_id", "primary_risk_drivers"), fact)
+    key = (id(spark._jsparkSession), sf.rstrip("/"))
+    if key not in _SCORES:
+        fact = fact_table(spark, sf)
+        f = feat.feature_window(fact).where(F.col("target_churn_flag") == 0)
+        scored = drivers.linear_drivers(f, keep=("industry", "active_mrr_run_rate"))
+        table = roster.risk_roster(scored, None, fact)
+        path = scratch_path(spark, "linear_scores")
+        table.write.parquet(path)
+        _SCORES[key] = spark.read.parquet(path)
+    return _SCORES[key]
 
 
 def q_risk_drivers_linear(spark, sf):

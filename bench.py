@@ -19,7 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from retentia.config import DEFAULT_PERIOD  # noqa: E402
-from retentia.operators.spine import AS_OF_RUN_MODE, daily_spine  # noqa: E402
+from retentia.operators.spine import AS_OF_RUN_MODE, daily_spine, spine_row_count  # noqa: E402
 from retentia.plans import catalog  # noqa: E402
 from retentia.plans import context  # noqa: E402
 from retentia.session import build_session  # noqa: E402
@@ -68,7 +68,7 @@ def main() -> None:
 
     raw = context.raw_tables(spark, sf_dir)
     t = time.time()
-    fact = materialize(spark, daily_spine(raw, DEFAULT_PERIOD))
+    fact = materialize(spark, daily_spine(raw, DEFAULT_PERIOD), rows=spine_row_count(raw, DEFAULT_PERIOD))
     times["daily_spine_build"] = time.time() - t
     context._FACTS[(id(spark._jsparkSession), sf_dir, "window", DEFAULT_PERIOD)] = fact
 

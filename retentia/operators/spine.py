@@ -255,6 +255,15 @@ def spine_bounds(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE
     return account_windows(raw.accounts, latest_churn(raw.churn_events, p), p)
 
 
+def spine_row_count(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE) -> int:
+    """Exact number of fact rows, from the per-(account, window) day ranges
+    alone - a small job over accounts and churn events, used to size the
+    fact table's buckets before the spine is built."""
+    b = spine_bounds(raw, period, mode)
+    n = b.agg(F.sum(F.datediff("hi", "lo") + 1).alias("n")).first()["n"]
+    return int(n or 0)
+
+
 def daily_spine(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE) -> DataFrame:
     """The daily fact table (schema ``retentia.schemas.DAILY_SPINE``)."""
     p = _resolve(period, mode)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from retentia.config import DEFAULT_PERIOD, AnalysisPeriod
-from retentia.operators.spine import WINDOW_MODE, daily_spine
+from retentia.operators.spine import WINDOW_MODE, daily_spine, spine_row_count
 from retentia.session import apply_runtime_conf
 from retentia.sources.adapter import raw_from_test_tables
 from retentia.sources.raw import RawTables
@@ -31,8 +31,9 @@ def fact_table(
 ) -> DataFrame:
     key = (id(spark._jsparkSession), sf_dir.rstrip("/"), mode, period)
     if key not in _FACTS:
-        spine = daily_spine(raw_tables(spark, sf_dir), period, mode)
-        _FACTS[key] = materialize(spark, spine)
+        raw = raw_tables(spark, sf_dir)
+        rows = spine_row_count(raw, period, mode)
+        _FACTS[key] = materialize(spark, daily_spine(raw, period, mode), rows=rows)
     return _FACTS[key]
 
 

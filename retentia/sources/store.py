@@ -55,11 +55,22 @@ def ensure_namespaces(spark: SparkSession) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}")
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """Buckets of the fact table: ``spark.retentia.fact.buckets`` if set,
-    else the session's shuffle partition count (size it to the cluster)."""
+ROWS_PER_BUCKET = 4_000_000  # ~100-200 MB of Parquet per bucket across all months
+
+
+def default_buckets(spark: SparkSession, rows: int | None = None) -> int:
+    """Buckets of the fact table: ``spark.retentia.fact.buckets`` if set;
+    else rows / ROWS_PER_BUCKET, at least the default parallelism (so
+    per-account scans keep every core busy) and at most the shuffle
+    partition count (size that to the cluster)."""
     n = spark.conf.get("spark.retentia.fact.buckets", None)
-    return int(n) if n else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n:
+        return int(n)
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if rows is None:
+        return cap
+    floor_ = min(cap, spark.sparkContext.defaultParallelism)
+    return max(floor_, min(cap, -(-rows // ROWS_PER_BUCKET)))
 
 
 def backfill(spark: SparkSession, raw, period, current_path: str | None = None, mode: str = "window") -> str:
@@ -76,7 +87,9 @@ def backfill(spark: SparkSession, raw, period, current_path: str | None = None,
     return path
 
 
-def materialize(spark: SparkSession, spine: DataFrame, name: str = "fact_daily_spine", buckets: int | None = None) -> DataFrame:
+def materialize(
+    spark: SparkSession, spine: DataFrame, name: str = "fact_daily_spine", buckets: int | None = None, rows: int | None = None
+) -> DataFrame:
     """Write the fact table as an external table in a fresh folder under the
     shared checkpoint folder, partitioned by month and bucketed by account.
 
@@ -87,7 +100,7 @@ def materialize(spark: SparkSession, spine: DataFrame, name: str = "fact_daily_s
       shuffle.  Bucketing is skew-safe here: an account has at most one row
       per calendar day.
     """
-    n = buckets or default_buckets(spark)
+    n = buckets or default_buckets(spark, rows)
     path = scratch_path(spark, name)
     table = "retentia_" + path.rsplit("/", 1)[-1].replace("-", "_")
     (

@@ -66,7 +66,9 @@ def main() -> None:
     if os.path.isdir(warm):
         run(catalog.QUERIES["total_arr"](spark, warm))
 
+    t = time.time()
     raw = context.raw_tables(spark, sf_dir)
+    times["load_raw_tables"] = time.time() - t
     t = time.time()
     fact = materialize(spark, daily_spine(raw, DEFAULT_PERIOD), rows=spine_row_count(raw, DEFAULT_PERIOD))
     times["daily_spine_build"] = time.time() - t

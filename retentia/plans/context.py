@@ -19,11 +19,27 @@ from retentia.sources.raw import RawTables
 from retentia.sources.store import materialize
 
 _FACTS: dict[tuple, DataFrame] = {}
+_RAW: dict[tuple, RawTables] = {}
+
+
+def load_raw(spark: SparkSession, sf_dir: str) -> RawTables:
+    """Derive the typed raw tables (usage de-duplicated) and write them once
+    to the shared folder - the load step of the original pipeline.  Later
+    queries scan these Parquet tables instead of re-deriving them."""
+    from retentia.session import scratch_path
+
+    raw = raw_from_test_tables(spark, sf_dir)
+    path = scratch_path(spark, "raw")
+    raw.write_parquet(path, mode="errorifexists")
+    return RawTables.read_parquet(spark, path)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     apply_runtime_conf(spark)
-    return raw_from_test_tables(spark, sf_dir)
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _RAW:
+        _RAW[key] = load_raw(spark, sf_dir)
+    return _RAW[key]
 
 
 def fact_table(
@@ -39,3 +55,4 @@ def fact_table(
 
 def reset() -> None:
     _FACTS.clear()
+    _RAW.clear()

@@ -205,9 +205,12 @@ def model_run(spark: SparkSession, sf: str) -> dict:
     key = (id(spark._jsparkSession), sf.rstrip("/"))
     if key not in _MODEL_RUNS:
         fact = fact_table(spark, sf)
-        features = feat.feature_window(fact)
+        # One row per account, read by the split, the fit, scoring and drivers.
+        features = feat.feature_window(fact).persist()
         sp = split.cohort_split(features)
-        frame = model.model_frame(sp).join(sp.select("account_id", "split"), "account_id")
+        # Iterative training reads its input many times: keep it in memory
+        # (lineage ends at the Parquet fact table, so a lost block is recomputed).
+        frame = model.model_frame(sp).join(sp.select("account_id", "split"), "account_id").persist()
         pipe = model.fit_gbt(frame)
         scored = model.score_active(pipe, features)
         _MODEL_RUNS[key] = {

@@ -156,13 +156,15 @@ def mrr_trajectory(spine: DataFrame) -> DataFrame:
     s = with_month_end(spine).where(F.col("is_month_end") == 1)
     return s.groupBy("obs_month").agg(
         money_double(F.sum(MRR)).alias("snapshot_mrr"), money_double(F.sum(MRR) * 12).alias("arr_run_rate")
-    )
+    ).orderBy("obs_month")
 
 
 def velocity_by_month(spine: DataFrame) -> DataFrame:
     """G6 / G-h: net MRR change per month with its sign label."""
     g = spine.groupBy(month_bucket(DATE).alias("obs_month")).agg(F.sum("net_mrr_delta").alias("d"))
-    return g.select("obs_month", money_double("d").alias("net_mrr_delta"), sign_label("d").alias("velocity_label"))
+    return g.select(
+        "obs_month", money_double("d").alias("net_mrr_delta"), sign_label("d").alias("velocity_label")
+    ).orderBy("obs_month")
 
 
 def cross_filtered_velocity(spine: DataFrame, tiers: list[str], months: list[str]) -> DataFrame:
@@ -214,7 +216,7 @@ def churned_arr_by_tier(spine: DataFrame, days: int = config.TRAILING_LONG_DAYS)
         money_double("arr").alias("churned_arr_90d"),
         money_double(total).alias("total_churned_arr_90d"),
         half_up_ratio(cents("arr") * 100, cents(total)).alias("pct_of_total"),
-    )
+    ).orderBy(F.desc("churned_arr_90d"), "baseline_tier")
 
 
 def recognized_churned_arr(spine: DataFrame) -> DataFrame:
@@ -262,7 +264,7 @@ def cohort_retention(spine: DataFrame, max_months: int = config.COHORT_MAX_MONTH
         "retained_accounts",
         "cohort_size",
         half_up_ratio("retained_accounts", "cohort_size").alias("retention_pct"),
-    )
+    ).orderBy("cohort_month", "months_since")
 
 
 def churn_reasons(churn_events: DataFrame, date_from, date_to) -> DataFrame:
@@ -275,7 +277,7 @@ def churn_reasons(churn_events: DataFrame, date_from, date_to) -> DataFrame:
         "exits",
         half_up_ratio(total, F.count(F.lit(1)).over(W.partitionBy())).alias("avg_exits"),
         half_up_ratio(F.col("exits") * 100, total).alias("pct_of_exits"),
-    )
+    ).orderBy(F.desc("exits"), "reason_code")
 
 
 def support_resolution(support_tickets: DataFrame, date_from, date_to) -> DataFrame:
@@ -292,4 +294,4 @@ def support_resolution(support_tickets: DataFrame, date_from, date_to) -> DataFr
         F.array_position(order, F.col("priority")).cast("int").alias("sort_order"),
         half_up_ratio("h_cents", F.col("h_n") * 100).alias("avg_resolution_hours"),
         "tickets",
-    )
+    ).orderBy("sort_order", "priority")

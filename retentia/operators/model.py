@@ -81,9 +81,13 @@ def fit_gbt(split_df: DataFrame, params: GbtParams = GbtParams()) -> PipelineMod
     train = fit_rows.where(~F.col("is_valid"))
     n = train.select(F.count(F.lit(1))).scalar()
     n_pos = train.select(F.sum("label")).scalar()
+    # Both classes present: n / (2 * n_class); otherwise unweighted (1.0).
+    both = (n_pos > 0) & (n_pos < n)
     fit_rows = fit_rows.withColumn(
         "weight",
-        F.when(F.col("label") == 1.0, n / (F.lit(2.0) * n_pos)).otherwise(n / (F.lit(2.0) * (n - n_pos))),
+        F.when(~both, F.lit(1.0))
+        .when(F.col("label") == 1.0, n / (F.lit(2.0) * n_pos))
+        .otherwise(n / (F.lit(2.0) * (n - n_pos))),
     )
     gbt = GBTClassifier(
         labelCol="label",

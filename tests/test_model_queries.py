@@ -24,3 +24,27 @@ def test_model_report_scores_and_tree_drivers(spark):
     assert [r["flight_risk_score"] for r in rows] == sorted((r["flight_risk_score"] for r in rows), reverse=True)
     drivers = q["risk_drivers_tree"](spark, SF)
     assert drivers.count() == len(rows)
+
+
+def test_tree_path_contributions_reconstruct_gbt_margin(spark):
+    import numpy as np
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import vector_to_array
+
+    from retentia.operators import drivers, model
+    from retentia.operators.features import feature_window
+    from retentia.plans.context import fact_table
+
+    f = feature_window(fact_table(spark, SF))
+    frame = model.model_frame(f)
+    gbt = GBTClassifier(maxIter=8, maxDepth=3, seed=7, minInstancesPerNode=2)
+    pipe = Pipeline(stages=model._stages(gbt)).fit(frame)
+    out = pipe.transform(frame).select(vector_to_array("features").alias("x"), vector_to_array("rawPrediction").alias("raw"))
+    rows = out.collect()
+    x = np.array([r["x"] for r in rows])
+    margin = np.array([r["raw"][1] for r in rows])
+    table = drivers.tree_table(spark, pipe)
+    bias = sum(w * pred[0] for w, pred, *_ in table["trees"])
+    got = drivers._path_contributions(table, x).sum(axis=1) + bias
+    assert np.allclose(got, margin, atol=1e-9)

@@ -206,10 +206,14 @@ def growth_multiple(spine: DataFrame) -> DataFrame:
 
 
 def churned_arr_by_tier(spine: DataFrame, days: int = config.TRAILING_LONG_DAYS) -> DataFrame:
-    """G7 / G-g: ARR on churn rows of the trailing window, by tier, with
-    percent of total (a table calculation over the few tier rows)."""
-    rows = since(spine, days).where(F.col("target_churn_flag") == 1)
-    g = rows.groupBy("baseline_tier").agg(F.sum(F.col(MRR) * 12).alias("arr"))
+    """G7 / G-g: ARR on churn rows of the trailing window, by tier (every tier
+    seen in the window, 0 without churn), with percent of total (a table
+    calculation over the few tier rows)."""
+    # The sheet keeps every trailing-window row and sums a measure that is
+    # MRR x 12 on churn rows and 0 elsewhere, so tiers without churn show 0.
+    rows = since(spine, days)
+    churned = F.when(F.col("target_churn_flag") == 1, F.col(MRR) * 12).otherwise(F.lit(0).cast("decimal(10,2)"))
+    g = rows.groupBy("baseline_tier").agg(F.sum(churned).alias("arr"))
     total = F.sum("arr").over(W.partitionBy())  # over <= number of tiers rows
     return g.select(
         "baseline_tier",

@@ -69,6 +69,21 @@ def q_support_friction(spark, sf):
     return decimals_to_double(spine.support_friction(raw_tables(spark, sf).support_tickets, P))
 
 
+def q_mrr_delta(spark, sf):
+    """previous-day MRR (0 before the account's first panel day) and
+    the delta; on the churn day the delta is -previous MRR."""
+    f = fact_table(spark, sf)
+    mrr, delta = F.col("active_mrr_run_rate"), F.col("net_mrr_delta")
+    prev = F.when(F.col("target_churn_flag") == 1, -delta).otherwise(mrr - delta)
+    return f.select(
+        "account_id",
+        "observation_date",
+        F.round(mrr, 4).cast("double").alias("active_mrr_run_rate"),
+        F.round(prev, 4).cast("double").alias("prev_day_mrr"),
+        F.round(delta, 4).cast("double").alias("net_mrr_delta"),
+    )
+
+
 def q_daily_spine(spark, sf):
     return decimals_to_double(fact_table(spark, sf).drop("obs_ym"))
 
@@ -161,6 +176,7 @@ QUERIES: dict[str, Query] = {
     "governing_subscription": q_governing_subscription,
     "telemetry_rollup": q_telemetry_rollup,
     "support_friction": q_support_friction,
+    "mrr_delta": q_mrr_delta,
     "daily_spine": q_daily_spine,
     "daily_spine_as_of_run": q_daily_spine_as_of_run,
     "table_counts": q_table_counts,

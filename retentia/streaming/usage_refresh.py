@@ -29,15 +29,59 @@ from retentia.sources.store import refresh_window
 
 @dataclass
 class FactPointer:
-    """Current version folder of the fact table (swapped after each refresh)."""
+    """Current version folder of the fact table (swapped after each refresh).
+
+    With ``pointer_file`` set, every swap is also written there through the
+    Hadoop FileSystem API (temp file, then rename), so a restarted driver
+    resumes from the last published version while the stream resumes from
+    its checkpoint."""
 
     path: str | None = None
     history: list[str] = field(default_factory=list)
+    pointer_file: str | None = None
+    spark: SparkSession | None = None
 
     def swap(self, new_path: str) -> None:
         if self.path:
             self.history.append(self.path)
         self.path = new_path
+        if self.pointer_file and self.spark is not None:
+            _write_text(self.spark, self.pointer_file, new_path)
+
+    @staticmethod
+    def restore(spark: SparkSession, pointer_file: str) -> "FactPointer":
+        # A crash between the delete and the rename of a swap leaves only the
+        # complete temp file; it holds the newest version.
+        path = _read_text(spark, pointer_file) or _read_text(spark, pointer_file + ".tmp")
+        return FactPointer(path, [], pointer_file, spark)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs(spark, path)
+    tmp, _ = _fs(spark, path + ".tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(tmp, p)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream))
+    line = reader.readLine()
+    reader.close()
+    return line
 
 
 def touched_windows(batch: DataFrame, period: AnalysisPeriod) -> list[int]:

@@ -40,3 +40,12 @@ def test_stream_matches_batch(spark, tmpdir_path):
     import datetime as dt
 
     assert days[dt.date(2024, 1, 2)][11] == 99 and days[dt.date(2024, 1, 5)][11] == 0
+
+
+def test_pointer_survives_driver_restart(spark, tmpdir_path):
+    f = os.path.join(tmpdir_path, "fact.pointer")
+    p = FactPointer(pointer_file=f, spark=spark)
+    p.swap("/shared/fact/v1")
+    p.swap("/shared/fact/v2")
+    assert FactPointer.restore(spark, f).path == "/shared/fact/v2"
+    assert FactPointer.restore(spark, os.path.join(tmpdir_path, "missing")).path is None

@@ -122,11 +122,17 @@ def total_arr(spine: DataFrame) -> DataFrame:
     return on_latest(spine).agg(F.max(DATE).alias("latest_date"), money_double(F.sum(MRR) * 12).alias("total_arr"))
 
 
-def arpa(spine: DataFrame) -> DataFrame:
+def distinct_count(c: Column, exact: bool = True, rsd: float = 0.01) -> Column:
+    """Exact distinct count, or HyperLogLog++ with relative error ``rsd``
+    (one fixed-size sketch per group, no shuffle of the distinct values)."""
+    return F.countDistinct(c) if exact else F.approx_count_distinct(c, rsd)
+
+
+def arpa(spine: DataFrame, exact: bool = True) -> DataFrame:
     """Current ARR / distinct paying accounts on the latest date."""
     g = on_latest(spine).agg(
         (F.sum(MRR) * 12).alias("arr"),
-        F.countDistinct(F.when(F.col(MRR) > 0, F.col("account_id"))).alias("paying_accounts"),
+        distinct_count(F.when(F.col(MRR) > 0, F.col("account_id")), exact).alias("paying_accounts"),
     )
     return g.select(
         money_double("arr").alias("current_arr"),
@@ -271,10 +277,10 @@ def cohort_retention(spine: DataFrame, max_months: int = config.COHORT_MAX_MONTH
     ).orderBy("cohort_month", "months_since")
 
 
-def churn_reasons(churn_events: DataFrame, date_from, date_to) -> DataFrame:
+def churn_reasons(churn_events: DataFrame, date_from, date_to, exact: bool = True) -> DataFrame:
     """Distinct exits per reason in a date range, with the mean line."""
     ev = churn_events.where(F.col("churn_date").between(F.lit(str(date_from)).cast("date"), F.lit(str(date_to)).cast("date")))
-    g = ev.groupBy("reason_code").agg(F.countDistinct("churn_event_id").alias("exits"))
+    g = ev.groupBy("reason_code").agg(distinct_count(F.col("churn_event_id"), exact).alias("exits"))
     total = F.sum("exits").over(W.partitionBy())  # over <= number of reasons rows
     return g.select(
         "reason_code",

@@ -142,3 +142,12 @@ def test_linear_drivers_end_to_end(spark):
     row = drivers.linear_drivers(f).first()
     assert row["primary_risk_drivers"] == "1. Daily Friction Events | 2. Downgrade Flag"
     assert 0.0 < row["flight_risk_score"] < 1.0
+
+
+def test_arpa_exact_and_approximate(spark):
+    rows = [(f"a{i}", "2024-03-31", "10.00" if i % 4 else "0.00", 0, 0) for i in range(40)]
+    panel = _panel(spark, rows)
+    exact = dash.arpa(panel).first()
+    approx = dash.arpa(panel, exact=False).first()
+    assert exact["paying_accounts"] == 30 and exact["arpa"] == 120.0
+    assert abs(approx["paying_accounts"] - 30) <= 1

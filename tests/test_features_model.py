@@ -34,9 +34,11 @@ def test_momentum_defaults_and_values(spark):
     days = lambda a, b: [(dt.date(2024, 1, 1) + dt.timedelta(i)).isoformat() for i in range(a, b)]
     rows = [("full", x, "1.00", 100, 0) for x in days(0, 30)]
     rows += [("short", x, "1.00", 50, 0) for x in days(25, 30)]          # 5 days, all in last 7
+    rows += [("quiet", x, "1.00", 70, 0) for x in days(5, 20)]           # nothing in the last 7
     panel = _panel(spark, rows)
     f = {r["account_id"]: r for r in feature_window(panel).collect()}
     assert f["short"]["app_usage_momentum"] == 1.0
+    assert f["quiet"]["app_usage_momentum"] == 1.0 and f["quiet"]["daily_time_in_app"] == 70.0
     # last 7 mean 100, previous 23 mean 100 -> 100 / 101
     assert f["full"]["app_usage_momentum"] == round(100 / 101, 4)
     assert f["full"]["daily_time_in_app"] == 100.0

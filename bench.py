@@ -23,7 +23,7 @@ from retentia.operators.spine import AS_OF_RUN_MODE, daily_spine, spine_row_coun
 from retentia.plans import catalog  # noqa: E402
 from retentia.plans import context  # noqa: E402
 from retentia.session import build_session  # noqa: E402
-from retentia.session import scratch_path, size_shuffle_partitions  # noqa: E402
+from retentia.session import scratch_path, session_key, size_shuffle_partitions  # noqa: E402
 from retentia.sources import csv_ingest  # noqa: E402
 from retentia.sources.store import materialize  # noqa: E402
 
@@ -83,7 +83,7 @@ def main() -> None:
     size_shuffle_partitions(spark, rows * 4)
     fact = materialize(spark, daily_spine(raw, DEFAULT_PERIOD), rows=rows)
     times["daily_spine_build"] = time.time() - t
-    context._FACTS[(id(spark._jsparkSession), sf_dir, "window", DEFAULT_PERIOD)] = fact
+    context._FACTS[(session_key(spark), sf_dir, "window", DEFAULT_PERIOD)] = fact
 
     t = time.time()
     run(daily_spine(raw, DEFAULT_PERIOD, AS_OF_RUN_MODE))

@@ -18,6 +18,7 @@ from retentia.operators import features as feat
 from retentia.operators import quality, spine, split, survival
 from retentia.plans import dashboard as dash
 from retentia.plans.context import fact_table, raw_tables
+from retentia.session import session_key
 from retentia.sources import adapter
 
 P = DEFAULT_PERIOD
@@ -218,7 +219,7 @@ def model_run(spark: SparkSession, sf: str) -> dict:
     tree drivers, once per (session, input folder)."""
     from retentia.operators import drivers, model
 
-    key = (id(spark._jsparkSession), sf.rstrip("/"))
+    key = (session_key(spark), sf.rstrip("/"))
     if key not in _MODEL_RUNS:
         fact = fact_table(spark, sf)
         # One row per account, read by the split, the fit, scoring and drivers.
@@ -268,7 +269,7 @@ def _linear_scores(spark, sf) -> DataFrame:
     from retentia.operators import drivers, roster
     from retentia.session import scratch_path
 
-    key = (id(spark._jsparkSession), sf.rstrip("/"))
+    key = (session_key(spark), sf.rstrip("/"))
     if key not in _SCORES:
         fact = fact_table(spark, sf)
         f = feat.feature_window(fact).where(F.col("target_churn_flag") == 0)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retentia.config import DEFAULT_PERIOD, AnalysisPeriod
 from retentia.operators.spine import WINDOW_MODE, daily_spine, spine_row_count
-from retentia.session import apply_runtime_conf, size_shuffle_partitions
+from retentia.session import apply_runtime_conf, session_key, size_shuffle_partitions
 from retentia.sources.adapter import raw_from_test_tables
 from retentia.sources.raw import RawTables
 from retentia.sources.store import materialize
@@ -36,7 +36,7 @@ def load_raw(spark: SparkSession, sf_dir: str) -> RawTables:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     apply_runtime_conf(spark)
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _RAW:
         _RAW[key] = load_raw(spark, sf_dir)
     return _RAW[key]
@@ -45,7 +45,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
 def fact_table(
     spark: SparkSession, sf_dir: str, mode: str = WINDOW_MODE, period: AnalysisPeriod = DEFAULT_PERIOD
 ) -> DataFrame:
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), mode, period)
+    key = (session_key(spark), sf_dir.rstrip("/"), mode, period)
     if key not in _FACTS:
         raw = raw_tables(spark, sf_dir)
         rows = spine_row_count(raw, period, mode)

@@ -107,3 +107,9 @@ def size_shuffle_partitions(spark: SparkSession, rows: int, bytes_per_row: int =
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
         return wanted
     return current
+
+
+def session_key(spark: SparkSession) -> int:
+    """Identity of a session for per-session caches."""
+    j = getattr(spark, "_jsparkSession", None)
+    return id(j) if j is not None else id(spark)

@@ -103,13 +103,15 @@ def top_two(contribs: list[tuple[str, Column]]) -> Column:
     return driver_text(s[0]["name"], s[1]["name"])
 
 
-def linear_drivers(features: DataFrame, keep: tuple[str, ...] = (), **kw) -> DataFrame:
+def linear_drivers(
+    features: DataFrame, keep: tuple[str, ...] = (), intercept: float = LINEAR_INTERCEPT, **kw
+) -> DataFrame:
     """(account_id, flight_risk_score, primary_risk_drivers, *keep) for the
     linear score - one projection, no join back to the features."""
     contribs = linear_contributions(features, **kw)
     return features.select(
         "account_id",
-        F.round(linear_score(features, **kw), 6).alias("flight_risk_score"),
+        F.round(linear_score(features, intercept, **kw), 6).alias("flight_risk_score"),
         top_two(contribs).alias("primary_risk_drivers"),
         *keep,
     )

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -108,10 +108,49 @@ def fit_gbt(split_df: DataFrame, params: GbtParams = GbtParams()) -> PipelineMod
 
 
 def fit_logistic(split_df: DataFrame, reg: float = 0.01) -> PipelineModel:
-    """Linear alternative whose attributions are exact (``drivers.linear_attributions``)."""
+    """Linear alternative whose attributions are exact (``drivers.linear_drivers``
+    with ``logistic_coefficients``): categoricals one-hot encoded (every level
+    kept), numeric inputs as in ``model_frame``."""
     train = split_df.where(F.col("split") == "train")
+    idx = StringIndexer(
+        inputCols=list(CATEGORICAL),
+        outputCols=[f"{c}_idx" for c in CATEGORICAL],
+        handleInvalid="keep",
+        stringOrderType="alphabetAsc",
+    )
+    ohe = OneHotEncoder(
+        inputCols=[f"{c}_idx" for c in CATEGORICAL], outputCols=[f"{c}_ohe" for c in CATEGORICAL], dropLast=False,
+        handleInvalid="keep",
+    )
+    asm = VectorAssembler(
+        inputCols=[f"{c}_ohe" for c in CATEGORICAL] + list(NUMERIC_INPUTS), outputCol="features", handleInvalid="keep"
+    )
     lr = LogisticRegression(labelCol="label", featuresCol="features", regParam=reg, maxIter=100)
-    return Pipeline(stages=_stages(lr)).fit(train)
+    return Pipeline(stages=[idx, ohe, asm, lr]).fit(train)
+
+
+def logistic_coefficients(
+    pipeline: PipelineModel, sample: DataFrame
+) -> tuple[float, dict[str, float], dict[str, dict[str, float]]]:
+    """(intercept, numeric coefficients, per-level categorical coefficients) of
+    a ``fit_logistic`` model, in the form ``drivers.linear_drivers`` takes.
+    Positions come from the assembled vector's ML attribute names (read from
+    the schema of ``pipeline.transform(sample.limit(0))``, no data)."""
+    lr = pipeline.stages[-1]
+    coef = lr.coefficients.toArray()
+    meta = pipeline.transform(sample.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
+    names = {a["idx"]: a["name"] for group in meta.values() for a in group}
+    numeric: dict[str, float] = {}
+    categorical: dict[str, dict[str, float]] = {c: {} for c in CATEGORICAL}
+    for i, name in names.items():
+        if name in NUMERIC_INPUTS:
+            numeric[name] = float(coef[i])
+            continue
+        for c in CATEGORICAL:
+            prefix = f"{c}_ohe_"
+            if name.startswith(prefix):
+                categorical[c][name[len(prefix):]] = float(coef[i])
+    return float(lr.intercept), numeric, categorical
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

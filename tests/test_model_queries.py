@@ -48,3 +48,23 @@ def test_tree_path_contributions_reconstruct_gbt_margin(spark):
     bias = sum(w * pred[0] for w, pred, *_ in table["trees"])
     got = drivers._path_contributions(table, x).sum(axis=1) + bias
     assert np.allclose(got, margin, atol=1e-9)
+
+
+def test_logistic_attributions_reproduce_probability(spark):
+    from pyspark.sql import functions as F
+
+    from retentia.operators import drivers, model, split
+    from retentia.operators.features import feature_window
+    from retentia.plans.context import fact_table
+
+    f = feature_window(fact_table(spark, SF))
+    sp = split.cohort_split(f)
+    frame = model.model_frame(sp).join(sp.select("account_id", "split"), "account_id")
+    pipe = model.fit_logistic(frame)
+    b, num, cat = model.logistic_coefficients(pipe, frame)
+    prob = {r["account_id"]: r["flight_risk_score"] for r in model.predict(pipe, frame).collect()}
+    # the linear score must see the same inputs as the model (missing means filled the same way)
+    lin = drivers.linear_drivers(model.model_frame(f), intercept=b, numeric=num, categorical=cat)
+    got = {r["account_id"]: r["flight_risk_score"] for r in lin.collect()}
+    assert got and all(abs(got[a] - round(prob[a], 6)) <= 1e-6 for a in got)
+    assert lin.where(~F.col("primary_risk_drivers").startswith("1. ")).count() == 0

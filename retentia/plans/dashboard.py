@@ -50,7 +50,9 @@ def latest_date(spine: DataFrame) -> Column:
 
 
 def _month_of(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM")
+    from retentia.sources.store import month_key
+
+    return month_key(day)
 
 
 def on_latest(spine: DataFrame) -> DataFrame:

@@ -19,11 +19,17 @@ from pyspark.sql import functions as F
 from retentia import schemas
 from retentia.session import scratch_path
 
-MONTH_COL = "obs_ym"  # partition column, yyyy-MM of observation_date
+MONTH_COL = "obs_ym"  # partition column: year * 100 + month of observation_date (int)
+
+
+def month_key(day) -> "F.Column":
+    """Integer yyyymm of a date column - the partition value of its month."""
+    d = F.col(day) if isinstance(day, str) else day
+    return (F.year(d) * 100 + F.month(d)).cast("int")
 
 
 def _with_month(spine: DataFrame) -> DataFrame:
-    return spine.withColumn(MONTH_COL, F.date_format("observation_date", "yyyy-MM"))
+    return spine.withColumn(MONTH_COL, month_key("observation_date"))
 
 
 def write_fact(spine: DataFrame, path: str) -> str:

@@ -17,7 +17,7 @@ from retentia.config import DEFAULT_PERIOD
 from retentia.operators import features as feat
 from retentia.operators import quality, spine, split, survival
 from retentia.plans import dashboard as dash
-from retentia.plans.context import fact_table, raw_tables
+from retentia.plans.context import fact_table, feature_table, raw_tables
 from retentia.session import session_key
 from retentia.sources import adapter
 
@@ -139,11 +139,11 @@ def q_churn_label(spark, sf):
 
 
 def q_cohort_split(spark, sf):
-    return split.cohort_split(feat.feature_window(fact_table(spark, sf))).select("account_id", "position", "split")
+    return split.cohort_split(feature_table(spark, sf)).select("account_id", "position", "split")
 
 
 def q_split_summary(spark, sf):
-    return split.split_summary(split.cohort_split(feat.feature_window(fact_table(spark, sf))))
+    return split.split_summary(split.cohort_split(feature_table(spark, sf)))
 
 
 def q_survival_curve(spark, sf):
@@ -223,7 +223,7 @@ def model_run(spark: SparkSession, sf: str) -> dict:
     if key not in _MODEL_RUNS:
         fact = fact_table(spark, sf)
         # One row per account, read by the split, the fit, scoring and drivers.
-        features = feat.feature_window(fact).persist()
+        features = feature_table(spark, sf)
         sp = split.cohort_split(features)
         # Iterative training reads its input many times: keep it in memory
         # (lineage ends at the Parquet fact table, so a lost block is recomputed).
@@ -272,7 +272,7 @@ def _linear_scores(spark, sf) -> DataFrame:
     key = (session_key(spark), sf.rstrip("/"))
     if key not in _SCORES:
         fact = fact_table(spark, sf)
-        f = feat.feature_window(fact).where(F.col("target_churn_flag") == 0)
+        f = feature_table(spark, sf).where(F.col("target_churn_flag") == 0)
         scored = drivers.linear_drivers(f, keep=("industry", "active_mrr_run_rate"))
         table = roster.risk_roster(scored, None, fact)
         path = scratch_path(spark, "linear_scores")
@@ -284,7 +284,7 @@ def _linear_scores(spark, sf) -> DataFrame:
 def q_risk_drivers_linear(spark, sf):
     from retentia.operators import drivers
 
-    f = feat.feature_window(fact_table(spark, sf)).where(F.col("target_churn_flag") == 0)
+    f = feature_table(spark, sf).where(F.col("target_churn_flag") == 0)
     return drivers.linear_drivers(f)
 
 

@@ -55,6 +55,24 @@ def fact_table(
     return _FACTS[key]
 
 
+_FEATURES: dict[tuple, DataFrame] = {}
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-account features of the (window-mode) fact table, written once per
+    session to the shared folder; split, model, scores and drivers read it."""
+    from retentia.operators.features import feature_window
+    from retentia.session import scratch_path
+
+    key = (session_key(spark), sf_dir.rstrip("/"))
+    if key not in _FEATURES:
+        path = scratch_path(spark, "features")
+        feature_window(fact_table(spark, sf_dir)).write.parquet(path)
+        _FEATURES[key] = spark.read.parquet(path)
+    return _FEATURES[key]
+
+
 def reset() -> None:
     _FACTS.clear()
     _RAW.clear()
+    _FEATURES.clear()

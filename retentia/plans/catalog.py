@@ -148,7 +148,16 @@ def q_split_summary(spark, sf):
 
 def q_survival_curve(spark, sf):
     c = survival.survival_curve(fact_table(spark, sf))
-    return c.select("t", "at_risk", "events", "censored", F.round("survival", 4).alias("survival"))
+    return c.select(
+        "t",
+        "at_risk",
+        "events",
+        "censored",
+        F.round("survival", 4).alias("survival"),
+        F.round("greenwood_var", 6).alias("greenwood_var"),
+        F.round("ci_lower", 4).alias("ci_lower"),
+        F.round("ci_upper", 4).alias("ci_upper"),
+    )
 
 
 # -- dashboard -----------------------------------------------------------------

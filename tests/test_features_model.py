@@ -74,6 +74,9 @@ def test_survival_falls_to_zero_and_floors_duration(spark):
     c = {r["t"]: r for r in survival.kaplan_meier(dur).collect()}
     assert c[0]["survival"] == 1.0 and c[1]["at_risk"] == 4
     assert c[1]["survival"] == pytest.approx(0.75)
+    # Greenwood: S^2 * d / (n (n - d)) = 0.5625 * 1 / 12
+    assert c[1]["greenwood_var"] == pytest.approx(0.046875)
+    assert c[1]["ci_lower"] < 0.75 < c[1]["ci_upper"]
     assert c[2]["survival"] == pytest.approx(0.75) and c[2]["censored"] == 1
     assert c[3]["survival"] == 0.0
     s = [c[t]["survival"] for t in sorted(c)]

@@ -127,13 +127,26 @@ def refresh_window(
 ) -> str:
     """Replace rows with observation_date in [w_from, w_to] by ``recomputed``
     (restricted to that window); returns the path of the new version."""
-    new_rows = recomputed.where(F.col("observation_date").between(F.lit(str(w_from)).cast("date"), F.lit(str(w_to)).cast("date")))
+    return refresh_windows(spark, current_path, recomputed, [(w_from, w_to)])
+
+
+def refresh_windows(
+    spark: SparkSession, current_path: str | None, recomputed: DataFrame, windows: list[tuple[dt.date, dt.date]]
+) -> str:
+    """Replace the rows of several windows at once (one new version)."""
+    def inside(c):
+        cond = None
+        for a, b in windows:
+            x = c.between(F.lit(str(a)).cast("date"), F.lit(str(b)).cast("date"))
+            cond = x if cond is None else cond | x
+        return cond
+
+    day = F.col("observation_date")
+    new_rows = recomputed.where(inside(day))
     if current_path is None:
         combined = new_rows
     else:
-        kept = read_fact(spark, current_path).drop(MONTH_COL).where(
-            ~F.col("observation_date").between(F.lit(str(w_from)).cast("date"), F.lit(str(w_to)).cast("date"))
-        )
+        kept = read_fact(spark, current_path).drop(MONTH_COL).where(~inside(day))
         combined = kept.unionByName(new_rows)
     path = scratch_path(spark, "fact_daily_spine")
     write_fact(combined, path)

@@ -24,7 +24,7 @@ from retentia.config import AnalysisPeriod
 from retentia.operators.dedup import dedup_usage
 from retentia.operators.spine import WINDOW_MODE, daily_spine, window_array
 from retentia.sources.raw import RawTables
-from retentia.sources.store import refresh_window
+from retentia.sources.store import refresh_windows
 
 
 @dataclass
@@ -118,10 +118,15 @@ def start_usage_refresh(
         landed = spark.read.parquet(usage_store).select(*schemas.FEATURE_USAGE.fieldNames())
         usage = dedup_usage(landed)
         raw = RawTables(base.accounts, base.subscriptions, usage, base.support_tickets, base.churn_events)
-        spine = daily_spine(raw, period, mode)
-        for w in touched_windows(batch, period):
-            w_from, w_to = period.windows[w]
-            pointer.swap(refresh_window(spark, pointer.path, spine, w_from, w_to))
+        touched = touched_windows(batch, period)
+        if not touched:
+            return
+        windows = [period.windows[w] for w in touched]
+        # In window mode a window's rows depend on that window alone, so only
+        # the touched windows are rebuilt; as-of-run mode has one window.
+        sub = AnalysisPeriod(period.cal_start, period.cal_end, tuple(windows)) if mode == WINDOW_MODE else period
+        spine = daily_spine(raw, sub, mode)
+        pointer.swap(refresh_windows(spark, pointer.path, spine, windows))
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

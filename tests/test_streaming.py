@@ -23,7 +23,7 @@ def test_stream_matches_batch(spark, tmpdir_path):
 
     spark.createDataFrame(first, schemas.FEATURE_USAGE).write.mode("append").parquet(landing)
     start_usage_refresh(spark, landing, store, base, P, pointer, ckpt).awaitTermination()
-    assert len(pointer.history) == 1  # only window 1 was touched
+    assert len(pointer.history) == 1  # one new version for the touched window
     first_version = pointer.path
     spark.createDataFrame(later, schemas.FEATURE_USAGE).write.mode("append").parquet(landing)
     start_usage_refresh(spark, landing, store, base, P, pointer, ckpt).awaitTermination()

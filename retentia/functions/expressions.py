@@ -71,3 +71,16 @@ def half_up_ratio(num: str | Column, den: str | Column, scale: int = 4) -> Colum
     n, d = col_or(num), col_or(den)
     q = n.cast("decimal(18,0)") / d.cast("decimal(18,0)")
     return F.when(d != 0, F.round(q, scale).cast("double"))
+
+
+def ts_on_days(ts: str | Column, first=None, last=None) -> Column:
+    """``to_date(ts)`` between ``first`` and ``last`` (either may be None),
+    written on the raw timestamp_ntz column as a half-open range so that
+    Parquet can use it (min/max statistics, pushed filters)."""
+    c = col_or(ts)
+    cond = F.lit(True)
+    if first is not None:
+        cond = cond & (c >= F.lit(str(first)).cast("timestamp_ntz"))
+    if last is not None:
+        cond = cond & (c < F.date_add(F.lit(str(last)).cast("date"), 1).cast("timestamp_ntz"))
+    return cond

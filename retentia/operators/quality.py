@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retentia import schemas
+from retentia.functions.expressions import ts_on_days
 from retentia.config import AnalysisPeriod
 from retentia.sources.raw import RawTables
 
@@ -103,8 +104,8 @@ def dropped_activity(raw: RawTables, spine: DataFrame, period: AnalysisPeriod) -
     u = u.join(raw.subscriptions.select("subscription_id", "account_id"), "subscription_id", "left")
     orphan_u = u.where(F.col("account_id").isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n"))
     off_u = u.where(F.col("account_id").isNotNull()).join(keys, ["account_id", "observation_date"], "left_anti")
-    t = raw.support_tickets.select("account_id", F.to_date("submitted_at").alias("observation_date"))
-    t = t.where(F.col("observation_date").between(lo, hi)).groupBy("account_id", "observation_date").agg(
+    t = raw.support_tickets.where(ts_on_days("submitted_at", period.first_from, period.last_to))
+    t = t.select("account_id", F.to_date("submitted_at").alias("observation_date")).groupBy("account_id", "observation_date").agg(
         F.count(F.lit(1)).alias("_n")
     )
     off_t = t.join(keys, ["account_id", "observation_date"], "left_anti")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retentia.config import AnalysisPeriod
-from retentia.functions.expressions import days_in_month
+from retentia.functions.expressions import days_in_month, ts_on_days
 from retentia.sources.raw import RawTables
 
 WINDOW_MODE = "window"
@@ -223,7 +223,8 @@ def telemetry_rollup(
 
 def _ticket_rows(support_tickets: DataFrame, period: AnalysisPeriod, lower: bool = True) -> DataFrame:
     d = F.to_date("submitted_at")
-    return support_tickets.where(_as_of(d, period, lower)).select(
+    pushable = ts_on_days("submitted_at", period.first_from if lower else None, period.last_to)
+    return support_tickets.where(pushable & _as_of(d, period, lower)).select(
         "account_id",
         d.alias("observation_date"),
         F.when(F.col("ticket_id").isNotNull(), F.lit(1)).alias("t_n"),

@@ -30,6 +30,7 @@ from retentia.functions.expressions import (
     money_double,
     month_bucket,
     sign_label,
+    ts_on_days,
 )
 
 DATE = "observation_date"
@@ -294,8 +295,7 @@ def churn_reasons(churn_events: DataFrame, date_from, date_to, exact: bool = Tru
 
 def support_resolution(support_tickets: DataFrame, date_from, date_to) -> DataFrame:
     """Mean resolution hours by priority (urgent, high, medium, low order)."""
-    d = F.to_date("submitted_at")
-    t = support_tickets.where(d.between(F.lit(str(date_from)).cast("date"), F.lit(str(date_to)).cast("date")))
+    t = support_tickets.where(ts_on_days("submitted_at", date_from, date_to))
     h = F.col("resolution_time_hours")
     g = t.groupBy("priority").agg(
         F.sum(cents(h)).alias("h_cents"), F.count(h).alias("h_n"), F.count(F.lit(1)).alias("tickets")

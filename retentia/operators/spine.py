@@ -146,21 +146,30 @@ def _spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *(keys or ("account_id",)))
 
 
-def subscription_days(subscriptions: DataFrame, needed: DataFrame, period: AnalysisPeriod) -> DataFrame:
-    """(account_id, observation_date, cur, prev): for every needed day x of an
-    account, each subscription active on x (``cur``) or on x-1 (``prev``)
-    contributes its ordering struct.  ``needed`` is (account_id, need_lo,
-    need_hi); days outside it are never generated."""
+def subscription_days(subscriptions: DataFrame, needed: DataFrame | None, period: AnalysisPeriod) -> DataFrame:
+    """(account_id, observation_date, cur, prev): for every day x, each
+    subscription active on x (``cur``) or on x-1 (``prev``) contributes its
+    ordering struct.
+
+    With ``needed`` = (account_id, need_lo, need_hi) days are clipped to each
+    account's panel range (fewer rows, but a join that regroups subscriptions
+    by account).  With ``needed=None`` days are clipped to the analysis period
+    only and no join is made: subscriptions stay spread by (account,
+    subscription), so an account with a huge share of all subscriptions is
+    still exploded by many tasks; days outside the panel are dropped by the
+    spine's aggregation.  ``daily_spine`` uses the join-free form."""
     s = subscriptions.select("account_id", *_GOV_ORDER[:1], "end_date", *_GOV_ORDER[1:], *_GOV_PAYLOAD).where(
         (F.col("start_date") <= _date(period.last_to))
         & (F.col("end_date").isNull() | (F.col("end_date") >= F.date_sub(_date(period.first_from), 1)))
     )
-    # (account, subscription) so that one account with very many subscriptions
-    # is still exploded by many tasks; the join below keeps that spread when
-    # ``needed`` is broadcast, and AQE splits the hot partition otherwise.
-    s = _spread(s, "account_id", "subscription_id").join(needed, "account_id", "inner")
-    a = F.greatest(F.col("start_date"), F.col("need_lo"))
-    b = F.least(F.coalesce(F.date_add(F.col("end_date"), 1), F.col("need_hi")), F.col("need_hi"))
+    s = _spread(s, "account_id", "subscription_id")
+    if needed is not None:
+        s = s.join(needed, "account_id", "inner")
+        lo, hi = F.col("need_lo"), F.col("need_hi")
+    else:
+        lo, hi = _date(period.first_from), _date(period.last_to)
+    a = F.greatest(F.col("start_date"), lo)
+    b = F.least(F.coalesce(F.date_add(F.col("end_date"), 1), hi), hi)
     s = s.where(a <= b).select("*", F.explode(F.sequence(a, b)).alias("observation_date"))
     x = F.col("observation_date")
     cur = F.struct(*[F.col(c) for c in _GOV_ORDER + _GOV_PAYLOAD])
@@ -265,11 +274,30 @@ def spine_row_count(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_M
     return int(n or 0)
 
 
-def daily_spine(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE) -> DataFrame:
-    """The daily fact table (schema ``retentia.schemas.DAILY_SPINE``)."""
+# Per-account day ranges are broadcast only up to this many accounts
+# (~50 bytes a row); beyond it subscriptions are clipped to the period.
+BROADCAST_RANGES_MAX_ACCOUNTS = 1_000_000
+
+
+def daily_spine(
+    raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE, clip_to_accounts: bool | None = None
+) -> DataFrame:
+    """The daily fact table (schema ``retentia.schemas.DAILY_SPINE``).
+
+    Subscription-days are clipped to each account's panel range when that
+    range table (one row per account) is small enough to broadcast - checked
+    by counting it - so the join keeps subscriptions spread by (account,
+    subscription).  Beyond the bound they are clipped to the analysis period
+    with no join at all (more rows, still no hot task).  Both give the same
+    fact rows.  ``clip_to_accounts`` forces one of the two forms."""
     p = _resolve(period, mode)
     bounds = _spread(account_windows(raw.accounts, latest_churn(raw.churn_events, p), p))
     needed = bounds.groupBy("account_id").agg(F.min("lo").alias("need_lo"), F.max("hi").alias("need_hi"))
+    if clip_to_accounts is None:
+        clip_to_accounts = needed.count() <= BROADCAST_RANGES_MAX_ACCOUNTS
+    # Size-checked broadcast: a regrouping by account here would put a very
+    # large account's whole explode into one task.
+    needed = F.broadcast(needed) if clip_to_accounts else None
 
     markers = spine_days(bounds).withColumn("is_spine", F.lit(1))
     subs = subscription_days(raw.subscriptions, needed, p)

@@ -144,3 +144,20 @@ def test_invariants_pk_unique_and_delta_telescopes(spark):
         assert total == w[max(w)]["active_mrr_run_rate"]
         days = sorted(w)
         assert (days[-1] - days[0]).days + 1 == len(days)  # no gaps without churn
+
+
+def test_both_subscription_clipping_forms_agree(spark):
+    import os
+
+    from retentia.plans.catalog import decimals_to_double
+    from retentia.plans.context import raw_tables
+    from retentia.config import DEFAULT_PERIOD
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    r = raw_tables(spark, sf)
+    a = daily_spine(r, DEFAULT_PERIOD, clip_to_accounts=True)
+    b = daily_spine(r, DEFAULT_PERIOD, clip_to_accounts=False)
+    assert a.count() == b.count() > 0
+    assert decimals_to_double(a).exceptAll(decimals_to_double(b)).count() == 0

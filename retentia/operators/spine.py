@@ -182,7 +182,7 @@ def subscription_days(subscriptions: DataFrame, needed: DataFrame | None, period
     )
 
 
-def governing_subscription(subscriptions: DataFrame, needed: DataFrame, period: AnalysisPeriod) -> DataFrame:
+def governing_subscription(subscriptions: DataFrame, needed: DataFrame | None, period: AnalysisPeriod) -> DataFrame:
     """Per (account, day): the governing subscription today and yesterday."""
     days = subscription_days(subscriptions, needed, period)
     return days.groupBy("account_id", "observation_date").agg(F.max("cur").alias("gov"), F.max("prev").alias("gov_prev"))
@@ -274,6 +274,20 @@ def spine_row_count(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_M
     return int(n or 0)
 
 
+def subscription_ranges(bounds: DataFrame, clip_to_accounts: bool | None = None) -> DataFrame | None:
+    """Per-account day ranges (account_id, need_lo, need_hi) to clip
+    subscription-days by, as a broadcast - or None (clip to the period).
+
+    ``None`` decides by counting the range table (one row per account):
+    broadcast up to ``BROADCAST_RANGES_MAX_ACCOUNTS``.  A shuffle join here
+    would regroup subscriptions by account and put a very large account's
+    whole explode into one task, so there is no shuffled form."""
+    needed = bounds.groupBy("account_id").agg(F.min("lo").alias("need_lo"), F.max("hi").alias("need_hi"))
+    if clip_to_accounts is None:
+        clip_to_accounts = needed.count() <= BROADCAST_RANGES_MAX_ACCOUNTS
+    return F.broadcast(needed) if clip_to_accounts else None
+
+
 # Per-account day ranges are broadcast only up to this many accounts
 # (~50 bytes a row); beyond it subscriptions are clipped to the period.
 BROADCAST_RANGES_MAX_ACCOUNTS = 1_000_000
@@ -292,12 +306,7 @@ def daily_spine(
     fact rows.  ``clip_to_accounts`` forces one of the two forms."""
     p = _resolve(period, mode)
     bounds = _spread(account_windows(raw.accounts, latest_churn(raw.churn_events, p), p))
-    needed = bounds.groupBy("account_id").agg(F.min("lo").alias("need_lo"), F.max("hi").alias("need_hi"))
-    if clip_to_accounts is None:
-        clip_to_accounts = needed.count() <= BROADCAST_RANGES_MAX_ACCOUNTS
-    # Size-checked broadcast: a regrouping by account here would put a very
-    # large account's whole explode into one task.
-    needed = F.broadcast(needed) if clip_to_accounts else None
+    needed = subscription_ranges(bounds, clip_to_accounts)
 
     markers = spine_days(bounds).withColumn("is_spine", F.lit(1))
     subs = subscription_days(raw.subscriptions, needed, p)

@@ -53,8 +53,7 @@ def q_spine_days(spark, sf):
 def q_governing_subscription(spark, sf):
     raw = raw_tables(spark, sf)
     b = spine.spine_bounds(raw, P)
-    needed = b.groupBy("account_id").agg(F.min("lo").alias("need_lo"), F.max("hi").alias("need_hi"))
-    gov = spine.governing_subscription(raw.subscriptions, needed, P)
+    gov = spine.governing_subscription(raw.subscriptions, spine.subscription_ranges(b), P)
     days = spine.spine_days(b).select("account_id", "observation_date")
     return days.join(gov, ["account_id", "observation_date"], "left").select(
         "account_id", "observation_date", F.col("gov.subscription_id").alias("subscription_id")

@@ -134,7 +134,7 @@ _GOV_ORDER = ("start_date", "mrr_amount", "subscription_id")
 _GOV_PAYLOAD = ("downgrade_flag", "billing_frequency", "auto_renew_flag", "is_trial")
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
+def _spread(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
     """Hash-partition rows that are about to be exploded into many rows.
 
     The input size of a scan says nothing about the work after ``explode``
@@ -142,11 +142,26 @@ def _spread(df: DataFrame, *keys: str) -> DataFrame:
     are spread over the shuffle partition count by key *before* exploding.
     An explicit count keeps AQE from coalescing this small pre-explode
     shuffle back into one task."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *(keys or ("account_id",)))
 
 
-def subscription_days(subscriptions: DataFrame, needed: DataFrame | None, period: AnalysisPeriod) -> DataFrame:
+# About this many accounts' subscriptions are exploded per task.
+ACCOUNTS_PER_TASK = 5_000
+
+
+def spread_partitions(spark, accounts: int) -> int:
+    """Tasks for the pre-explode spread: ~ACCOUNTS_PER_TASK accounts each, at
+    least twice the default parallelism (room to balance uneven tasks), at
+    most the shuffle partition count."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor_ = 2 * spark.sparkContext.defaultParallelism
+    return max(1, min(cap, max(floor_, -(-accounts // ACCOUNTS_PER_TASK))))
+
+
+def subscription_days(
+    subscriptions: DataFrame, needed: DataFrame | None, period: AnalysisPeriod, partitions: int | None = None
+) -> DataFrame:
     """(account_id, observation_date, cur, prev): for every day x, each
     subscription active on x (``cur``) or on x-1 (``prev``) contributes its
     ordering struct.
@@ -162,7 +177,7 @@ def subscription_days(subscriptions: DataFrame, needed: DataFrame | None, period
         (F.col("start_date") <= _date(period.last_to))
         & (F.col("end_date").isNull() | (F.col("end_date") >= F.date_sub(_date(period.first_from), 1)))
     )
-    s = _spread(s, "account_id", "subscription_id")
+    s = _spread(s, "account_id", "subscription_id", n=partitions)
     if needed is not None:
         s = s.join(needed, "account_id", "inner")
         lo, hi = F.col("need_lo"), F.col("need_hi")
@@ -305,11 +320,20 @@ def daily_spine(
     with no join at all (more rows, still no hot task).  Both give the same
     fact rows.  ``clip_to_accounts`` forces one of the two forms."""
     p = _resolve(period, mode)
-    bounds = _spread(account_windows(raw.accounts, latest_churn(raw.churn_events, p), p))
-    needed = subscription_ranges(bounds, clip_to_accounts)
+    spark = raw.accounts.sparkSession
+    bounds = account_windows(raw.accounts, latest_churn(raw.churn_events, p), p)
+    ranges = bounds.groupBy("account_id").agg(F.min("lo").alias("need_lo"), F.max("hi").alias("need_hi"))
+    # One small counting job sizes both decisions below.
+    accounts = ranges.count()
+    if clip_to_accounts is None:
+        clip_to_accounts = accounts <= BROADCAST_RANGES_MAX_ACCOUNTS
+    # Size-checked broadcast; see ``subscription_ranges``.
+    needed = F.broadcast(ranges) if clip_to_accounts else None
+    n = spread_partitions(spark, accounts)
+    bounds = _spread(bounds, "account_id", n=n)
 
     markers = spine_days(bounds).withColumn("is_spine", F.lit(1))
-    subs = subscription_days(raw.subscriptions, needed, p)
+    subs = subscription_days(raw.subscriptions, needed, p, partitions=n)
     usage = _usage_rows(raw.feature_usage, raw.subscriptions, p)
     tickets = _ticket_rows(raw.support_tickets, p)
 

@@ -24,10 +24,14 @@ CSV_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
-    "multiLine": "true",
     "mode": "FAILFAST",
 }
 
+# Only tables with free text may hold line breaks inside quotes; multi-line
+# parsing makes a file unsplittable (one task per file), so the large tables
+# are read line by line and stay splittable.
+MULTILINE_TABLES = ("churn_events",)
+
 
 def _text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
@@ -37,7 +41,8 @@ def read_typed_csv(spark: SparkSession, path: str, table: str, **options) -> Dat
     """One raw table from CSV, typed per ``schemas.RAW[table]``."""
     schema = schemas.RAW[table]
     flags = set(schemas.FLAG_COLUMNS.get(table, ()))
-    opts = dict(CSV_OPTIONS, **options)
+    opts = dict(CSV_OPTIONS, multiLine="true" if table in MULTILINE_TABLES else "false")
+    opts.update(options)
     text = spark.read.schema(_text_schema(schema)).options(**opts).csv(path)
     cols = []
     for f in schema.fields:

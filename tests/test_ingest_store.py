@@ -40,6 +40,7 @@ def test_crlf_quoted_feedback_round_trip(spark, tmpdir_path):
         "churn_event_id,account_id,churn_date,reason_code,refund_amount_usd,preceding_upgrade_flag,"
         "preceding_downgrade_flag,is_reactivation,feedback_text",
         'c1,a,2024-03-01,pricing,0.00,False,False,False,"too pricey, said ""no"" twice"',
+        'c3,a,2024-05-01,features,0.00,False,False,False,"line one\nline two"',
         "c2,a,2024-04-01,support,1.00,True,False,False,",
     ])
     df = csv_ingest.read_typed_csv(spark, p, "churn_events")
@@ -47,6 +48,7 @@ def test_crlf_quoted_feedback_round_trip(spark, tmpdir_path):
     assert rows["c1"]["feedback_text"] == 'too pricey, said "no" twice'
     assert rows["c2"]["feedback_text"] is None
     assert rows["c2"]["preceding_upgrade_flag"] == 1
+    assert rows["c3"]["feedback_text"] == "line one\nline two"
     # export in the same dialect and read back
     r = raw(spark, churns=[])
     r = r.__class__(r.accounts, r.subscriptions, r.feature_usage, r.support_tickets, df)

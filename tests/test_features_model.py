@@ -156,3 +156,23 @@ def test_arpa_exact_and_approximate(spark):
     approx = dash.arpa(panel, exact=False).first()
     assert exact["paying_accounts"] == 30 and exact["arpa"] == 120.0
     assert abs(approx["paying_accounts"] - 30) <= 1
+
+
+def test_score_file_fallback_contract_and_card(spark, tmpdir_path):
+    import os
+
+    cols = "account_id string, industry string, active_mrr_run_rate double, flight_risk_score double, primary_risk_drivers string, tenure_days int"
+    df = spark.createDataFrame([("a", "x", 1234.5, 0.81, "1. A | 2. B", 40), ("b", "y", 10.0, 0.2, "1. C | 2. D", 3)], cols)
+    good = os.path.join(tmpdir_path, "scores")
+    roster.write_scores(df, good)
+    back = roster.read_scores(spark, os.path.join(tmpdir_path, "missing"), good)  # first path absent
+    assert [r["account_id"] for r in back.collect()] == ["a", "b"]  # highest score first
+    stale = os.path.join(tmpdir_path, "stale")
+    roster.write_scores(df, stale)
+    spark.read.option("header", True).csv(stale).drop("tenure_days").write.option("header", True).csv(stale + "2")
+    with pytest.raises(roster.ScoreContractError, match="tenure_days"):
+        roster.read_scores(spark, stale + "2")
+    card = roster.account_card_display(roster.account_card(back, "a")).first()
+    assert card["flight_risk"] == "81.0%" and card["monthly_revenue"] == "$1,234.50"
+    assert card["headline"] == "Account a (x) has been active for 40 days."
+    assert roster.source_freshness(spark, good).first()["last_modified"] is not None

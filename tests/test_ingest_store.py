@@ -126,3 +126,8 @@ def test_backfill_equals_single_window_mode_job(spark):
     got = sorted(tuple(x) for x in read_fact(spark, path).drop("obs_ym").collect())
     want = sorted(tuple(x) for x in daily_spine(r, period).collect())
     assert got == want
+
+
+def test_namespaces_created(spark):
+    store.ensure_namespaces(spark)
+    assert all(spark.catalog.databaseExists(ns) for ns in store.NAMESPACES)

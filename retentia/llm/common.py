@@ -9,6 +9,7 @@ Internal columns start with ``_rt_``; extra input columns are never read.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +84,17 @@ def string_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return off - off[0], data[off[0] : off[-1]]
 
 
+def portions(batches: Iterator[pa.RecordBatch], text: int, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The rows again, in batches of about ``most`` bytes of text (or one long text)."""
+    for batch in batches:
+        offsets, _ = string_buffers(batch.column(text))
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def binary_array(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary column whose i-th cell holds values[offsets[i]:offsets[i + 1]]."""
     width = values.dtype.itemsize

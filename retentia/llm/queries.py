@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from retentia.llm import bpe, chat_format, line_dedup, quality_gbt, quality_rules, warc
+from retentia.llm import bpe, chat_format, line_dedup, quality_gbt, quality_rules, suffix_dedup, warc, window_dedup
 from retentia.llm.common import read_table
 
 
@@ -39,6 +39,14 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages"), min_payload=100)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.copy_report(read_table(spark, sf_dir, "documents"), size=50)
+
+
+def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.repeat_report(read_table(spark, sf_dir, "documents"), window=35)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -46,6 +54,8 @@ QUERIES = {
     "op4_quality_gbt": op4_quality_gbt,
     "op5_chat_format": op5_chat_format,
     "op6_warc": op6_warc,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_window_dedup": op10_window_dedup,
 }
 
 ORACLE = {

@@ -10,8 +10,8 @@ it would go through alone, but for one case that some vocabularies allow: a
 merge makes a pair of a rank already replayed.  Such words (few) are
 encoded alone.
 
-Texts are cut at single spaces: with the usual pattern a pre-token starts
-at a space unless white space stands on both sides of it, so the piece
+Texts are cut at single spaces: with the pattern ``SPACE_LED`` a pre-token
+starts at a space unless white space stands on both sides of it, so the piece
 after a space can be looked up whole.  Texts with such runs take the
 pattern over the whole text.
 
@@ -44,6 +44,10 @@ from retentia.session import ship_by_value
 _RUN = re.compile(r"\s \s")
 
 
+#: Fixed value: the pattern for which ``pieces`` may cut; texts go whole through any other.
+SPACE_LED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 def load_ranks(path: str) -> list[bytes]:
     """The tokens of a rank file (base64 token, rank) in rank order; ids are ranks."""
     with open(path, "rb") as f:
@@ -63,7 +67,7 @@ class MergeReplay:
         if missing:
             raise ValueError(f"no token for the bytes {missing}")
         self.rank, self.size = rank, len(tokens)
-        self.byte_id = np.array([rank[bytes([i])] for i in range(256)], np.int64)
+        self.byte_id = np.array([rank[bytes([i])] for i in range(256)], np.int32)
         # Every way to put a token together from two others, as a sorted table of pair codes.
         code, merged = [], []
         for r, t in enumerate(tokens):
@@ -74,44 +78,48 @@ class MergeReplay:
                     merged.append(r)
         code_array = np.array(code + [self.size * self.size], np.int64)
         order = np.argsort(code_array)
-        self.code, self.merged = code_array[order], np.array(merged + [-1], np.int64)[order]
+        self.code, self.merged = code_array[order], np.array(merged + [-1], np.int32)[order]
+        ids = np.repeat(self.byte_id, 256), np.tile(self.byte_id, 256)
+        self.byte_pairs = self.pair_ranks(*ids).reshape(256, 256)
 
     def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The id that two tokens make together, or -1."""
-        want = a * self.size + b
+        want = a.astype(np.int64) * self.size + b
         at = np.searchsorted(self.code, want)
         return np.where(self.code[at] == want, self.merged[at], -1)
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each word."""
-        out: list[list[int] | None] = [None] * len(words)
-        todo = []
-        for k, w in enumerate(words):
-            r = self.rank.get(w)
-            if r is None:
-                todo.append(k)
-            else:
-                out[k] = [r]
-        if not todo:
-            return out
-        lengths = np.array([len(words[k]) for k in todo], np.int64)
-        symbol = self.byte_id[np.frombuffer(b"".join([words[k] for k in todo]), np.uint8)]
-        word = np.repeat(np.arange(len(todo)), lengths)
-        alone = self._replay(symbol, word)
-        live = symbol >= 0
-        ids, ends = symbol[live].tolist(), np.cumsum(np.bincount(word[live], minlength=len(todo))).tolist()
-        begin = 0
-        for k, end in zip(todo, ends):
-            out[k] = ids[begin:end]
-            begin = end
-        for k in alone:
-            out[todo[k]] = self.encode_alone(words[todo[k]])
-        return out
-
-    def _replay(self, symbol: np.ndarray, word: np.ndarray) -> list[int]:
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, where each word's ids begin)."""
+        whole = list(map(self.rank.get, words))
+        todo = [k for k, r in enumerate(whole) if r is None]
+        count = np.ones(len(words) + 1, np.int64)
+        ids = np.array([0 if r is None else r for r in whole], np.int32)
+        if todo:
+            lengths = np.array([len(words[k]) for k in todo], np.int64)
+            raw = np.frombuffer(b"".join([words[k] for k in todo]), np.uint8)
+            word = np.repeat(np.arange(len(todo), dtype=np.int32), lengths)
+            symbol = self.byte_id[raw]
+            alone = self._replay(symbol, word, raw)
+            live = symbol >= 0
+            some, sizes = symbol[live], np.bincount(word[live], minlength=len(todo))
+            if alone:
+                parts = np.split(some, np.cumsum(sizes)[:-1])
+                for k in alone:
+                    parts[k] = np.array(self.encode_alone(words[todo[k]]), np.int32)
+                    sizes[k] = len(parts[k])
+                some = np.concatenate(parts)
+            count[np.array(todo) + 1] = sizes
+            full = np.empty(int(count[1:].sum()), np.int32)
+            mine = np.repeat(np.isin(np.arange(len(words)), todo, assume_unique=True), count[1:])
+            full[mine], full[~mine] = some, ids[[k for k, r in enumerate(whole) if r is not None]]
+            ids = full
+        count[0] = 0
+        return ids, np.cumsum(count)
+
+    def _replay(self, symbol: np.ndarray, word: np.ndarray, raw: np.ndarray) -> list[int]:
         """Merges in place (taken symbols become -1); returns the words to encode alone."""
         n = len(symbol)
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         ends = np.flatnonzero(np.diff(word, append=-1))
         after[ends] = -1
         before[np.concatenate([[0], ends[:-1] + 1])] = -1
@@ -119,11 +127,8 @@ class MergeReplay:
         heap: list[int] = []
         alone: set[int] = set()
 
-        def put(at: np.ndarray, current: int) -> None:
-            """Index the pairs that start at these symbols."""
-            at = at[at >= 0]
-            at = at[after[at] >= 0]
-            r = self.pair_ranks(symbol[at], symbol[after[at]])
+        def put(at: np.ndarray, r: np.ndarray, current: int) -> None:
+            """Index the pairs of these ranks that start at these symbols."""
             at, r = at[r >= 0], r[r >= 0]
             if not len(at):
                 return
@@ -143,12 +148,15 @@ class MergeReplay:
                     index[k] = [x]
                     heapq.heappush(heap, k)
 
-        put(np.arange(n), -1)
+        starts = np.flatnonzero(after >= 0).astype(np.int32)
+        put(starts, self.byte_pairs[raw[starts], raw[starts + 1]], -1)
         while heap:
             r = heapq.heappop(heap)
             found = index.pop(r)
             at = found[0] if len(found) == 1 else np.concatenate(found)
-            at = np.unique(at) if len(at) > 1 else at
+            if len(at) > 1:
+                at = np.sort(at)
+                at = at[np.concatenate([[True], at[1:] != at[:-1]])]
             nxt = after[at]
             ok = (nxt >= 0) & (symbol[at] >= 0)
             at, nxt = at[ok], nxt[ok]
@@ -168,7 +176,10 @@ class MergeReplay:
             after[at], after[nxt] = beyond, -1
             inner = beyond >= 0
             before[beyond[inner]] = at[inner]
-            put(np.concatenate([at, before[at]]), r)
+            behind = before[at]
+            left, right = np.concatenate([at, behind[behind >= 0]]), np.concatenate([beyond, at[behind >= 0]])
+            left, right = left[right >= 0], right[right >= 0]
+            put(left, self.pair_ranks(symbol[left], symbol[right]), r)
         return sorted(alone)
 
     def encode_alone(self, w: bytes) -> list[int]:
@@ -194,50 +205,76 @@ class MergeReplay:
         return [self.rank[p] for p in parts if p]
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut at places where the pattern surely starts a new match."""
-    if _RUN.search(text):
-        return [text]
+def pieces(text: str, cuts: bool = True) -> tuple[str, list[str]]:
+    """The text cut at spaces where the pattern surely starts a new match: the first piece, and the others without the space before them."""
+    if not cuts or _RUN.search(text):
+        return text, []
     head, *tail = text.split(" ")
-    return [head, *[" " + x for x in tail]]
+    return head, tail
 
 
 class Encoder:
-    """Encodes groups of texts; keeps the pieces seen of late."""
+    """Encodes groups of texts; keeps the pieces seen of late.
+
+    A text's first piece (or a whole text that can't be cut) is encoded as it
+    is, the others with the space before them.
+    """
 
     def __init__(self, tokens: list[bytes], pattern: str, cache_words: int):
         import regex
 
         self.find = regex.compile(pattern).findall
         self.tokens, self.replay, self.most = tokens, MergeReplay(tokens), cache_words
-        # piece -> (ids joined by spaces, how many, the bytes that they decode to); two generations, so frequent pieces stay
-        self.young: dict[str, tuple[str, int, bytes]] = {}
-        self.old: dict[str, tuple[str, int, bytes]] = {}
-
-    def learn(self, texts: list[str]) -> None:
-        if len(self.young) > self.most // 2:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
+        self.id_text = list(map(str, range(len(tokens))))
+        self.cuts = pattern == SPACE_LED
+        # piece -> ids joined by spaces, piece -> the bytes that they decode to; two generations, so frequent pieces stay
+        self.ids: dict[str, str] = {}
+        self.raw: dict[str, bytes] = {}
+        self.old_ids: dict[str, str] = {}
+        self.old_raw: dict[str, bytes] = {}
+
+    def learn(self, texts: list[str]) -> dict[str, tuple[str, bytes]]:
+        """Encodes the new pieces of the texts; returns what the first pieces encode and decode to."""
+        if len(self.ids) > self.most // 2:
+            self.old_ids, self.old_raw, self.ids, self.raw = self.ids, self.raw, {}, {}
         wanted: set[str] = set()
+        heads: set[str] = set()
         for t in texts:
-            wanted.update(pieces(t))
-        wanted -= young.keys()
-        for p in wanted & old.keys():
-            young[p] = old[p]
-        wanted -= young.keys()
-        cut = {p: [w.encode() for w in self.find(p)] for p in wanted}
-        new = list(dict.fromkeys(w for ws in cut.values() for w in ws))
-        ids = dict(zip(new, self.replay.encode(new)))
-        for p, ws in cut.items():
-            found = ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]]
-            young[p] = (" ".join(map(str, found)), len(found), decode(self.tokens, found))
+            head, tail = pieces(t, self.cuts)
+            heads.add(head)
+            wanted.update(tail)
+        wanted.difference_update(self.ids)
+        for p in wanted & self.old_ids.keys():
+            self.ids[p], self.raw[p] = self.old_ids[p], self.old_raw[p]
+        wanted.difference_update(self.old_ids)
+        # Matched in one go: pieces cut apart safely give the same words side by side, and each starts with its space.
+        plain = [p for p in wanted if p and not p[0].isspace()]
+        words = self.find(" " + " ".join(plain)) if plain else []
+        begin = [k for k, w in enumerate(words) if w[0] == " "]
+        odd = [p for p in wanted if not p or p[0].isspace()]
+        first = list(heads)
+        for p in [" " + p for p in odd] + first:
+            begin.append(len(words))
+            words += self.find(p)
+        begin.append(len(words))
+        ids, offsets = self.replay.encode([w.encode() for w in words])
+        flat = ids.tolist()
+        shown, meant = list(map(self.id_text.__getitem__, flat)), list(map(self.tokens.__getitem__, flat))
+        cut = offsets[np.array(begin)].tolist()
+        pairs = [(" ".join(shown[i:j]), b"".join(meant[i:j])) for i, j in zip(cut, cut[1:])]
+        for p, (i, r) in zip(plain + odd, pairs):
+            self.ids[p], self.raw[p] = i, r
+        return dict(zip(first, pairs[len(plain) + len(odd) :]))
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, int, bytes]]:
         """(ids joined by spaces, how many, decoded bytes) of each text."""
-        self.learn(texts)
+        heads = self.learn(texts)
+        ids_of, raw_of = self.ids.__getitem__, self.raw.__getitem__
         for t in texts:
-            found = [self.young[p] for p in pieces(t)]
-            yield " ".join([f[0] for f in found if f[1]]), sum([f[1] for f in found]), b"".join([f[2] for f in found])
+            head, tail = pieces(t, self.cuts)
+            first, raw = heads[head]
+            ids = " ".join([first, *map(ids_of, tail)] if first else map(ids_of, tail))
+            yield ids, ids.count(" ") + 1 if ids else 0, raw + b"".join(map(raw_of, tail))
 
 
 def groups(column: pa.Array, most: int = 1 << 23) -> Iterator[list[str]]:

@@ -127,8 +127,8 @@ def settled_row(name: int, doc: np.ndarray, value: np.ndarray, shards: int) -> t
 
 
 def shard_count(n: int) -> int:
-    """A power of two, four to eight for each partition."""
-    return 1 << (4 * n - 1).bit_length()
+    """A power of two, one to two for each partition."""
+    return 1 << max(1, n - 1).bit_length()
 
 
 def shard_slices(sorted_hashes: np.ndarray, shards: int) -> Iterator[tuple[int, int, int]]:

@@ -6,10 +6,10 @@ of smaller id; the first document keeps it.
 1. Exact filter.  The anchors (``repeats``) of all strings are compared by
    hash; only strings whose anchor occurs again can have an earlier copy.
 2. Suffix order.  Each batch cuts the context of every surviving anchor:
-   the bytes of all strings that choose it.  Equal contexts in a batch are
-   settled there (the smallest id waits, the others are covered), so at most
-   one of each goes on.  A shard holds all contexts of a gram and sorts
-   their suffixes by their first ``size`` bytes.
+   the bytes of all strings that choose it, without the gram.  Equal contexts
+   are settled in the batch, then in the shard (the smallest id waits, the
+   others are covered), so at most one of each goes on.  What differs within
+   a gram is put in suffix order, to the depth of ``size`` bytes.
 3. Longest previous factors.  In suffix order, the nearest earlier positions
    before and after a suffix (previous and next smaller value of its
    document's rank) share the longest prefixes with it that any earlier
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import BYTE_VALUE, covered, keyed_texts, portions, replace_text, runs, shuffle_partitions, spread, string_buffers, with_keys
+from retentia.llm.common import BYTE_VALUE, covered, keyed_texts, mix, portions, powers, prefix_hash, replace_text, runs, shuffle_partitions, spread, string_buffers, with_keys
 from retentia.llm.repeats import ENTRY, PLACED, SETTLED, anchor_steps, batch_name, found_again, is_in, keys_row, one_each, pack, pack_sorted, placed, places_of, repeat_rows, settle, settled_row, shard_count, shard_slices, unpack, unpack_sorted, window_starts
 from retentia.session import ship_by_value
 
@@ -81,13 +81,13 @@ def _contexts(size: int, gram: int, shards: int):
             for s in anchor_steps(lambda i, j: BYTE_VALUE[data[i:j]], len(data), size, gram, window_starts(offsets, size)):
                 hit = is_in(s.at, survivors)
                 lo, hi = s.first[hit], s.last[hit]
-                parts.append((s.grams[hit], s.hashes(lo, hi + size), lo, hi - lo + 1))
+                parts.append((s.grams[hit], s.hashes(lo, hi + size), lo, hi - lo + 1, s.at[hit] - lo))
             rows = [keys_row(name, dids, ths, shards)]
             if parts:
-                grams, contexts, lo, count = (np.concatenate(x) for x in zip(*parts))
+                grams, contexts, lo, count, ahead = (np.concatenate(x) for x in zip(*parts))
                 doc = np.searchsorted(offsets, lo, "right") - 1
                 order = np.lexsort((dids[doc], count, contexts, grams))
-                grams, contexts, lo, count, doc = grams[order], contexts[order], lo[order], count[order], doc[order]
+                grams, contexts, lo, count, ahead, doc = grams[order], contexts[order], lo[order], count[order], ahead[order], doc[order]
                 new = np.ones(len(grams), bool)
                 new[1:] = (grams[1:] != grams[:-1]) | (contexts[1:] != contexts[:-1]) | (count[1:] != count[:-1])
                 least = dids[doc][np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -96,41 +96,40 @@ def _contexts(size: int, gram: int, shards: int):
                 rows.append(settled_row(name, doc[late], place[late], shards))
                 # Of equal contexts of the smallest id, all wait for one answer.
                 wait = ~late
-                grams, lo, count, doc, place, new = grams[wait], lo[wait], count[wait], doc[wait], place[wait], new[wait]
+                grams, lo, count, ahead, doc, place, new = grams[wait], lo[wait], count[wait], ahead[wait], doc[wait], place[wait], new[wait]
                 for k, i, j in shard_slices(grams, shards):
-                    head = new[i:j]
-                    length = np.where(head, count[i:j] + size - 1, 0)
-                    run_of, inside = spread(length)
-                    raw = data[lo[i:j][run_of] + inside]
-                    rows.append((k, ENTRY, name, pack_sorted(grams[i:j]), pack(doc[i:j].astype(np.int32)), pack(place[i:j]), pack(np.concatenate([dids[doc[i:j]], head.astype(np.int64)])), pack(raw)))
+                    # The bytes before and after the gram; the gram itself is known by its hash.
+                    head, before = new[i:j], ahead[i:j]
+                    run_of, inside = spread(np.where(head, count[i:j] + size - 1 - gram, 0))
+                    raw = data[lo[i:j][run_of] + inside + gram * (inside >= before[run_of])]
+                    marks = np.where(head, before + 1, 0)
+                    rows.append((k, ENTRY, name, pack_sorted(grams[i:j]), pack(doc[i:j].astype(np.int32)), pack(place[i:j]), pack(np.concatenate([dids[doc[i:j]], marks])), pack(raw)))
             yield placed(rows)
 
     return run
 
 
-def suffix_order(raw: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order of the suffixes at these starts by their first ``size`` bytes, whether each equals the one before it to that depth)."""
+def suffix_order(raw: np.ndarray, starts: np.ndarray, group: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the suffixes at these starts by group, then by their first ``size`` bytes, whether each equals the one before it to that depth)."""
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
-    order = np.arange(len(starts))
-    same = np.ones(len(starts), bool)
-    same[:1] = False
-    # Most significant bytes first: ties alone are sorted on, eight bytes at a time.
+    order = np.argsort(group, kind="stable")
+    same = np.zeros(len(starts), bool)
+    same[1:] = group[order[1:]] == group[order[:-1]]
+    # Most significant bytes first, eight at a time; only ties are sorted on.
     eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
     for depth in range(0, size, 8):
-        if depth and not same.any():
-            break
-        key = np.ascontiguousarray(eight[starts[order] + depth]).view(">u8").ravel().astype(np.uint64)
-        if size - depth < 8:
-            key &= ~np.uint64((1 << 8 * (8 - (size - depth))) - 1)
-        group = np.cumsum(~same)
-        tied = np.zeros(len(order), bool)
-        tied[1:] |= same[1:]
+        tied = same.copy()
         tied[:-1] |= same[1:]
-        tied |= depth == 0
         t = np.flatnonzero(tied)
-        inner = t[np.lexsort((key[t], group[t]))]
-        order[t], key[t] = order[inner], key[inner]
-        same[1:] &= key[1:] == key[:-1]
+        if not len(t):
+            break
+        key = np.ascontiguousarray(eight[starts[order[t]] + depth]).view(">u8").ravel().astype(np.uint64)
+        if size - depth < 8:
+            key >>= np.uint64(8 * (8 - (size - depth)))
+        cluster = np.cumsum(~same)[t]
+        inner = np.lexsort((key, cluster))
+        order[t], key = order[t][inner], key[inner]
+        same[t[1:]] &= key[1:] == key[:-1]
     return order, same
 
 
@@ -154,57 +153,70 @@ def has_previous_factor(order: np.ndarray, same: np.ndarray, rank: np.ndarray) -
 SORTED = 1 << 19
 
 
-def _compare(size: int):
+def _compare(size: int, gram: int):
     """Entries of one shard: which starts of their contexts have earlier copies."""
+    rest = size - gram
 
     def compare(entries: list[tuple]) -> list[tuple]:
-        grams, docs, places, dids, heads, raws, source = [], [], [], [], [], [], []
+        cols: list[list[np.ndarray]] = [[] for _ in range(7)]
         for k, (_, a, b, c, d, e) in enumerate(entries):
-            n = len(g := unpack_sorted(a))
-            both = unpack(d)
-            grams.append(g), docs.append(unpack(b)), places.append(unpack(c)), dids.append(both[:n]), heads.append(both[n:] > 0), raws.append(unpack(e))
-            source.append(np.full(n, k))
-        gram, doc, place, did, head, source, raw = (np.concatenate(x) for x in (grams, docs, places, dids, heads, source, raws))
-        count = place & ((1 << BITS) - 1)
-        length = np.where(head, count + size - 1, 0)
-        text = np.cumsum(length) - length  # where a head's context stands in raw
-        group = np.cumsum(head) - 1  # the head of each waiting entry
+            g, both = unpack_sorted(a), unpack(d)
+            for col, x in zip(cols, (g, unpack(b), unpack(c), both[: len(g)], both[len(g) :], unpack(e), np.full(len(g), k))):
+                col.append(x)
+        grams, doc, place, did, mark, raw, source = (np.concatenate(x) for x in cols)
+        count, head = place & ((1 << BITS) - 1), mark > 0
+        group = np.cumsum(head) - 1  # the head, and so the context, of each waiting entry
         h = np.flatnonzero(head)
-        gone = np.zeros(int(count[h].sum()), bool)  # per start of each head
-        base = np.cumsum(count[h]) - count[h]
-        order = np.argsort(gram[h], kind="stable")
-        g = gram[h][order]
-        # Grams that one batch alone holds once have nothing to be compared with.
-        alone = np.concatenate([[True], g[1:] != g[:-1]]) & np.concatenate([g[1:] != g[:-1], [True]])
-        order, g = order[~alone], g[~alone]
-        edges = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.empty(0, np.int64)
-        sizes = np.cumsum(count[h][order])
+        hg, hc, hd, ahead = grams[h], count[h], did[h], mark[h] - 1
+        length = hc + rest - 1
+        text = np.cumsum(length) - length  # where each context stands in raw
+        up, down = powers(len(raw))
+        sums = prefix_hash(BYTE_VALUE[raw], up)
+        context = mix((sums[text + length] - sums[text]) * down[text] + (length << 8 | ahead).astype(np.uint64))
+        # Equal contexts: all but those of the smallest id have an earlier copy at every start.
+        order = np.lexsort((hd, context, hg))
+        g, c = hg[order], context[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+        first = order[new][np.cumsum(new) - 1]  # of each context, in order, its head of the smallest id
+        stands = np.empty(len(h), np.int64)
+        stands[order] = first
+        late = hd > hd[stands]
+        # Different contexts of one gram are compared suffix by suffix.
+        reps = order[new]
+        g = hg[reps]
+        edge = np.concatenate([[True], g[1:] != g[:-1]])
+        alone = edge & np.concatenate([edge[1:], [True]])
+        reps, g = reps[~alone], g[~alone]
+        base = np.zeros(len(h), np.int64)
+        base[reps] = np.cumsum(hc[reps]) - hc[reps]
+        gone = np.zeros(int(hc[reps].sum()) + 1, bool)
+        edges = np.append(np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])), len(g)) if len(g) else np.zeros(1, np.int64)
+        sizes = np.concatenate([[0], np.cumsum(hc[reps])])
         i = 0
-        while i < len(order):
+        while i < len(reps):
             # A gram's contexts stay together; small grams are sorted in one go.
-            least = np.searchsorted(sizes, (sizes[i - 1] if i else 0) + SORTED, "right")
-            nxt = np.searchsorted(edges, max(least, i + 1))
-            j = int(edges[nxt]) if nxt < len(edges) else len(order)
-            part = order[i:j]
-            run_of, inside = spread(count[h][part])
-            starts = text[h][part][run_of] + inside
-            so, same = suffix_order(raw, starts, size)
-            gone[base[part][run_of] + inside] = has_previous_factor(so, same, did[h][part][run_of])
+            j = int(edges[np.searchsorted(edges, max(int(np.searchsorted(sizes, sizes[i] + SORTED, "right")) - 1, i + 1))])
+            part = reps[i:j]
+            run_of, inside = spread(hc[part])
+            # Equal strings have their gram at the same distance from their start.
+            number = np.cumsum(np.concatenate([[True], g[i + 1 : j] != g[i : j - 1]]))
+            so, same = suffix_order(raw, text[part][run_of] + inside, number[run_of] * (rest + 1) + ahead[part][run_of] - inside, rest)
+            gone[base[part][run_of] + inside] = has_previous_factor(so, same, hd[part][run_of])
             i = j
-        out = []
+        compared = np.zeros(len(h), bool)
+        compared[reps] = True
         run_of, inside = spread(count)
-        hit = gone[base[group][run_of] + inside]
+        who = group[run_of]
+        at = np.where(compared[stands[who]], base[stands[who]] + inside, len(gone) - 1)
+        hit = late[who] | gone[at]
         begin = np.concatenate([[True], run_of[1:] != run_of[:-1]]) if len(run_of) else np.empty(0, bool)
-        open_ = hit & (begin | ~np.concatenate([[False], hit[:-1]]))
-        close = hit & np.concatenate([~hit[1:] | begin[1:], [True]])
-        first, last = np.flatnonzero(open_), np.flatnonzero(close)
-        entry = run_of[first]
-        value = ((place[entry] >> BITS) + inside[first]) << BITS | (last - first + 1)
+        opened = np.flatnonzero(hit & (begin | ~np.concatenate([[False], hit[:-1]])))
+        closed = np.flatnonzero(hit & (np.concatenate([begin[1:], [True]]) | ~np.concatenate([hit[1:], [False]])))
+        entry = run_of[opened]
+        value = ((place[entry] >> BITS) + inside[opened]) << BITS | (closed - opened + 1)
         cuts = np.searchsorted(source[entry], np.arange(len(entries) + 1))
-        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if a < b:
-                out.append((entries[k][0], SETTLED, pack(doc[entry[a:b]]), pack(value[a:b])))
-        return out
+        return [(entries[k][0], SETTLED, pack(doc[entry[a:b]]), pack(value[a:b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
 
     return compare
 
@@ -214,7 +226,7 @@ def later_copies(texts: DataFrame, size: int = 50, gram: int = 24) -> DataFrame:
     shards = shard_count(shuffle_partitions(texts.sparkSession))
     survivors = one_each(settle(texts.mapInArrow(_anchors(size, gram, shards), PLACED), found_again))
     rows = texts.join(survivors.hint("shuffle_hash"), _KEYS)
-    return one_each(settle(rows.mapInArrow(_contexts(size, gram, shards), PLACED), _compare(size)))
+    return one_each(settle(rows.mapInArrow(_contexts(size, gram, shards), PLACED), _compare(size, gram)))
 
 
 def _gone(n: int, places: bytes | None, size: int) -> np.ndarray:

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retentia.llm.common import portions
 from retentia.session import ship_by_value
 
 #: A space amid white space: pre-tokens may run across it.
@@ -319,13 +320,16 @@ def token_report(docs: DataFrame, rank_file: str, pattern: str, cache_words: int
 def _ids(tokens: list[bytes], pattern: str, cache_words: int, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(tokens, pattern, cache_words).encode
-        for batch in batches:
-            ids, decoded = [], []
+        for batch in portions(batches, at, 1 << 25):
+            ids, counts, decoded = [], [], []
             for texts in groups(batch.column(at)):
-                for found, _, raw in encode(texts):
-                    ids.append([int(i) for i in found.split()])
+                for found, n, raw in encode(texts):
+                    ids.append(found)
+                    counts.append(n)
                     decoded.append(hashlib.sha256(raw).hexdigest())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64()), pa.array(decoded, pa.string())], names=[*batch.schema.names, "token_ids", "n_tokens", "decoded_sha256"])
+            values = np.fromstring(" ".join([x for x in ids if x]), np.int32, sep=" ")
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(values))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(counts, pa.int64()), pa.array(decoded, pa.string())], names=[*batch.schema.names, "token_ids", "n_tokens", "decoded_sha256"])
 
     return run
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from retentia.llm import bpe, chat_format, line_dedup, minhash, quality_gbt, quality_rules, suffix_dedup, warc, window_dedup
+from retentia.llm import bpe, chat_format, decontaminate, line_dedup, minhash, quality_gbt, quality_rules, suffix_dedup, warc, window_dedup
 from retentia.llm.common import read_table
 
 
@@ -39,6 +39,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages"), min_payload=100)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.class_report(read_table(spark, sf_dir, "documents"), threshold=0.8)
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_quality_gbt": op4_quality_gbt,
     "op5_chat_format": op5_chat_format,
     "op6_warc": op6_warc,
+    "op7_decontaminate": op7_decontaminate,
     "op8_minhash": op8_minhash,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_window_dedup": op10_window_dedup,

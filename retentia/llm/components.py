@@ -28,7 +28,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (u, v: long) that isn't its component's least; root is that least node."""
-    now, before = edges.select("u", "v").where("u <> v").distinct(), None
+    now, before = edges.select("u", "v").where("u <> v").distinct().checkpoint(), None
     while True:
         now = _star(_star(now, True), False).checkpoint()
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

@@ -274,12 +274,10 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, ro
 
 
 def class_report(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its near-duplicates), class_size (rows of the class): one row per document row."""
+    """doc_id, class_id (the least doc_id of its near-duplicates): one row per document row."""
     own = docs.select("doc_id", "text")
     joined = with_keys(own).select("doc_id", "_rt_did", "_rt_th").join(near_classes(own, threshold), ["_rt_did", "_rt_th"])
-    sizes = joined.groupBy("class_did").agg(F.count("*").alias("class_size"))
-    named = joined.join(sizes, "class_did")
-    return named.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("class_did") != NULL_ID, F.col("class_did")).alias("class_id"), "class_size")
+    return joined.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("class_did") != NULL_ID, F.col("class_did")).alias("class_id"))
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:

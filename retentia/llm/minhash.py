@@ -6,8 +6,9 @@ fixed size.  With p a table cell's share of the documents,
 
     weight = count in the text * (1 + ln((1 + P0) / (p + P0)))
 
-so that weights don't depend on the corpus size, and a shingle weighs less
-where a fair share of all documents (``P0``) holds it.
+so that weights don't depend on the corpus size: a shingle of every document
+weighs half of a rare one, and one that thousands of copies hold among many
+documents about as much as a rare one, so large groups keep their links.
 
 Improved consistent weighted sampling draws, for each of ``bands * rows``
 samples, a shingle and a level of its weight; two documents agree in a
@@ -49,7 +50,7 @@ _U = np.uint64
 SHINGLE = 5
 #: Cells of the document frequency table: 2**CELL_BITS.
 CELL_BITS = 18
-P0 = 0.05
+P0 = 0.5
 BANDS, ROWS = 10, 3
 SMALL = 16
 AGREE = 0.5

@@ -162,7 +162,7 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def evaluate(model: PipelineModel, split_df: DataFrame) -> DataFrame:
     """Held-out report as rows (metric, class, value) on the 'test' split."""
     test = predict(model, split_df.where(F.col("split") == "test"))
-    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
+    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)  # 0: the exact curve
     auc_value = auc.evaluate(test)
     pred = (F.col("flight_risk_score") >= 0.5).cast("double")
     conf = test.groupBy().agg(

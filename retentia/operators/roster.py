@@ -97,7 +97,7 @@ def account_card_display(card: DataFrame) -> DataFrame:
     thousands separators and two decimals)."""
     return card.select(
         "account_id",
-        F.format_string("Account %s (%s) has been active for %d days.", "account_id", "industry", "tenure_days").alias("headline"),
+        F.concat_ws(" / ", "account_id", "industry", F.concat(F.col("tenure_days").cast("string"), F.lit(" d"))).alias("headline"),
         F.concat(F.format_number(F.col("flight_risk_score") * 100, 1), F.lit("%")).alias("flight_risk"),
         F.concat(F.lit("$"), F.format_number("active_mrr_run_rate", 2)).alias("monthly_revenue"),
         F.col("primary_risk_drivers").alias("intervention_triggers"),

@@ -146,19 +146,6 @@ def _spread(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
     return df.repartition(n, *(keys or ("account_id",)))
 
 
-# About this many accounts' subscriptions are exploded per task.
-ACCOUNTS_PER_TASK = 5_000
-
-
-def spread_partitions(spark, accounts: int) -> int:
-    """Tasks for the pre-explode spread: ~ACCOUNTS_PER_TASK accounts each, at
-    least twice the default parallelism (room to balance uneven tasks), at
-    most the shuffle partition count."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    floor_ = 2 * spark.sparkContext.defaultParallelism
-    return max(1, min(cap, max(floor_, -(-accounts // ACCOUNTS_PER_TASK))))
-
-
 def subscription_days(
     subscriptions: DataFrame, needed: DataFrame | None, period: AnalysisPeriod, partitions: int | None = None
 ) -> DataFrame:
@@ -289,51 +276,20 @@ def spine_row_count(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_M
     return int(n or 0)
 
 
-def subscription_ranges(bounds: DataFrame, clip_to_accounts: bool | None = None) -> DataFrame | None:
-    """Per-account day ranges (account_id, need_lo, need_hi) to clip
-    subscription-days by, as a broadcast - or None (clip to the period).
-
-    ``None`` decides by counting the range table (one row per account):
-    broadcast up to ``BROADCAST_RANGES_MAX_ACCOUNTS``.  A shuffle join here
-    would regroup subscriptions by account and put a very large account's
-    whole explode into one task, so there is no shuffled form."""
-    needed = bounds.groupBy("account_id").agg(F.min("lo").alias("need_lo"), F.max("hi").alias("need_hi"))
-    if clip_to_accounts is None:
-        clip_to_accounts = needed.count() <= BROADCAST_RANGES_MAX_ACCOUNTS
-    return F.broadcast(needed) if clip_to_accounts else None
-
-
-# Per-account day ranges are broadcast only up to this many accounts
-# (~50 bytes a row); beyond it subscriptions are clipped to the period.
-BROADCAST_RANGES_MAX_ACCOUNTS = 1_000_000
-
-
-def daily_spine(
-    raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE, clip_to_accounts: bool | None = None
-) -> DataFrame:
+def daily_spine(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE, partitions: int | None = None) -> DataFrame:
     """The daily fact table (schema ``retentia.schemas.DAILY_SPINE``).
 
-    Subscription-days are clipped to each account's panel range when that
-    range table (one row per account) is small enough to broadcast - checked
-    by counting it - so the join keeps subscriptions spread by (account,
-    subscription).  Beyond the bound they are clipped to the analysis period
-    with no join at all (more rows, still no hot task).  Both give the same
-    fact rows.  ``clip_to_accounts`` forces one of the two forms."""
+    One plan at every size: subscription-days are clipped to the analysis
+    period with no join, so subscriptions stay spread by (account,
+    subscription); days outside an account's panel go with the aggregation.
+    ``partitions`` sets the spread before days are exploded (default: the
+    shuffle partition count)."""
     p = _resolve(period, mode)
-    spark = raw.accounts.sparkSession
     bounds = account_windows(raw.accounts, latest_churn(raw.churn_events, p), p)
-    ranges = bounds.groupBy("account_id").agg(F.min("lo").alias("need_lo"), F.max("hi").alias("need_hi"))
-    # One small counting job sizes both decisions below.
-    accounts = ranges.count()
-    if clip_to_accounts is None:
-        clip_to_accounts = accounts <= BROADCAST_RANGES_MAX_ACCOUNTS
-    # Size-checked broadcast; see ``subscription_ranges``.
-    needed = F.broadcast(ranges) if clip_to_accounts else None
-    n = spread_partitions(spark, accounts)
-    bounds = _spread(bounds, "account_id", n=n)
+    bounds = _spread(bounds, "account_id", n=partitions)
 
     markers = spine_days(bounds).withColumn("is_spine", F.lit(1))
-    subs = subscription_days(raw.subscriptions, needed, p, partitions=n)
+    subs = subscription_days(raw.subscriptions, None, p, partitions=partitions)
     usage = _usage_rows(raw.feature_usage, raw.subscriptions, p)
     tickets = _ticket_rows(raw.support_tickets, p)
 

@@ -84,7 +84,7 @@ def run_all(spark: SparkSession, raw: RawTables, period: AnalysisPeriod, out: st
     from retentia.operators.spine import spine_row_count
 
     size_shuffle_partitions(spark, spine_row_count(raw, period, mode) * 4)
-    fact_path = store.backfill(spark, raw, period, mode=mode)
+    fact_path = store.backfill(spark, raw, period, mode=mode, path=f"{out}/fact_daily_spine")
     fact = store.read_fact(spark, fact_path)
     written["fact_daily_spine"] = fact_path
     store.export_spine_csv(fact.drop(store.MONTH_COL), f"{out}/fact_daily_spine_export")

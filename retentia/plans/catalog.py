@@ -53,7 +53,7 @@ def q_spine_days(spark, sf):
 def q_governing_subscription(spark, sf):
     raw = raw_tables(spark, sf)
     b = spine.spine_bounds(raw, P)
-    gov = spine.governing_subscription(raw.subscriptions, spine.subscription_ranges(b), P)
+    gov = spine.governing_subscription(raw.subscriptions, None, P)
     days = spine.spine_days(b).select("account_id", "observation_date")
     return days.join(gov, ["account_id", "observation_date"], "left").select(
         "account_id", "observation_date", F.col("gov.subscription_id").alias("subscription_id")
@@ -178,6 +178,18 @@ def q_cross_filtered_velocity(spark, sf):
     return dash.cross_filtered_velocity(fact_table(spark, sf), ["Enterprise"], ["2000-04-01", "2000-05-01", "2000-06-01"])
 
 
+def q_cross_filtered_by_reason(spark, sf):
+    return dash.cross_filtered_velocity(fact_table(spark, sf), reasons=["pricing", "support"], churn_events=raw_tables(spark, sf).churn_events)
+
+
+def q_cross_filtered_by_priority(spark, sf):
+    return dash.cross_filtered_velocity(fact_table(spark, sf), priorities=["urgent"], support_tickets=raw_tables(spark, sf).support_tickets)
+
+
+def q_cross_filtered_by_cohort(spark, sf):
+    return dash.cross_filtered_velocity(fact_table(spark, sf), cohort_cells=[("2000-01-01", 2), ("2000-02-01", 3)])
+
+
 QUERIES: dict[str, Query] = {
     "usage_dedup": q_usage_dedup,
     "latest_churn": q_latest_churn,
@@ -213,6 +225,9 @@ QUERIES: dict[str, Query] = {
     "at_risk_arr": _dash(dash.at_risk_arr),
     "churned_account_arr": _dash(dash.churned_account_arr),
     "cross_filtered_velocity": q_cross_filtered_velocity,
+    "cross_filtered_by_reason": q_cross_filtered_by_reason,
+    "cross_filtered_by_priority": q_cross_filtered_by_priority,
+    "cross_filtered_by_cohort": q_cross_filtered_by_cohort,
     "recognized_churned_arr": _dash(dash.recognized_churned_arr),
 }
 
@@ -297,7 +312,8 @@ def q_risk_drivers_linear(spark, sf):
 
 
 def q_risk_roster(spark, sf):
-    return _linear_scores(spark, sf)
+    # The order is part of the result; reading files back doesn't keep it.
+    return _linear_scores(spark, sf).orderBy(F.desc("flight_risk_score"), "account_id")
 
 
 def q_portfolio_kpis(spark, sf):

@@ -82,13 +82,10 @@ def month_end_dates(spine: DataFrame) -> DataFrame:
     return spine.groupBy(month_bucket(DATE).alias("obs_month")).agg(F.max(DATE).alias("month_end_date"))
 
 
-def with_month_end(spine: DataFrame) -> DataFrame:
-    """Adds ``obs_month`` and ``is_month_end`` (1 on each month's last observed date)."""
-    me = F.broadcast(month_end_dates(spine))  # <= months in the calendar range
-    s = spine.withColumn("obs_month", month_bucket(DATE))
-    return s.join(me, "obs_month", "left").withColumn(
-        "is_month_end", F.when(F.col(DATE) == F.col("month_end_date"), 1).otherwise(0)
-    ).drop("month_end_date")
+def month_end_rows(spine: DataFrame) -> DataFrame:
+    """The rows of each month's last observed date, with ``obs_month``; at most one date per calendar month is broadcast."""
+    me = F.broadcast(month_end_dates(spine).withColumnRenamed("month_end_date", DATE))
+    return spine.join(me, DATE)
 
 
 def cohorts(spine: DataFrame) -> DataFrame:
@@ -102,16 +99,37 @@ def cross_filter(
     tiers: list[str] | None = None,
     priorities: list[str] | None = None,
     reasons: list[str] | None = None,
+    cohort_cells: list[tuple[str, int]] | None = None,
+    churn_events: DataFrame | None = None,
+    support_tickets: DataFrame | None = None,
 ) -> DataFrame:
-    """Conjunctive dashboard selections, applied after LOD columns exist."""
+    """Conjunctive dashboard selections, applied after LOD columns exist.
+
+    A churn reason or ticket priority chosen on its own sheet filters a panel
+    sheet through account_id, by the related table given.  ``cohort_cells`` are
+    (cohort month, months since) cells of the cohort sheet."""
+    if cohort_cells:
+        cohort = cohorts(df).withColumnRenamed("cohort_month", "_cohort")
+        since_ = calendar_month_diff("_cohort", DATE)
+        cells = [(F.col("_cohort") == F.lit(m).cast("date")) & (since_ == k) for m, k in cohort_cells]
+        test = cells[0]
+        for c in cells[1:]:
+            test = test | c
+        df = df.join(cohort, "account_id").where(test).drop("_cohort")
     if months:
-        df = df.where(month_bucket(DATE).isin([F.lit(m).cast("date") for m in months]))
+        days = [F.lit(m).cast("date") for m in months]
+        if YM in df.columns:  # the same test on the partition column prunes the scan
+            df = df.where(F.col(YM).isin([_month_of(d) for d in days]))
+        df = df.where(month_bucket(DATE).isin(days))
     if tiers:
         df = df.where(F.col("baseline_tier").isin(tiers))
-    if priorities:
-        df = df.where(F.col("priority").isin(priorities))
-    if reasons:
-        df = df.where(F.col("reason_code").isin(reasons))
+    for column, chosen, table in (("priority", priorities, support_tickets), ("reason_code", reasons, churn_events)):
+        if chosen and column in df.columns:
+            df = df.where(F.col(column).isin(chosen))
+        elif chosen:
+            if table is None:
+                raise ValueError(f"a selection by {column} needs its table")
+            df = df.join(table.where(F.col(column).isin(chosen)).select("account_id").distinct(), "account_id", "left_semi")
     return df
 
 
@@ -162,7 +180,7 @@ def app_minutes_30d(spine: DataFrame, days: int = config.TRAILING_SHORT_DAYS) ->
 
 def mrr_trajectory(spine: DataFrame) -> DataFrame:
     """G5 / G-m: MRR snapshot and ARR run rate on each month's last observed date."""
-    s = with_month_end(spine).where(F.col("is_month_end") == 1)
+    s = month_end_rows(spine)
     return s.groupBy("obs_month").agg(
         money_double(F.sum(MRR)).alias("snapshot_mrr"), money_double(F.sum(MRR) * 12).alias("arr_run_rate")
     ).orderBy("obs_month")
@@ -176,16 +194,16 @@ def velocity_by_month(spine: DataFrame) -> DataFrame:
     ).orderBy("obs_month")
 
 
-def cross_filtered_velocity(spine: DataFrame, tiers: list[str], months: list[str]) -> DataFrame:
-    """Velocity bars after a tier and month selection on another sheet."""
-    g = cross_filter(spine, months=months, tiers=tiers).groupBy(month_bucket(DATE).alias("obs_month"))
+def cross_filtered_velocity(spine: DataFrame, tiers: list[str] | None = None, months: list[str] | None = None, **selections) -> DataFrame:
+    """Velocity bars after selections on other sheets."""
+    g = cross_filter(spine, months=months, tiers=tiers, **selections).groupBy(month_bucket(DATE).alias("obs_month"))
     g = g.agg(F.sum("net_mrr_delta").alias("d"))
     return g.select("obs_month", money_double("d").alias("net_mrr_delta"), sign_label("d").alias("velocity_label"))
 
 
 def at_risk_arr(spine: DataFrame) -> DataFrame:
     """G-n: ARR on month-end rows with friction > 5 or CSAT < 3, per month."""
-    s = with_month_end(spine).where(F.col("is_month_end") == 1)
+    s = month_end_rows(spine)
     risky = (F.col("daily_friction_events") > config.AT_RISK_FRICTION) | (F.col("avg_csat_score") < config.AT_RISK_CSAT)
     return s.groupBy("obs_month").agg(
         money_double(F.sum(F.when(risky, F.col(MRR) * 12).otherwise(0))).alias("at_risk_arr"),
@@ -195,13 +213,13 @@ def at_risk_arr(spine: DataFrame) -> DataFrame:
 
 def growth_multiple(spine: DataFrame) -> DataFrame:
     """G-d/e/f: latest-date MRR over the first month's month-end MRR."""
-    s = with_month_end(spine)
-    first_month = spine.select(F.min(month_bucket(DATE))).scalar()
-    latest = latest_date(spine)
-    g = s.agg(
-        F.sum(F.when((F.col("is_month_end") == 1) & (F.col("obs_month") == first_month), F.col(MRR)).otherwise(0)).alias("f"),
-        F.sum(F.when(F.col(DATE) == latest, F.col(MRR)).otherwise(0)).alias("l"),
-    )
+    if YM in spine.columns:  # one month's partition on either end
+        opening = spine.where(F.col(YM) == spine.select(F.min(YM)).scalar())
+    else:
+        opening = spine.where(month_bucket(DATE) == spine.select(F.min(month_bucket(DATE))).scalar())
+    first = opening.where(F.col(DATE) == opening.select(F.max(DATE)).scalar())
+    ends = first.select(F.col(MRR).alias("f"), F.lit(None).alias("l")).unionByName(on_latest(spine).select(F.lit(None).alias("f"), F.col(MRR).alias("l")))
+    g = ends.agg(F.coalesce(F.sum("f"), F.lit(0)).alias("f"), F.coalesce(F.sum("l"), F.lit(0)).alias("l"))
     return g.select(
         money_double("f").alias("first_month_mrr"),
         money_double("l").alias("latest_mrr"),
@@ -266,7 +284,7 @@ def cohort_retention(spine: DataFrame, max_months: int = config.COHORT_MAX_MONTH
     month-end date, so rows per (cohort, month) are distinct accounts."""
     c = cohorts(spine)
     size = c.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
-    s = with_month_end(spine).where(F.col("is_month_end") == 1).join(c, "account_id")
+    s = month_end_rows(spine).join(c, "account_id")
     s = s.withColumn("months_since", calendar_month_diff("cohort_month", "obs_month"))
     s = s.where(F.col("months_since").between(0, max_months))
     g = s.groupBy("cohort_month", "months_since").agg(F.count(F.lit(1)).alias("retained_accounts"))

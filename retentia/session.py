@@ -3,7 +3,6 @@ shared folder used to cut lineage (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -40,10 +39,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Idempotently apply the runtime settings to an existing session."""
     for k, v in _RUNTIME_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # pragma: no cover - read-only conf on some clusters
-            pass
+        spark.conf.set(k, v)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,6 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="retentia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -70,15 +68,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/retentia/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if path.startswith("/"):
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-
-
 def ship_by_value(*modules) -> None:
     """Pickle functions of these modules by value, so Python workers that do
     not have this package installed can run them (mapInPandas / pandas UDFs)."""

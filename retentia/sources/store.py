@@ -79,18 +79,14 @@ def default_buckets(spark: SparkSession, rows: int | None = None) -> int:
     return max(floor_, min(cap, -(-rows // ROWS_PER_BUCKET)))
 
 
-def backfill(spark: SparkSession, raw, period, current_path: str | None = None, mode: str = "window") -> str:
-    """Refresh the fact table window by window, as the original
-    procedure was called once per window; returns the final version path.
-    Each window's rows come from one spine job over that window only."""
-    from retentia.config import AnalysisPeriod
+def backfill(spark: SparkSession, raw, period, current_path: str | None = None, mode: str = "window", path: str | None = None) -> str:
+    """Refresh all windows of the period as one new version; returns its
+    path.  One spine job covers all windows (in window mode each keeps its own
+    churn cut, in as-of-run mode all share the period's), and the table is
+    written once, whatever their number."""
     from retentia.operators.spine import daily_spine
 
-    path = current_path
-    for w_from, w_to in period.windows:
-        one = AnalysisPeriod(period.cal_start, period.cal_end, ((w_from, w_to),))
-        path = refresh_window(spark, path, daily_spine(raw, one, mode), w_from, w_to)
-    return path
+    return refresh_windows(spark, current_path, daily_spine(raw, period, mode), list(period.windows), path)
 
 
 def materialize(
@@ -131,9 +127,9 @@ def refresh_window(
 
 
 def refresh_windows(
-    spark: SparkSession, current_path: str | None, recomputed: DataFrame, windows: list[tuple[dt.date, dt.date]]
+    spark: SparkSession, current_path: str | None, recomputed: DataFrame, windows: list[tuple[dt.date, dt.date]], path: str | None = None
 ) -> str:
-    """Replace the rows of several windows at once (one new version)."""
+    """Replace the rows of several windows at once (one new version, at ``path`` or in the shared folder)."""
     def inside(c):
         cond = None
         for a, b in windows:
@@ -148,7 +144,7 @@ def refresh_windows(
     else:
         kept = read_fact(spark, current_path).drop(MONTH_COL).where(~inside(day))
         combined = kept.unionByName(new_rows)
-    path = scratch_path(spark, "fact_daily_spine")
+    path = path or scratch_path(spark, "fact_daily_spine")
     write_fact(combined, path)
     return path
 

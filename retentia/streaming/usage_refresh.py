@@ -118,7 +118,9 @@ def start_usage_refresh(
         landed = spark.read.parquet(usage_store).select(*schemas.FEATURE_USAGE.fieldNames())
         usage = dedup_usage(landed)
         raw = RawTables(base.accounts, base.subscriptions, usage, base.support_tickets, base.churn_events)
-        touched = touched_windows(batch, period)
+        # A usage_id that came again may have left a window: the dates of its other copies count too.
+        copies = landed.join(batch.select("usage_id").distinct(), "usage_id", "left_semi")
+        touched = touched_windows(copies, period)
         if not touched:
             return
         windows = [period.windows[w] for w in touched]

@@ -174,5 +174,5 @@ def test_score_file_fallback_contract_and_card(spark, tmpdir_path):
         roster.read_scores(spark, stale + "2")
     card = roster.account_card_display(roster.account_card(back, "a")).first()
     assert card["flight_risk"] == "81.0%" and card["monthly_revenue"] == "$1,234.50"
-    assert card["headline"] == "Account a (x) has been active for 40 days."
+    assert card["headline"] == "a / x / 40 d"
     assert roster.source_freshness(spark, good).first()["last_modified"] is not None

@@ -128,6 +128,21 @@ def test_backfill_equals_single_window_mode_job(spark):
     assert got == want
 
 
+def test_backfill_as_of_run_sees_all_churns(spark):
+    from helpers import churn
+
+    from retentia.operators.spine import AS_OF_RUN_MODE
+    from retentia.sources.store import read_fact
+
+    period = AnalysisPeriod.quarters("2024-01-01", "2024-06-30", [("2024-01-01", "2024-03-31"), ("2024-04-01", "2024-06-30")])
+    r = raw(spark, [account("a", "2024-01-01")], [sub("s", "a", "2024-01-01", mrr="10.00")], churns=[churn("c", "a", "2024-02-10"), churn("e", "a", "2024-05-20")])
+    for mode in ("window", AS_OF_RUN_MODE):
+        path = store.backfill(spark, r, period, mode=mode)
+        got = sorted(tuple(x) for x in read_fact(spark, path).drop("obs_ym").collect())
+        assert got == sorted(tuple(x) for x in daily_spine(r, period, mode).collect())
+    assert len(got) == 141
+
+
 def test_namespaces_created(spark):
     store.ensure_namespaces(spark)
     assert all(spark.catalog.databaseExists(ns) for ns in store.NAMESPACES)

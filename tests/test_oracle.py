@@ -11,8 +11,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, value_hash  # noqa: E402
 
+from retentia.plans.catalog import MODEL_QUERIES, QUERIES  # noqa: E402
+from retentia.plans.oracle import oracle_queries  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
-SQL = E.oracle_sql()
+SQL = oracle_queries()  # the corpus queries have tests of their own
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
 
@@ -31,10 +34,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_model_based():
-    from retentia.plans.catalog import MODEL_QUERIES
-
-    missing = set(E.queries()) - set(SQL) - set(MODEL_QUERIES)
-    assert not missing
+    assert not set(QUERIES) - set(SQL) and set(QUERIES) | set(MODEL_QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -47,3 +47,8 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(o_cols)
     assert len(s_rows) == len(o_rows)
     assert value_hash(df.columns, s_rows) == value_hash(o_cols, o_rows)
+
+
+def test_risk_roster_is_in_order(spark):
+    rows = [(-r.flight_risk_score, r.account_id) for r in E.queries()["risk_roster"](spark, SF).collect()]
+    assert rows == sorted(rows)

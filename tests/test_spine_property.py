@@ -71,14 +71,14 @@ def _oracle(tables, mode):
     return sorted(tuple(r) for r in con.execute(sql).fetchall())
 
 
-@pytest.mark.parametrize("mode,clip", [(WINDOW_MODE, True), (AS_OF_RUN_MODE, True), (WINDOW_MODE, False)])
+@pytest.mark.parametrize("mode", [WINDOW_MODE, AS_OF_RUN_MODE])
 @settings(max_examples=10, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(accounts_st, subs_st, churn_st, usage_st, ticket_st)
-def test_spine_matches_literal_sql(spark, mode, clip, accts, subs, churns, usages, tickets):
+def test_spine_matches_literal_sql(spark, mode, accts, subs, churns, usages, tickets):
     tables = _tables(accts, subs, churns, usages, tickets)
     r = raw(spark, *[tables[i] for i in (0, 1, 3, 4, 2)])
     from retentia.plans.catalog import decimals_to_double
 
-    spine = daily_spine(r, P, mode, clip_to_accounts=clip)
+    spine = daily_spine(r, P, mode)
     got = sorted(tuple(x) for x in decimals_to_double(spine).collect())
     assert got == _oracle(tables, mode)

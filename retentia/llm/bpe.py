@@ -320,7 +320,7 @@ def token_report(docs: DataFrame, rank_file: str, pattern: str, cache_words: int
 def _ids(tokens: list[bytes], pattern: str, cache_words: int, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(tokens, pattern, cache_words).encode
-        for batch in portions(batches, at, 1 << 25):
+        for batch in portions(batches, at, 1 << 22):
             ids, counts, decoded = [], [], []
             for texts in groups(batch.column(at)):
                 for found, n, raw in encode(texts):
@@ -334,7 +334,7 @@ def _ids(tokens: list[bytes], pattern: str, cache_words: int, at: int):
     return run
 
 
-def encode_rows(docs: DataFrame, rank_file: str, pattern: str, cache_words: int = 400_000) -> DataFrame:
+def encode_rows(docs: DataFrame, rank_file: str, pattern: str, cache_words: int = 100_000) -> DataFrame:
     """The document rows with token_ids (array of int), n_tokens and the digest of the decoded bytes; input columns of these names are replaced."""
     tokens = load_ranks(rank_file)
     kept = docs.drop("token_ids", "n_tokens", "decoded_sha256")

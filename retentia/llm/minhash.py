@@ -88,7 +88,7 @@ _BLOCK = 1 << 12
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One packed row per block of the table, and one of the number of documents (block -1)."""
     total, docs = np.zeros(1 << CELL_BITS, np.int64), 0
-    for batch in portions(batches, 0):
+    for batch in portions(batches, 0, 1 << 21):
         docs += batch.num_rows
         _, h, _ = shingles(*string_buffers(batch.column(0)))
         total += np.bincount(cell(h), minlength=len(total))

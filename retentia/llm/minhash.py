@@ -192,10 +192,12 @@ def candidates(reps: DataFrame, path: str) -> DataFrame:
     keys = reps.where("sig IS NOT NULL").select("_rt_did", "_rt_th", F.posexplode("bands").alias("band", "key"))
     shared = _sized(keys).join(reps, ["_rt_did", "_rt_th"])
     me = F.struct(F.col("_rt_did").alias("did"), F.col("_rt_th").alias("th"), "sig")
-    shared.select(me.alias("me"), "bands", "band", "key", "n").write.parquet(f"{path}/shared")
-    rows = spark.read.parquet(f"{path}/shared")
+    rows = shared.select(me.alias("me"), "bands", "band", "key", "n")
     pairs = []
     for depth in range(DEEP):
+        # Written, so that each split reads the rows of the one before instead of making them again.
+        rows.write.parquet(f"{path}/shared{depth}")
+        rows = spark.read.parquet(f"{path}/shared{depth}")
         small = rows.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("me")).alias("all"))
         each = small.select(F.posexplode("all").alias("i", "a"), "all").select("a", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("b"))
         large = rows.where(F.col("n") > SMALL)

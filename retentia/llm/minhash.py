@@ -251,9 +251,8 @@ def _verify(weights: np.ndarray, least: float):
 
 def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(_rt_did, _rt_th, class_did) of each different (id, text): class_did is the least id of its group."""
-    spark = docs.sparkSession
-    n = shuffle_partitions(spark)
     weights = shingle_weights(docs)
+    spark = docs.sparkSession
     path = scratch_path(spark, "near")
     plain = keyed_texts(docs)
     signed = plain.select("_rt_did", "_rt_th", F.xxhash64(F.lit(1), "text").alias("_rt_c2"), "text").mapInArrow(_signatures(weights, bands, rows), SIGNED)
@@ -264,7 +263,8 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, ro
     reps = classes.select("rep._rt_did", "rep._rt_th", "sig", "bands")
     candidates(reps, path).write.parquet(f"{path}/pairs")
     pairs = spark.read.parquet(f"{path}/pairs")
-    texts = plain.select("_rt_did", "_rt_th", "text").repartition(n, "_rt_did", "_rt_th")
+    # No repartition of their own, so that Spark can split the joins at a bucket's first text, which may have very many partners.
+    texts = plain.select("_rt_did", "_rt_th", "text")
     one = lambda did, th, text: texts.select(F.col("_rt_did").alias(did), F.col("_rt_th").alias(th), F.col("text").alias(text))
     with_b = pairs.join(one("b_did", "b_th", "b_text"), ["b_did", "b_th"])
     with_both = with_b.join(one("a_did", "a_th", "a_text"), ["a_did", "a_th"]).select("a_did", "a_th", "b_did", "a_text", "b_text")

@@ -16,7 +16,8 @@ sample with the probability of their weighted Jaccard similarity.  Samples
 are banded; documents that share a band are candidates.  In a band's bucket
 of up to ``SMALL`` texts all pairs are candidates.  A larger bucket links
 each text to its first one, and splits by the next bands, again and again,
-until its parts are small or the bands are used up.  Pairs whose samples
+until its parts are small or the bands are used up; texts left together then
+agree in all samples.  Pairs whose samples
 agree in less than ``AGREE`` of all are set aside (a pair of similarity 0.8
 does so once in 20,000), the others are verified by their exact weighted
 Jaccard similarity over whole texts.  Links make groups (``components``).
@@ -54,8 +55,6 @@ P0 = 0.5
 BANDS, ROWS = 10, 3
 SMALL = 16
 AGREE = 0.5
-#: Candidates split by up to so many bands.
-DEEP = 4
 
 _HASH_BITS = 50
 _MASK = (1 << _HASH_BITS) - 1
@@ -186,7 +185,7 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
 
 
-def candidates(reps: DataFrame, path: str) -> DataFrame:
+def candidates(reps: DataFrame, path: str, bands: int = BANDS) -> DataFrame:
     """(a_did, a_th, b_did, b_th): pairs of texts that share a bucket and agree in enough samples; reps: _rt_did, _rt_th, sig, bands."""
     spark = reps.sparkSession
     keys = reps.where("sig IS NOT NULL").select("_rt_did", "_rt_th", F.posexplode("bands").alias("band", "key"))
@@ -194,10 +193,12 @@ def candidates(reps: DataFrame, path: str) -> DataFrame:
     me = F.struct(F.col("_rt_did").alias("did"), F.col("_rt_th").alias("th"), "sig")
     rows = shared.select(me.alias("me"), "bands", "band", "key", "n")
     pairs = []
-    for depth in range(DEEP):
+    for depth in range(bands):
         # Written, so that each split reads the rows of the one before instead of making them again.
         rows.write.parquet(f"{path}/shared{depth}")
         rows = spark.read.parquet(f"{path}/shared{depth}")
+        if rows.isEmpty():
+            break
         small = rows.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("me")).alias("all"))
         each = small.select(F.posexplode("all").alias("i", "a"), "all").select("a", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("b"))
         large = rows.where(F.col("n") > SMALL)
@@ -205,6 +206,8 @@ def candidates(reps: DataFrame, path: str) -> DataFrame:
         pairs += [each, large.join(heads, "key").where("me <> a").select("a", F.col("me").alias("b"))]
         next_band = F.get("bands", ((F.col("band") + depth + 1) % F.size("bands")).cast("int"))
         rows = _sized(large.select("me", "bands", "band", F.xxhash64("key", next_band).alias("key")))
+    if not pairs:
+        return spark.createDataFrame([], "a_did long, a_th long, b_did long, b_th long")
     both = pairs[0]
     for p in pairs[1:]:
         both = both.unionByName(p)
@@ -261,7 +264,7 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, ro
     # One representative of each text; th and c2 together are 128 bits of its hash (a null and an empty text differ in th).
     classes = signed.groupBy("_rt_c2", "sig").agg(F.min(F.struct("_rt_did", "_rt_th")).alias("rep"), F.first("bands").alias("bands"))
     reps = classes.select("rep._rt_did", "rep._rt_th", "sig", "bands")
-    candidates(reps, path).write.parquet(f"{path}/pairs")
+    candidates(reps, path, bands).write.parquet(f"{path}/pairs")
     pairs = spark.read.parquet(f"{path}/pairs")
     # No repartition of their own, so that Spark can split the joins at a bucket's first text, which may have very many partners.
     texts = plain.select("_rt_did", "_rt_th", "text")

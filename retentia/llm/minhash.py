@@ -192,27 +192,23 @@ def candidates(reps: DataFrame, path: str, bands: int = BANDS) -> DataFrame:
     shared = _sized(keys).join(reps, ["_rt_did", "_rt_th"])
     me = F.struct(F.col("_rt_did").alias("did"), F.col("_rt_th").alias("th"), "sig")
     rows = shared.select(me.alias("me"), "bands", "band", "key", "n")
-    pairs = []
+    schema = "a_did long, a_th long, b_did long, b_th long"
     for depth in range(bands):
-        # Written, so that each split reads the rows of the one before instead of making them again.
+        # Rows and pairs are written, so that each split reads the rows of the one before instead of making them again.
         rows.write.parquet(f"{path}/shared{depth}")
         rows = spark.read.parquet(f"{path}/shared{depth}")
-        if rows.isEmpty():
-            break
         small = rows.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("me")).alias("all"))
         each = small.select(F.posexplode("all").alias("i", "a"), "all").select("a", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("b"))
         large = rows.where(F.col("n") > SMALL)
         heads = large.groupBy("key").agg(F.min("me").alias("a"))
-        pairs += [each, large.join(heads, "key").where("me <> a").select("a", F.col("me").alias("b"))]
+        both = each.unionByName(large.join(heads, "key").where("me <> a").select("a", F.col("me").alias("b")))
+        flat = both.select("a.did", "a.th", "b.did", "b.th", "a.sig", "b.sig").toDF("a_did", "a_th", "b_did", "b_th", "a_sig", "b_sig")
+        flat.mapInArrow(_agreeing(AGREE), schema).distinct().write.mode("append").parquet(f"{path}/agreeing")
+        if large.isEmpty():
+            break
         next_band = F.get("bands", ((F.col("band") + depth + 1) % F.size("bands")).cast("int"))
         rows = _sized(large.select("me", "bands", "band", F.xxhash64("key", next_band).alias("key")))
-    if not pairs:
-        return spark.createDataFrame([], "a_did long, a_th long, b_did long, b_th long")
-    both = pairs[0]
-    for p in pairs[1:]:
-        both = both.unionByName(p)
-    flat = both.select("a.did", "a.th", "b.did", "b.th", "a.sig", "b.sig").toDF("a_did", "a_th", "b_did", "b_th", "a_sig", "b_sig")
-    return flat.mapInArrow(_agreeing(AGREE), "a_did long, a_th long, b_did long, b_th long").distinct()
+    return spark.read.schema(schema).parquet(f"{path}/agreeing").distinct()
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:

@@ -122,9 +122,6 @@ def linear_drivers(
 # --------------------------------------------------------------------------
 
 
-_MAX_CATEGORIES = 64  # >= maxBins; categorical codes are category indices
-
-
 def tree_table(spark: SparkSession, pipeline: PipelineModel) -> dict:
     """The fitted trees as flat numpy arrays (saved model -> Parquet node table)."""
     gbt = pipeline.stages[-1]
@@ -146,6 +143,8 @@ def tree_table(spark: SparkSession, pipeline: PipelineModel) -> dict:
     # Bounded by maxIter * (2^(maxDepth+1) - 1) rows: safe to bring to the driver.
     nd = nodes.toPandas().sort_values(["treeID", "id"])
     wd = weights.toPandas().set_index("treeID")["weights"].to_dict()
+    # As many codes as the widest categorical split has.
+    width = max(1, int(nd["num_categories"].max()))
     trees = []
     for tid, g in nd.groupby("treeID"):
         n = int(g["id"].max()) + 1
@@ -155,7 +154,7 @@ def tree_table(spark: SparkSession, pipeline: PipelineModel) -> dict:
         feat = -np.ones(n, dtype=np.int64)
         thr = np.zeros(n)
         is_cat = np.zeros(n, dtype=bool)
-        cat_left = np.zeros((n, _MAX_CATEGORIES), dtype=bool)
+        cat_left = np.zeros((n, width), dtype=bool)
         for r in g.itertuples(index=False):
             i = int(r.id)
             pred[i], left[i], right[i] = r.prediction, r.left, r.right
@@ -185,7 +184,7 @@ def _path_contributions(table: dict, x: np.ndarray) -> np.ndarray:
             f = feat[nd]
             v = x[r, f]
             cat = is_cat[nd]
-            code = np.clip(np.nan_to_num(v, nan=0.0).astype(np.int64), 0, _MAX_CATEGORIES - 1)
+            code = np.where(cat, v, 0.0).astype(np.int64)
             go_left = np.where(cat, cat_left[nd, code], v <= thr[nd])
             child = np.where(go_left, left[nd], right[nd])
             np.add.at(out, (r, f), w * (pred[child] - pred[nd]))

@@ -44,7 +44,7 @@ class GbtParams:
     step_size: float = 0.05
     min_instances_per_node: int = 10
     seed: int = 42
-    max_bins: int = 32
+    max_bins: int = 32  # at least; raised to the levels of the widest categorical
     # Spark stops when validation loss improves by less than this (relative);
     # 0 keeps adding trees while it improves at all.
     validation_tol: float = 0.0
@@ -89,6 +89,9 @@ def fit_gbt(split_df: DataFrame, params: GbtParams = GbtParams()) -> PipelineMod
         .when(F.col("label") == 1.0, n / (F.lit(2.0) * n_pos))
         .otherwise(n / (F.lit(2.0) * (n - n_pos))),
     )
+    idx, asm = _stages(None)[:2]
+    idx = idx.fit(fit_rows)
+    widest = max(len(levels) for levels in idx.labelsArray) + 1  # and the bucket of unseen values
     gbt = GBTClassifier(
         labelCol="label",
         featuresCol="features",
@@ -99,12 +102,12 @@ def fit_gbt(split_df: DataFrame, params: GbtParams = GbtParams()) -> PipelineMod
         stepSize=params.step_size,
         minInstancesPerNode=params.min_instances_per_node,
         seed=params.seed,
-        maxBins=params.max_bins,
+        maxBins=max(params.max_bins, widest),
         validationTol=params.validation_tol,
         lossType="logistic",
         featureSubsetStrategy="all",
     )
-    return Pipeline(stages=_stages(gbt)).fit(fit_rows)
+    return Pipeline(stages=[idx, asm, gbt]).fit(fit_rows)
 
 
 def fit_logistic(split_df: DataFrame, reg: float = 0.01) -> PipelineModel:

@@ -15,6 +15,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retentia import schemas
 from retentia.session import scratch_path
@@ -151,13 +152,21 @@ def refresh_windows(
 
 def export_spine_csv(spine: DataFrame, path: str) -> None:
     """Header first, rows ordered by account then date, every field quoted,
-    CRLF line ends, NULL averages written as empty text.  The global sort
-    range-partitions the rows, so part files concatenate in order."""
+    CRLF line ends, NULL averages written as empty text.  The header is a row
+    of its own that sorts before all others, and the global sort
+    range-partitions the rows, so the part files one after another are one
+    CSV with one header.  Only the first part has it: read the folder with
+    ``read_spine_csv``, not with Spark's header option, which drops the first
+    line of every part."""
+    cols = schemas.SPINE_COLUMNS
+    header = spine.sparkSession.range(1).select(F.lit(0).alias("_row"), *[F.lit(c).alias(c) for c in cols])
+    rows = spine.select(F.lit(1).alias("_row"), *[F.col(c).cast("string").alias(c) for c in cols])
     (
-        spine.select(*schemas.SPINE_COLUMNS)
-        .orderBy("account_id", "observation_date")
+        header.unionByName(rows)
+        .orderBy("_row", "account_id", "observation_date")  # dates as text sort as dates
+        .drop("_row")
         .write.mode("errorifexists")
-        .option("header", True)
+        .option("header", False)
         .option("quoteAll", True)
         .option("nullValue", "")
         .option("emptyValue", "")
@@ -167,11 +176,10 @@ def export_spine_csv(spine: DataFrame, path: str) -> None:
 
 
 def read_spine_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read an exported spine back with the fact schema (no inference)."""
-    return (
-        spark.read.schema(schemas.DAILY_SPINE)
-        .option("header", True)
-        .option("lineSep", "\r\n")
-        .option("nullValue", "")
-        .csv(path)
-    )
+    """Read an exported spine back with the fact schema (no inference); the
+    header is the only row whose first two fields are their columns' names."""
+    names = schemas.SPINE_COLUMNS
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    rows = spark.read.schema(text).option("header", False).option("lineSep", "\r\n").option("nullValue", "").csv(path)
+    is_header = (F.col(names[0]) == names[0]) & (F.col(names[1]) == names[1])
+    return rows.where(~F.coalesce(is_header, F.lit(False))).select(*[F.col(f.name).cast(f.dataType) for f in schemas.DAILY_SPINE])

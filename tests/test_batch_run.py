@@ -8,7 +8,7 @@ from retentia.config import DEFAULT_PERIOD
 from retentia.operators.spine import daily_spine
 from retentia.plans import batch_run
 from retentia.plans.context import raw_tables
-from retentia.sources import csv_ingest
+from retentia.sources import csv_ingest, store
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -25,5 +25,5 @@ def test_batch_run_from_csv(spark, tmpdir_path):
                                   "primary_risk_drivers", "tenure_days"]
     for name in ("dashboard/total_arr", "dashboard/cohort_retention", "quality/orphans", "portfolio_kpis", "model_report"):
         assert spark.read.parquet(out[name]).count() > 0
-    export = spark.read.option("header", True).csv(out["fact_daily_spine_export"])
+    export = store.read_spine_csv(spark, out["fact_daily_spine_export"])
     assert export.count() == fact.count()

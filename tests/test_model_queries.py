@@ -68,3 +68,29 @@ def test_logistic_attributions_reproduce_probability(spark):
     got = {r["account_id"]: r["flight_risk_score"] for r in lin.collect()}
     assert got and all(abs(got[a] - round(prob[a], 6)) <= 1e-6 for a in got)
     assert lin.where(~F.col("primary_risk_drivers").startswith("1. ")).count() == 0
+
+
+def test_categorical_of_a_hundred_levels(spark):
+    import random
+
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+
+    from retentia.operators import drivers, model
+
+    rng = random.Random(3)
+    rows = []
+    for k in range(800):
+        level = k % 100
+        rows.append((f"a{k}", *[f"level{level:03d}" if c == "industry" else "x" for c in model.CATEGORICAL],
+                     *[rng.random() for _ in model.NUMERIC_INPUTS], float(level % 2), "valid" if k % 5 == 0 else "train"))
+    names = ", ".join(["account_id string", *[f"{c} string" for c in model.CATEGORICAL],
+                       *[f"{c} double" for c in model.NUMERIC_INPUTS], "label double", "split string"])
+    frame = spark.createDataFrame(rows, names)
+    pipe = model.fit_gbt(frame, model.GbtParams(max_iter=5, max_depth=3))
+    out = pipe.transform(frame).select(vector_to_array("features").alias("x"), vector_to_array("rawPrediction").alias("raw")).collect()
+    table = drivers.tree_table(spark, pipe)
+    assert max(t[-1].shape[1] for t in table["trees"]) > 64
+    bias = sum(t[0] * t[1][0] for t in table["trees"])
+    x = np.array([r["x"] for r in out])
+    assert np.allclose(drivers._path_contributions(table, x).sum(axis=1) + bias, [r["raw"][1] for r in out], atol=1e-9)

@@ -42,6 +42,19 @@ def test_stream_matches_batch(spark, tmpdir_path):
     assert days[dt.date(2024, 1, 2)][11] == 99 and days[dt.date(2024, 1, 5)][11] == 0
 
 
+def test_usage_id_moved_to_another_window(spark, tmpdir_path):
+    first = [usage("u1", "s", "2024-05-05", secs=30)]
+    later = [usage("u1", "s", "2024-01-02", secs=99)]
+    base = raw(spark, [account("a", "2024-01-01")], [sub("s", "a", "2024-01-01", mrr="10.00")])
+    landing, store, ckpt = (os.path.join(tmpdir_path, x) for x in ("landing", "store", "ckpt"))
+    pointer = FactPointer(backfill(spark, base, P))
+    for rows in (first, later):
+        spark.createDataFrame(rows, schemas.FEATURE_USAGE).write.mode("append").parquet(landing)
+        start_usage_refresh(spark, landing, store, base, P, pointer, ckpt).awaitTermination()
+    fact = read_fact(spark, pointer.path).where("daily_time_in_app > 0")
+    assert [(str(r.observation_date), r.daily_time_in_app) for r in fact.collect()] == [("2024-01-02", 99)]
+
+
 def test_pointer_survives_driver_restart(spark, tmpdir_path):
     f = os.path.join(tmpdir_path, "fact.pointer")
     p = FactPointer(pointer_file=f, spark=spark)

@@ -14,13 +14,18 @@ Improved consistent weighted sampling draws, for each of ``bands * rows``
 samples, a shingle and a level of its weight; two documents agree in a
 sample with the probability of their weighted Jaccard similarity.  Samples
 are banded; documents that share a band are candidates.  In a band's bucket
-of up to ``SMALL`` texts all pairs are candidates.  A larger bucket links
-each text to its first one, and splits by the next bands, again and again,
-until its parts are small or the bands are used up; texts left together then
-agree in all samples.  Pairs whose samples
-agree in less than ``AGREE`` of all are set aside (a pair of similarity 0.8
-does so once in 20,000), the others are verified by their exact weighted
-Jaccard similarity over whole texts.  Links make groups (``components``).
+of up to ``SMALL`` texts all pairs are candidates; a larger bucket first
+links each text to its first one.  Pairs whose samples agree in less than
+``AGREE`` of all are set aside (a pair of similarity 0.8 does so once in
+20,000), the others are verified by their exact weighted Jaccard similarity
+over whole texts.  Links make groups (``components``).
+
+A large bucket whose texts are one group by then is done.  In the others all
+pairs of texts of different groups are compared by ``LONG`` fresh samples, in
+blocks of about ``BLOCK`` texts (so a bucket's work spreads over tasks), and
+verified if ``LONG_AGREE`` of them agree (a pair of similarity 0.8 fails to
+once in 12,000).  So a pair that shares a band is never set aside for the
+size of its bucket.
 
 Exact copies are one class from the start: their smallest id stands for
 them, and they take its group.
@@ -55,6 +60,9 @@ P0 = 0.5
 BANDS, ROWS = 10, 3
 SMALL = 16
 AGREE = 0.5
+#: Fresh samples of the texts of large buckets, the share that must agree, and the texts of a block.
+LONG, LONG_AGREE = 256, 0.7
+BLOCK = 2048
 
 _HASH_BITS = 50
 _MASK = (1 << _HASH_BITS) - 1
@@ -118,11 +126,11 @@ def shingle_weights(docs: DataFrame) -> np.ndarray:
 class Sampler:
     """Improved consistent weighted sampling; variates come from tables of 2**16 draws, by 16 bits of a shingle's hash each."""
 
-    def __init__(self, samples: int, seed: int = 11):
+    def __init__(self, samples: int, seed: int = 11, before: int = 0):
         rng = np.random.default_rng(seed)
         self.r, c = rng.gamma(2.0, 1.0, (2, 1 << 16)).astype(np.float32)
         self.log_c, self.beta = np.log(c), rng.random(1 << 16, dtype=np.float32)
-        self.salt = mix(np.arange(1, samples + 1, dtype=np.uint64) * _U(0xD1342543DE82EF95))
+        self.salt = mix(np.arange(before + 1, before + samples + 1, dtype=np.uint64) * _U(0xD1342543DE82EF95))
 
     def samples(self, h: np.ndarray, weight: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The chosen (shingle, level) of each sample, hashed: one row per document, whose shingles begin at ``starts``."""
@@ -143,6 +151,7 @@ class Sampler:
         return out
 
 
+PAIRS = "a_did long, a_th long, b_did long, b_th long"
 SIGNED = "_rt_did long, _rt_th long, _rt_c2 long, sig binary, bands array<long>"
 
 
@@ -185,30 +194,77 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
 
 
-def candidates(reps: DataFrame, path: str, bands: int = BANDS) -> DataFrame:
-    """(a_did, a_th, b_did, b_th): pairs of texts that share a bucket and agree in enough samples; reps: _rt_did, _rt_th, sig, bands."""
+def candidates(reps: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a_did, a_th, b_did, b_th) of texts that share a small bucket, or a large one with its first text, and agree in enough samples; and
+    the rows (_rt_did, _rt_th, key, n) of the large buckets; reps: _rt_did, _rt_th, sig, bands."""
     spark = reps.sparkSession
     keys = reps.where("sig IS NOT NULL").select("_rt_did", "_rt_th", F.posexplode("bands").alias("band", "key"))
-    shared = _sized(keys).join(reps, ["_rt_did", "_rt_th"])
     me = F.struct(F.col("_rt_did").alias("did"), F.col("_rt_th").alias("th"), "sig")
-    rows = shared.select(me.alias("me"), "bands", "band", "key", "n")
-    schema = "a_did long, a_th long, b_did long, b_th long"
-    for depth in range(bands):
-        # Rows and pairs are written, so that each split reads the rows of the one before instead of making them again.
-        rows.write.parquet(f"{path}/shared{depth}")
-        rows = spark.read.parquet(f"{path}/shared{depth}")
-        small = rows.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("me")).alias("all"))
-        each = small.select(F.posexplode("all").alias("i", "a"), "all").select("a", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("b"))
-        large = rows.where(F.col("n") > SMALL)
-        heads = large.groupBy("key").agg(F.min("me").alias("a"))
-        both = each.unionByName(large.join(heads, "key").where("me <> a").select("a", F.col("me").alias("b")))
-        flat = both.select("a.did", "a.th", "b.did", "b.th", "a.sig", "b.sig").toDF("a_did", "a_th", "b_did", "b_th", "a_sig", "b_sig")
-        flat.mapInArrow(_agreeing(AGREE), schema).distinct().write.mode("append").parquet(f"{path}/agreeing")
-        if large.isEmpty():
-            break
-        next_band = F.get("bands", ((F.col("band") + depth + 1) % F.size("bands")).cast("int"))
-        rows = _sized(large.select("me", "bands", "band", F.xxhash64("key", next_band).alias("key")))
-    return spark.read.schema(schema).parquet(f"{path}/agreeing").distinct()
+    _sized(keys).join(reps, ["_rt_did", "_rt_th"]).select(me.alias("me"), "key", "n").write.parquet(f"{path}/shared")
+    rows = spark.read.parquet(f"{path}/shared")
+    small = rows.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("me")).alias("all"))
+    each = small.select(F.posexplode("all").alias("i", "a"), "all").select("a", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("b"))
+    large = rows.where(F.col("n") > SMALL)
+    heads = large.groupBy("key").agg(F.min("me").alias("a"))
+    both = each.unionByName(large.join(heads, "key").where("me <> a").select("a", F.col("me").alias("b")))
+    flat = both.select("a.did", "a.th", "b.did", "b.th", "a.sig", "b.sig").toDF("a_did", "a_th", "b_did", "b_th", "a_sig", "b_sig")
+    pairs = flat.mapInArrow(_agreeing(AGREE), PAIRS).distinct()
+    return pairs, large.select(F.col("me.did").alias("_rt_did"), F.col("me.th").alias("_rt_th"), "key", "n")
+
+
+def _long_signatures(weights: np.ndarray, before: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler(LONG, before=before)
+        for batch in portions(batches, 2, 1 << 20):
+            doc, h, count = shingles(*string_buffers(batch.column(2)))
+            long = [None] * batch.num_rows
+            if len(h):
+                starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+                short = (sampler.samples(h, count * weights[cell(h)], starts) >> _U(48)).astype(np.uint16)
+                for d, x in zip(doc[starts].tolist(), short):
+                    long[d] = x.tobytes()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(long, pa.binary())], names=["_rt_did", "_rt_th", "long"])
+
+    return run
+
+
+def _compared(rows: pa.Table) -> pa.Table:
+    """Pairs of one or two blocks of a bucket whose long signatures agree; pairs of one group are left out."""
+    rows = rows.combine_chunks().sort_by([("_rt_did", "ascending"), ("_rt_th", "ascending")])
+    did, th, block, group = (rows.column(c).to_numpy() for c in ("_rt_did", "_rt_th", "block", "root"))
+    two = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+    long = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in rows.column("long")])
+    a, b = [], []
+    for i in range(len(did) - 1):
+        other = group[i + 1 :] != group[i]
+        if two:
+            other &= block[i + 1 :] != block[i]
+        j = np.flatnonzero(other) + i + 1
+        j = j[np.count_nonzero(long[j] == long[i], axis=1) >= LONG_AGREE * LONG]
+        a.append(np.full(len(j), i))
+        b.append(j)
+    a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (a, b))
+    return pa.table({"a_did": did[a], "a_th": th[a], "b_did": did[b], "b_th": th[b]})
+
+
+def rest_pairs(large: DataFrame, texts: DataFrame, roots: DataFrame, weights: np.ndarray, before: int, path: str) -> DataFrame | None:
+    """Pairs of texts of different groups (roots: node, root) that share a large bucket and agree in the long signatures."""
+    spark = large.sparkSession
+    own = large.join(roots, large["_rt_did"] == roots["node"], "left").select("_rt_did", "_rt_th", "key", "n", F.coalesce("root", "_rt_did").alias("root"))
+    own.write.parquet(f"{path}/large")
+    own = spark.read.parquet(f"{path}/large")
+    rest = own.join(own.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key"), "key")
+    rest.write.parquet(f"{path}/rest")
+    rest = spark.read.parquet(f"{path}/rest")
+    if rest.isEmpty():
+        return None
+    long = texts.join(rest.select("_rt_did", "_rt_th").distinct(), ["_rt_did", "_rt_th"], "left_semi").select("_rt_did", "_rt_th", "text")
+    long.mapInArrow(_long_signatures(weights, before), "_rt_did long, _rt_th long, long binary").dropDuplicates(["_rt_did", "_rt_th"]).write.parquet(f"{path}/long")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    dealt = rest.withColumn("block", F.pmod(F.xxhash64("_rt_did", "_rt_th"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.select("_rt_did", "_rt_th", "key", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    signed = dealt.join(spark.read.parquet(f"{path}/long"), ["_rt_did", "_rt_th"])
+    return signed.groupBy("key", "low", "high").applyInArrow(_compared, PAIRS).distinct()
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -260,18 +316,25 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, ro
     # One representative of each text; th and c2 together are 128 bits of its hash (a null and an empty text differ in th).
     classes = signed.groupBy("_rt_c2", "sig").agg(F.min(F.struct("_rt_did", "_rt_th")).alias("rep"), F.first("bands").alias("bands"))
     reps = classes.select("rep._rt_did", "rep._rt_th", "sig", "bands")
-    candidates(reps, path, bands).write.parquet(f"{path}/pairs")
-    pairs = spark.read.parquet(f"{path}/pairs")
-    # No repartition of their own, so that Spark can split the joins at a bucket's first text, which may have very many partners.
     texts = plain.select("_rt_did", "_rt_th", "text")
     one = lambda did, th, text: texts.select(F.col("_rt_did").alias(did), F.col("_rt_th").alias(th), F.col("text").alias(text))
-    with_b = pairs.join(one("b_did", "b_th", "b_text"), ["b_did", "b_th"])
-    with_both = with_b.join(one("a_did", "a_th", "a_text"), ["a_did", "a_th"]).select("a_did", "a_th", "b_did", "a_text", "b_text")
-    links = with_both.mapInArrow(_verify(weights, threshold), LINKED).select("u", "v")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs.write.parquet(f"{path}/{name}_pairs")
+        # No repartition of their own, so that Spark can split the joins at a bucket's first text, which may have very many partners.
+        with_b = spark.read.parquet(f"{path}/{name}_pairs").join(one("b_did", "b_th", "b_text"), ["b_did", "b_th"])
+        with_both = with_b.join(one("a_did", "a_th", "a_text"), ["a_did", "a_th"]).select("a_did", "a_th", "b_did", "a_text", "b_text")
+        return with_both.mapInArrow(_verify(weights, threshold), LINKED).select("u", "v")
+
+    pairs, large = candidates(reps, path)
+    links = verified(pairs, "first")
     # An id with several texts ties their groups together.
     members = signed.join(classes.select("_rt_c2", "sig", F.col("rep._rt_did").alias("rep_did")), (signed["_rt_c2"] == classes["_rt_c2"]) & signed["sig"].eqNullSafe(classes["sig"])).select(signed["_rt_did"], signed["_rt_th"], "rep_did").distinct()
     tied = members.groupBy("_rt_did").agg(F.min("rep_did").alias("v"), F.collect_set("rep_did").alias("all")).where(F.size("all") > 1).select(F.explode("all").alias("u"), "v")
     roots = components(links.unionByName(tied))
+    rest = rest_pairs(large, texts, roots, weights, bands * rows, path)
+    if rest is not None:
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(verified(rest, "rest")))
     return members.join(roots, members["rep_did"] == roots["node"], "left").select("_rt_did", "_rt_th", F.coalesce("root", "rep_did").alias("class_did"))
 
 

@@ -77,6 +77,29 @@ def test_large_bucket_keeps_every_link(spark):
     assert all(got[k] == 0 for k in range(400)) and all(got[k] == k for k in range(1000, 1100))
 
 
+def test_pairs_in_large_buckets_whose_first_text_is_not_near(spark):
+    rng = random.Random(24)
+    fresh = lambda n: [f"f{rng.randrange(10**7)}" for _ in range(n)]
+    template = fresh(340)
+    rows = []
+    for k in range(300):
+        one = template + fresh(50)
+        rows.append((k, " ".join(one)))
+        if k >= 100:  # a near-copy
+            cut = rng.randrange(366)
+            rows.append((1000 + k, " ".join(one[:cut] + fresh(24) + one[cut + 24 :])))
+    weights = minhash.shingle_weights(table(spark, rows))
+    sets = []
+    for _, t in rows:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        _, h, c = minhash.shingles(np.array([0, len(raw)]), raw)
+        sets.append((h, (c * weights[minhash.cell(h)]).astype(float)))
+    edges = [(rows[a][0], rows[b][0]) for a in range(len(rows)) for b in range(a) if minhash.weighted_jaccard(sets[a], sets[b]) >= 0.8]
+    assert len(edges) >= 150 and all(abs(a - b) == 1000 for a, b in edges)
+    got = {r.doc_id: r.class_id for r in minhash.class_report(table(spark, rows)).collect()}
+    assert got == roots([i for i, _ in rows], edges)
+
+
 def test_decontamination(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghijk") for _ in range(rng.randint(3, 7)))

@@ -32,8 +32,9 @@ them, and they take its group.
 
 Defined cases: null and empty texts are copies of each other; texts with
 no words are grouped with equal texts alone; a text of one to four words is
-one shingle; rows of one id are one document; a null id ranks after all
-others and comes back as null; an empty table gives an empty result; other
+one shingle; rows of one id are one document; a null id names no document,
+so rows with null ids and different texts are different documents; it ranks
+after all others and comes back as null; an empty table gives an empty result; other
 columns are ignored, or passed through by ``keep_one``.
 """
 
@@ -44,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retentia.llm.common import NULL_ID, keyed_texts, mix, portions, powers, prefix_hash, shuffle_partitions, spread, string_buffers, with_keys, word_hashes, words
@@ -194,6 +195,15 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
 
 
+#: Numbers of documents in the graph: ids as they are, then the texts of null ids, from 2**63 on.
+NODE = "decimal(20,0)"
+
+
+def node(did: str, th: str) -> Column:
+    """The document of a row in the graph: its id, or, if that is null, its text."""
+    return F.when(F.col(did) != NULL_ID, F.col(did).cast(NODE)).otherwise((F.col(th).cast(NODE) + F.lit(str(2**64)).cast(NODE)).cast(NODE))
+
+
 def candidates(reps: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Pairs (a_did, a_th, b_did, b_th) of texts that share a small bucket, or a large one with its first text, and agree in enough samples; and
     the rows (_rt_did, _rt_th, key, n) of the large buckets; reps: _rt_did, _rt_th, sig, bands."""
@@ -250,7 +260,7 @@ def _compared(rows: pa.Table) -> pa.Table:
 def rest_pairs(large: DataFrame, texts: DataFrame, roots: DataFrame, weights: np.ndarray, before: int, path: str) -> DataFrame | None:
     """Pairs of texts of different groups (roots: node, root) that share a large bucket and agree in the long signatures."""
     spark = large.sparkSession
-    own = large.join(roots, large["_rt_did"] == roots["node"], "left").select("_rt_did", "_rt_th", "key", "n", F.coalesce("root", "_rt_did").alias("root"))
+    own = large.join(roots, node("_rt_did", "_rt_th") == roots["node"], "left").select("_rt_did", "_rt_th", "key", "n", F.coalesce("root", node("_rt_did", "_rt_th")).alias("root"))
     own.write.parquet(f"{path}/large")
     own = spark.read.parquet(f"{path}/large")
     rest = own.join(own.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key"), "key")
@@ -262,7 +272,7 @@ def rest_pairs(large: DataFrame, texts: DataFrame, roots: DataFrame, weights: np
     long.mapInArrow(_long_signatures(weights, before), "_rt_did long, _rt_th long, long binary").dropDuplicates(["_rt_did", "_rt_th"]).write.parquet(f"{path}/long")
     blocks = F.ceil(F.col("n") / BLOCK)
     dealt = rest.withColumn("block", F.pmod(F.xxhash64("_rt_did", "_rt_th"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = dealt.select("_rt_did", "_rt_th", "key", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    dealt = dealt.select("_rt_did", "_rt_th", "key", F.xxhash64("root").alias("root"), "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     signed = dealt.join(spark.read.parquet(f"{path}/long"), ["_rt_did", "_rt_th"])
     return signed.groupBy("key", "low", "high").applyInArrow(_compared, PAIRS).distinct()
 
@@ -277,8 +287,8 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(both / (wa.sum(dtype=np.float64) + wb.sum(dtype=np.float64) - both))
 
 
-LINKED = "u long, v long, similarity double"
-_LINKED = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("similarity", pa.float64())])
+LINKED = f"{PAIRS}, similarity double"
+_LINKED = pa.schema([*[(c, pa.int64()) for c in ("a_did", "a_th", "b_did", "b_th")], ("similarity", pa.float64())])
 
 
 def _verify(weights: np.ndarray, least: float):
@@ -291,13 +301,13 @@ def _verify(weights: np.ndarray, least: float):
         key, left = None, None
         for batch in batches:
             out = []
-            for a, a_th, b, x, y in zip(*(batch.column(k) for k in range(5))):
+            for a, a_th, b, b_th, x, y in zip(*(batch.column(k) for k in range(6))):
                 a, a_th = a.as_py(), a_th.as_py()
                 if key != (a, a_th):
                     key, left = (a, a_th), weighed(x.as_py())
                 s = weighted_jaccard(left, weighed(y.as_py()))
                 if s >= least:
-                    out.append((a, b.as_py(), s))
+                    out.append((a, a_th, b.as_py(), b_th.as_py(), s))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _LINKED)], schema=_LINKED)
 
@@ -305,7 +315,7 @@ def _verify(weights: np.ndarray, least: float):
 
 
 def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(_rt_did, _rt_th, class_did) of each different (id, text): class_did is the least id of its group."""
+    """(_rt_did, _rt_th, class_did, first) of each different (id, text): class_did is the least id of its group, first whether it is the document that the group keeps."""
     weights = shingle_weights(docs)
     spark = docs.sparkSession
     path = scratch_path(spark, "near")
@@ -323,19 +333,21 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, ro
         pairs.write.parquet(f"{path}/{name}_pairs")
         # No repartition of their own, so that Spark can split the joins at a bucket's first text, which may have very many partners.
         with_b = spark.read.parquet(f"{path}/{name}_pairs").join(one("b_did", "b_th", "b_text"), ["b_did", "b_th"])
-        with_both = with_b.join(one("a_did", "a_th", "a_text"), ["a_did", "a_th"]).select("a_did", "a_th", "b_did", "a_text", "b_text")
-        return with_both.mapInArrow(_verify(weights, threshold), LINKED).select("u", "v")
+        with_both = with_b.join(one("a_did", "a_th", "a_text"), ["a_did", "a_th"]).select("a_did", "a_th", "b_did", "b_th", "a_text", "b_text")
+        return with_both.mapInArrow(_verify(weights, threshold), LINKED).select(node("a_did", "a_th").alias("u"), node("b_did", "b_th").alias("v"))
 
     pairs, large = candidates(reps, path)
     links = verified(pairs, "first")
-    # An id with several texts ties their groups together.
-    members = signed.join(classes.select("_rt_c2", "sig", F.col("rep._rt_did").alias("rep_did")), (signed["_rt_c2"] == classes["_rt_c2"]) & signed["sig"].eqNullSafe(classes["sig"])).select(signed["_rt_did"], signed["_rt_th"], "rep_did").distinct()
-    tied = members.groupBy("_rt_did").agg(F.min("rep_did").alias("v"), F.collect_set("rep_did").alias("all")).where(F.size("all") > 1).select(F.explode("all").alias("u"), "v")
+    # An id with several texts ties their groups together; a null id doesn't.
+    rep_of = classes.select("_rt_c2", "sig", node("rep._rt_did", "rep._rt_th").alias("rep"))
+    members = signed.join(rep_of, (signed["_rt_c2"] == rep_of["_rt_c2"]) & signed["sig"].eqNullSafe(rep_of["sig"])).select(node("_rt_did", "_rt_th").alias("own"), "_rt_did", "_rt_th", "rep").distinct()
+    tied = members.groupBy("own").agg(F.min("rep").alias("v"), F.collect_set("rep").alias("all")).where(F.size("all") > 1).select(F.explode("all").alias("u"), "v")
     roots = components(links.unionByName(tied))
     rest = rest_pairs(large, texts, roots, weights, bands * rows, path)
     if rest is not None:
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(verified(rest, "rest")))
-    return members.join(roots, members["rep_did"] == roots["node"], "left").select("_rt_did", "_rt_th", F.coalesce("root", "rep_did").alias("class_did"))
+    found = members.join(roots, members["rep"] == roots["node"], "left").select("_rt_did", "_rt_th", "own", F.coalesce("root", "rep").alias("class"))
+    return found.select("_rt_did", "_rt_th", F.when(F.col("class") < F.lit(str(2**63)).cast(NODE), F.col("class").cast("long")).otherwise(NULL_ID).alias("class_did"), (F.col("own") == F.col("class")).alias("first"))
 
 
 def class_report(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -349,10 +361,12 @@ def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The documents without near-duplicates of a smaller id; columns as they are.
 
     A kept row that stands several times stays once (which, if other columns
-    differ, is open); of an id's different texts the one of the least hash stays.
+    differ, is open); of an id's different texts the one of the least hash stays,
+    of a null id's all that have no near-duplicates before them.
     """
     classes = near_classes(docs, threshold)
-    kept = classes.where("_rt_did = class_did").groupBy("_rt_did").agg(F.min("_rt_th").alias("_rt_th"))
+    own = F.when(F.col("_rt_did") == NULL_ID, F.col("_rt_th"))
+    kept = classes.where("first").groupBy("_rt_did", own.alias("own")).agg(F.min("_rt_th").alias("_rt_th"))
     rows = with_keys(docs).join(kept.hint("shuffle_hash"), ["_rt_did", "_rt_th"], "left_semi")
     return rows.dropDuplicates(["_rt_did", "_rt_th"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -100,6 +100,19 @@ def test_pairs_in_large_buckets_whose_first_text_is_not_near(spark):
     assert got == roots([i for i, _ in rows], edges)
 
 
+def test_null_ids_are_different_documents(spark):
+    rng = random.Random(31)
+    texts = [" ".join(f"n{rng.randrange(10**6)}" for _ in range(100)) for _ in range(6)]
+    # Unrelated texts of null ids; two of them near to good ids, one twice near to another.
+    rows = [(None, t) for t in texts] + [(1, edited(texts[0], 1, rng)), (2, edited(texts[1], 1, rng)), (None, edited(texts[5], 1, rng)), (None, texts[4])]
+    got = sorted((order_id(r.doc_id), order_id(r.class_id)) for r in minhash.class_report(table(spark, rows)).collect())
+    assert got == [(1, 1), (2, 2)] + sorted([(order_id(None), 1), (order_id(None), 2)] + [(order_id(None), order_id(None))] * 6)
+    kept = [(r.doc_id, r.text) for r in minhash.keep_one(table(spark, rows)).collect()]
+    assert sorted(i for i, _ in kept if i is not None) == [1, 2]
+    none = sorted(t for i, t in kept if i is None)
+    assert len(none) == 4 and set(texts[2:5]) <= set(none) and len({texts[5], rows[8][1]} & set(none)) == 1
+
+
 def test_decontamination(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghijk") for _ in range(rng.randint(3, 7)))

@@ -24,7 +24,9 @@ A large bucket whose texts are one group by then is done.  In the others all
 pairs of texts of different groups are compared by ``LONG`` fresh samples, in
 blocks of about ``BLOCK`` texts (so a bucket's work spreads over tasks), and
 verified if ``LONG_AGREE`` of them agree (a pair of similarity 0.8 fails to
-once in 12,000).  So a pair that shares a band is never set aside for the
+once in 12,000).  ``ROUNDS`` rounds verify each text's ``BEST`` partners alone,
+which join real groups by few pairs; the last round verifies every pair of
+texts that are in different groups even then.  So a pair that shares a band is never set aside for the
 size of its bucket.
 
 Exact copies are one class from the start: their smallest id stands for
@@ -64,6 +66,7 @@ AGREE = 0.5
 #: Fresh samples of the texts of large buckets, the share that must agree, and the texts of a block.
 LONG, LONG_AGREE = 256, 0.7
 BLOCK = 2048
+ROUNDS, BEST = 2, 4
 
 _HASH_BITS = 50
 _MASK = (1 << _HASH_BITS) - 1
@@ -238,43 +241,57 @@ def _long_signatures(weights: np.ndarray, before: int):
     return run
 
 
-def _compared(rows: pa.Table) -> pa.Table:
-    """Pairs of one or two blocks of a bucket whose long signatures agree; pairs of one group are left out."""
-    rows = rows.combine_chunks().sort_by([("_rt_did", "ascending"), ("_rt_th", "ascending")])
-    did, th, block, group = (rows.column(c).to_numpy() for c in ("_rt_did", "_rt_th", "block", "root"))
-    two = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
-    long = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in rows.column("long")])
-    a, b = [], []
-    for i in range(len(did) - 1):
-        other = group[i + 1 :] != group[i]
-        if two:
-            other &= block[i + 1 :] != block[i]
-        j = np.flatnonzero(other) + i + 1
-        j = j[np.count_nonzero(long[j] == long[i], axis=1) >= LONG_AGREE * LONG]
-        a.append(np.full(len(j), i))
-        b.append(j)
-    a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (a, b))
-    return pa.table({"a_did": did[a], "a_th": th[a], "b_did": did[b], "b_th": th[b]})
-
-
-def rest_pairs(large: DataFrame, texts: DataFrame, roots: DataFrame, weights: np.ndarray, before: int, path: str) -> DataFrame | None:
-    """Pairs of texts of different groups (roots: node, root) that share a large bucket and agree in the long signatures."""
-    spark = large.sparkSession
+def _compared(best: int | None):
+    """Pairs of one or two blocks of a bucket whose long signatures agree, all or each text's best; pairs of one group are left out."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks().sort_by([("_rt_did", "ascending"), ("_rt_th", "ascending")])
+        did, th, block, group = (rows.column(c).to_numpy() for c in ("_rt_did", "_rt_th", "block", "root"))
+        two = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+        long = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in rows.column("long")])
+        a, b = [], []
+        for i in range(len(did)):
+            other = group != group[i]
+            if two:
+                other &= block != block[i]
+            if best is None:
+                other[:i] = False
+            j = np.flatnonzero(other)
+            n = np.count_nonzero(long[j] == long[i], axis=1)
+            near = n >= LONG_AGREE * LONG
+            j, n = j[near], n[near]
+            if best is not None:
+                j = j[np.argsort(-n, kind="stable")[:best]]
+            a.append(np.minimum(i, j))
+            b.append(np.maximum(i, j))
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.table({"a_did": did[a], "a_th": th[a], "b_did": did[b], "b_th": th[b]})
+
+    return run
+
+
+def rest_rows(large: DataFrame, roots: DataFrame, path: str) -> DataFrame:
+    """The rows, with their group's root (roots: node, root), of large buckets whose texts are in several groups."""
     own = large.join(roots, node("_rt_did", "_rt_th") == roots["node"], "left").select("_rt_did", "_rt_th", "key", "n", F.coalesce("root", node("_rt_did", "_rt_th")).alias("root"))
-    own.write.parquet(f"{path}/large")
-    own = spark.read.parquet(f"{path}/large")
-    rest = own.join(own.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key"), "key")
-    rest.write.parquet(f"{path}/rest")
-    rest = spark.read.parquet(f"{path}/rest")
-    if rest.isEmpty():
-        return None
-    long = texts.join(rest.select("_rt_did", "_rt_th").distinct(), ["_rt_did", "_rt_th"], "left_semi").select("_rt_did", "_rt_th", "text")
-    long.mapInArrow(_long_signatures(weights, before), "_rt_did long, _rt_th long, long binary").dropDuplicates(["_rt_did", "_rt_th"]).write.parquet(f"{path}/long")
+    own.write.parquet(f"{path}_large")
+    own = large.sparkSession.read.parquet(f"{path}_large")
+    live = own.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
+    own.join(live, "key").write.parquet(f"{path}_rest")
+    return large.sparkSession.read.parquet(f"{path}_rest")
+
+
+def long_signatures(rest: DataFrame, texts: DataFrame, weights: np.ndarray, before: int, path: str) -> DataFrame:
+    own = texts.join(rest.select("_rt_did", "_rt_th").distinct(), ["_rt_did", "_rt_th"], "left_semi").select("_rt_did", "_rt_th", "text")
+    own.mapInArrow(_long_signatures(weights, before), "_rt_did long, _rt_th long, long binary").dropDuplicates(["_rt_did", "_rt_th"]).write.parquet(f"{path}/long")
+    return rest.sparkSession.read.parquet(f"{path}/long")
+
+
+def rest_pairs(rest: DataFrame, signatures: DataFrame, best: int | None) -> DataFrame:
+    """Pairs of texts of different groups that share a large bucket and agree in the long signatures."""
     blocks = F.ceil(F.col("n") / BLOCK)
     dealt = rest.withColumn("block", F.pmod(F.xxhash64("_rt_did", "_rt_th"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = dealt.select("_rt_did", "_rt_th", "key", F.xxhash64("root").alias("root"), "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    signed = dealt.join(spark.read.parquet(f"{path}/long"), ["_rt_did", "_rt_th"])
-    return signed.groupBy("key", "low", "high").applyInArrow(_compared, PAIRS).distinct()
+    return dealt.join(signatures, ["_rt_did", "_rt_th"]).groupBy("key", "low", "high").applyInArrow(_compared(best), PAIRS).distinct()
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -343,9 +360,15 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, ro
     members = signed.join(rep_of, (signed["_rt_c2"] == rep_of["_rt_c2"]) & signed["sig"].eqNullSafe(rep_of["sig"])).select(node("_rt_did", "_rt_th").alias("own"), "_rt_did", "_rt_th", "rep").distinct()
     tied = members.groupBy("own").agg(F.min("rep").alias("v"), F.collect_set("rep").alias("all")).where(F.size("all") > 1).select(F.explode("all").alias("u"), "v")
     roots = components(links.unionByName(tied))
-    rest = rest_pairs(large, texts, roots, weights, bands * rows, path)
-    if rest is not None:
-        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(verified(rest, "rest")))
+    signatures = None
+    for k in range(ROUNDS + 1):
+        rest = rest_rows(large, roots, f"{path}/round{k}")
+        if rest.isEmpty():
+            break
+        if signatures is None:
+            signatures = long_signatures(rest, texts, weights, bands * rows, path)
+        more = verified(rest_pairs(rest, signatures, BEST if k < ROUNDS else None), f"round{k}")
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
     found = members.join(roots, members["rep"] == roots["node"], "left").select("_rt_did", "_rt_th", "own", F.coalesce("root", "rep").alias("class"))
     return found.select("_rt_did", "_rt_th", F.when(F.col("class") < F.lit(str(2**63)).cast(NODE), F.col("class").cast("long")).otherwise(NULL_ID).alias("class_did"), (F.col("own") == F.col("class")).alias("first"))
 

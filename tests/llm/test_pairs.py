@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from llm_helpers import DOCS, awkward, collected, order_id, table
 from test_texts import clashing
 
@@ -139,6 +140,39 @@ def test_decontamination(spark):
     assert decontaminate.contaminated_pairs(spark.createDataFrame([], DOCS), benchmark).collect() == []
 
 
+def test_every_match_is_found_whatever_its_cosine(spark):
+    rng = random.Random(9)
+    usual = [f"usual{k}" for k in range(300)]
+    rare = lambda n: [f"rare{rng.randrange(10**7)}" for _ in range(n)]
+    items = [(k, " ".join(rng.choice(usual) for _ in range(rng.choice([17, 20, 33, 40])))) for k in range(40)]
+    rows = [(k, " ".join(rng.sample(usual, 60) + rare(100))) for k in range(200)]
+    want = set()
+    for n in range(400):
+        k = rng.randrange(40)
+        w = items[k][1].split()
+        if n >= 200:  # a paraphrase: a fifth of the words replaced
+            for j in rng.sample(range(len(w)), len(w) // 5):
+                w[j] = rare(1)[0]
+        else:
+            want.add((1000 + n, k))
+        rows.append((1000 + n, " ".join(rare(rng.randint(0, 200)) + w + rare(rng.randint(0, 200)))))
+    docs, benchmark = table(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    idf = decontaminate.idf_weights(docs)
+    keys = lambda t: decontaminate.word_keys(*decontaminate.lowered(pa.array([t])))[0]
+    item_keys = [keys(t) for _, t in items]
+    for i, t in rows[200:]:  # brute force over all passages
+        h = keys(t)
+        for k, own in enumerate(item_keys):
+            weight = idf[decontaminate.cell(own)].astype(float) + 1e-3
+            length = 1 << (len(own) - 1).bit_length()
+            margin = len(own) // 2 + 8
+            places = range(0, max(len(h) - length, 0) + length // 2, length // 2)
+            if np.isin(own, h).mean() >= 0.6 and any(decontaminate.check_match(own, weight, h[max(a - margin, 0) : a + length + margin]) for a in places):
+                want.add((i, k))
+    assert len(want) > 350
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated_pairs(docs, benchmark).collect() if r.doc_id >= 1000} == want
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(0)
     for _ in range(50):

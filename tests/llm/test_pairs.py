@@ -173,6 +173,16 @@ def test_every_match_is_found_whatever_its_cosine(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated_pairs(docs, benchmark).collect() if r.doc_id >= 1000} == want
 
 
+def test_matches_are_found_in_a_space_without_their_directions():
+    rng = random.Random(10)
+    word = lambda: f"w{rng.randrange(3000)}"
+    items = [(k, " ".join(word() for _ in range(rng.randint(17, 54)))) for k in range(50)]
+    prepared = decontaminate.prepare(items, np.full(1 << decontaminate.CELL_BITS, 3, np.float32), np.zeros((decontaminate.FEATURES, 4), np.float32))
+    texts = [" ".join([word() for _ in range(rng.randint(0, 300))] + items[k % 50][1].split() + [word() for _ in range(rng.randint(0, 300))]) for k in range(500)]
+    got = {(d, k) for d, k, *_ in decontaminate.search(*decontaminate.lowered(pa.array(texts)), prepared)}
+    assert {(d, d % 50) for d in range(500)} <= got
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(0)
     for _ in range(50):

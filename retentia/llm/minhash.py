@@ -66,7 +66,7 @@ AGREE = 0.5
 #: Fresh samples of the texts of large buckets, the share that must agree, and the texts of a block.
 LONG, LONG_AGREE = 256, 0.7
 BLOCK = 2048
-ROUNDS, BEST = 2, 4
+ROUNDS, BEST = 2, 1
 
 _HASH_BITS = 50
 _MASK = (1 << _HASH_BITS) - 1

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from retentia.llm import bpe, chat_format, decontaminate, line_dedup, minhash, quality_gbt, quality_rules, suffix_dedup, warc, window_dedup
+from retentia.llm import bpe, chat_format, decontaminate, fim, line_dedup, minhash, quality_gbt, quality_rules, simhash, suffix_dedup, warc, whitening, window_dedup
 from retentia.llm.common import read_table
 
 
@@ -55,6 +55,18 @@ def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.repeat_report(read_table(spark, sf_dir, "documents"), window=35)
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_report(read_table(spark, sf_dir, "documents"), fim_percent=90, spm_percent=20, seed=1)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_report(read_table(spark, sf_dir, "documents"), distance=3)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -66,6 +78,9 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_window_dedup": op10_window_dedup,
+    "op11_fim": op11_fim,
+    "op12_whitening": op12_whitening,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE = {
@@ -98,4 +113,14 @@ SELECT q.page_id, payload_bytes, q.payload_digest,
        CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first_id < page_id THEN first_id END AS refers_to
 FROM q LEFT JOIN f ON q.payload_digest = f.payload_digest""",
+    "op11_fim": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p""",
 }

@@ -95,12 +95,12 @@ def portions(batches: Iterator[pa.RecordBatch], text: int, most: int = 1 << 23)
             i = j
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: int, most: int = 1 << 16) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+def groups(batches: Iterator[pa.RecordBatch], keys: int, most: int = 1 << 16, most_bytes: int = 1 << 25) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Rows sorted by the first ``keys`` columns (no nulls there), in batches of whole groups with the groups' bounds.
 
-    Rows wait only until their group is known to be whole and about ``most`` rows are there."""
+    Rows wait only until their group is known to be whole and about ``most`` rows or ``most_bytes`` bytes are there."""
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows = size = 0
 
     def whole(batch: pa.RecordBatch) -> np.ndarray:
         new = np.zeros(max(batch.num_rows - 1, 0), bool)
@@ -113,14 +113,15 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int, most: int = 1 << 16) ->
         if batch.num_rows:
             held.append(batch)
             rows += batch.num_rows
-        if rows >= most:
+            size += batch.nbytes
+        if rows >= most or size >= most_bytes:
             all_ = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             bounds = whole(all_)
             if len(bounds) > 2:
                 yield all_.slice(0, int(bounds[-2])), bounds[:-1]
             held = [all_.slice(int(bounds[-2]))]
             # A group that goes on alone is looked at again when as many rows more are there.
-            rows = 0 if len(bounds) == 2 else held[0].num_rows
+            rows, size = (0, 0) if len(bounds) == 2 else (held[0].num_rows, held[0].nbytes)
     if held:
         all_ = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
         yield all_, whole(all_)

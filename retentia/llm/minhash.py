@@ -13,21 +13,21 @@ documents about as much as a rare one, so large groups keep their links.
 Improved consistent weighted sampling draws, for each of ``bands * rows``
 samples, a shingle and a level of its weight; two documents agree in a
 sample with the probability of their weighted Jaccard similarity.  Samples
-are banded; documents that share a band are candidates.  In a band's bucket
-of up to ``SMALL`` texts all pairs are candidates; a larger bucket first
-links each text to its first one.  Pairs whose samples agree in less than
-``AGREE`` of all are set aside (a pair of similarity 0.8 does so once in
-20,000), the others are verified by their exact weighted Jaccard similarity
-over whole texts.  Links make groups (``components``).
-
-A large bucket whose texts are one group by then is done.  In the others all
-pairs of texts of different groups are compared by ``LONG`` fresh samples, in
-blocks of about ``BLOCK`` texts (so a bucket's work spreads over tasks), and
-verified if ``LONG_AGREE`` of them agree (a pair of similarity 0.8 fails to
-once in 12,000).  ``ROUNDS`` rounds verify each text's ``BEST`` partners alone,
-which join real groups by few pairs; the last round verifies every pair of
-texts that are in different groups even then.  So a pair that shares a band is never set aside for the
-size of its bucket.
+are banded; documents that share a band are candidates, in buckets of any
+size alike.  Pairs whose samples agree in less than ``AGREE`` of all are set
+aside (a pair of similarity 0.8 does so once in 20,000), all others are
+verified by their exact weighted Jaccard similarity over whole texts.
+
+Pairs are compared and verified inside a task and never leave it.  A bucket
+is dealt out in pairs of blocks of about ``PART`` texts or ``PART_BYTES`` bytes,
+so a hot bucket spreads over tasks and none holds more than two blocks of it.
+A first pass compares samples and keeps the texts that have a candidate; a
+second one gets their texts, each once for a pair of blocks, weighs all
+candidate pairs at once (products of shingle matrices, or shingle by shingle
+where that is less work) and returns one row a text: its number of near
+texts, the most similar one, and the least text that the block's links reach.
+A pair that shares several bands is compared in the first of them alone, so
+numbers of links add up.  Links make groups (``components``).
 
 Exact copies are one class from the start: their smallest id stands for
 them, and they take its group.
@@ -36,8 +36,9 @@ Defined cases: null and empty texts are copies of each other; texts with
 no words are grouped with equal texts alone; a text of one to four words is
 one shingle; rows of one id are one document; a null id names no document,
 so rows with null ids and different texts are different documents; it ranks
-after all others and comes back as null; an empty table gives an empty result; other
-columns are ignored, or passed through by ``keep_one``.
+after all others and comes back as null; very long texts are weighed whole; an
+empty table gives an empty result; other columns are ignored, or passed through
+by ``keep_one``, which keeps one defined row of rows that differ in them alone.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import NULL_ID, keyed_texts, mix, portions, powers, prefix_hash, shuffle_partitions, spread, string_buffers, with_keys, word_hashes, words
+from retentia.llm.common import NULL_ID, groups, keyed_texts, mix, portions, powers, prefix_hash, shuffle_partitions, spread, string_buffers, with_keys, word_hashes, words
 from retentia.llm.components import components
 from retentia.llm.repeats import pack, unpack
 from retentia.session import scratch_path, ship_by_value
@@ -61,12 +62,9 @@ SHINGLE = 5
 CELL_BITS = 18
 P0 = 0.5
 BANDS, ROWS = 10, 3
-SMALL = 16
 AGREE = 0.5
-#: Fresh samples of the texts of large buckets, the share that must agree, and the texts of a block.
-LONG, LONG_AGREE = 256, 0.7
-BLOCK = 2048
-ROUNDS, BEST = 2, 1
+#: Texts, and bytes of text, of a bucket that one block holds.
+PART, PART_BYTES = 1024, 1 << 25
 
 _HASH_BITS = 50
 _MASK = (1 << _HASH_BITS) - 1
@@ -155,8 +153,7 @@ class Sampler:
         return out
 
 
-PAIRS = "a_did long, a_th long, b_did long, b_th long"
-SIGNED = "_rt_did long, _rt_th long, _rt_c2 long, sig binary, bands array<long>"
+SIGNED = "_rt_did long, _rt_th long, _rt_c2 long, size long, sig binary, bands array<long>"
 
 
 def _signatures(weights: np.ndarray, bands: int, rows: int):
@@ -176,28 +173,12 @@ def _signatures(weights: np.ndarray, bands: int, rows: int):
                 key = mix(key + np.arange(bands, dtype=np.uint64)).view(np.int64)
                 for i, d in enumerate(doc[starts].tolist()):
                     sig[d], keys[d] = short[i].tobytes(), key[i]
-            yield pa.RecordBatch.from_arrays([*(c.cast(pa.int64()) for c in batch.columns[:3]), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["_rt_did", "_rt_th", "_rt_c2", "sig", "bands"])
+            size = pa.array(np.diff(string_buffers(batch.column(3))[0]))
+            yield pa.RecordBatch.from_arrays([*(c.cast(pa.int64()) for c in batch.columns[:3]), size, pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["_rt_did", "_rt_th", "_rt_c2", "size", "sig", "bands"])
 
     return run
 
 
-def _agreeing(least: float):
-    """Keeps pairs whose samples agree in at least this share."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.stack([np.frombuffer(x.as_py(), np.uint32) for x in batch.column(k)]) for k in (4, 5))
-                yield pa.RecordBatch.from_arrays(batch.filter(pa.array((a == b).mean(axis=1) >= least)).columns[:4], names=["a_did", "a_th", "b_did", "b_th"])
-
-    return run
-
-
-def _sized(rows: DataFrame) -> DataFrame:
-    """The rows of buckets (key) of two texts or more, with their number n."""
-    return rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
-
-
 #: Numbers of documents in the graph: ids as they are, then the texts of null ids, from 2**63 on.
 NODE = "decimal(20,0)"
 
@@ -207,91 +188,152 @@ def node(did: str, th: str) -> Column:
     return F.when(F.col(did) != NULL_ID, F.col(did).cast(NODE)).otherwise((F.col(th).cast(NODE) + F.lit(str(2**64)).cast(NODE)).cast(NODE))
 
 
-def candidates(reps: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a_did, a_th, b_did, b_th) of texts that share a small bucket, or a large one with its first text, and agree in enough samples; and
-    the rows (_rt_did, _rt_th, key, n) of the large buckets; reps: _rt_did, _rt_th, sig, bands."""
-    spark = reps.sparkSession
-    keys = reps.where("sig IS NOT NULL").select("_rt_did", "_rt_th", F.posexplode("bands").alias("band", "key"))
-    me = F.struct(F.col("_rt_did").alias("did"), F.col("_rt_th").alias("th"), "sig")
-    _sized(keys).join(reps, ["_rt_did", "_rt_th"]).select(me.alias("me"), "key", "n").write.parquet(f"{path}/shared")
-    rows = spark.read.parquet(f"{path}/shared")
-    small = rows.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("me")).alias("all"))
-    each = small.select(F.posexplode("all").alias("i", "a"), "all").select("a", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("b"))
-    large = rows.where(F.col("n") > SMALL)
-    heads = large.groupBy("key").agg(F.min("me").alias("a"))
-    both = each.unionByName(large.join(heads, "key").where("me <> a").select("a", F.col("me").alias("b")))
-    flat = both.select("a.did", "a.th", "b.did", "b.th", "a.sig", "b.sig").toDF("a_did", "a_th", "b_did", "b_th", "a_sig", "b_sig")
-    pairs = flat.mapInArrow(_agreeing(AGREE), PAIRS).distinct()
-    return pairs, large.select(F.col("me.did").alias("_rt_did"), F.col("me.th").alias("_rt_th"), "key", "n")
-
-
-def _long_signatures(weights: np.ndarray, before: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(LONG, before=before)
-        for batch in portions(batches, 2, 1 << 20):
-            doc, h, count = shingles(*string_buffers(batch.column(2)))
-            long = [None] * batch.num_rows
-            if len(h):
-                starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-                short = (sampler.samples(h, count * weights[cell(h)], starts) >> _U(48)).astype(np.uint16)
-                for d, x in zip(doc[starts].tolist(), short):
-                    long[d] = x.tobytes()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(long, pa.binary())], names=["_rt_did", "_rt_th", "long"])
+def bucket_rows(reps: DataFrame) -> DataFrame:
+    """(key, low, high, _rt_did, _rt_th, parts, own, band, sig, bands): the texts of each pair of blocks of each bucket of two texts or more."""
+    keys = reps.where("sig IS NOT NULL").select("_rt_did", "_rt_th", "size", F.posexplode("bands").alias("band", "key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where("n > 1")
+    parts = F.greatest(F.ceil(F.col("n") / PART), F.ceil(F.col("bytes") / PART_BYTES)).alias("parts")
+    dealt = keys.join(shared.select("key", parts), "key").withColumn("own", F.pmod(F.xxhash64("_rt_did", "_rt_th"), "parts"))
+    # Each block meets every other one; a bucket of one block meets itself.
+    zero = F.lit(0).cast("long")
+    other = F.explode(F.when(F.col("parts") == 1, F.array(zero)).otherwise(F.filter(F.sequence(zero, F.col("parts") - 1), lambda x: x != F.col("own"))))
+    pairs = dealt.join(reps.select("_rt_did", "_rt_th", "sig", "bands"), ["_rt_did", "_rt_th"]).withColumn("other", other)
+    return pairs.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "_rt_did", "_rt_th", "parts", "own", "band", "sig", "bands")
+
+
+BUCKET = "key long, low long, high long, _rt_did long, _rt_th long, parts long, own long, band int, sig binary, bands array<long>"
+_WHERE = ["key", "low", "high"]
+
+
+def block_pairs(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (i < j) of a pair of blocks that agree in enough samples, share no earlier band, and are not another pair of blocks' to compare."""
+    low, high, parts, band = (rows.column(k)[0].as_py() for k in (1, 2, 5, 7))
+    own = rows.column(6).to_numpy()
+    sig = np.stack([np.frombuffer(x.as_py(), np.uint32) for x in rows.column(8)])
+    bands = rows.column(9).flatten().to_numpy().reshape(len(sig), -1)[:, :band]
+    # Pairs inside a block belong to it and the next one, those inside the last to it and the one before.
+    inside = {low} if high == low + 1 else set()
+    inside |= {high} if high == parts - 1 and low >= high - 1 else set()
+    mine = np.isin(own, list(inside))
+    i, j = [], []
+    for k in range(len(sig) - 1):
+        near = np.count_nonzero(sig[k + 1 :] == sig[k], axis=1) >= AGREE * sig.shape[1]
+        near &= (own[k + 1 :] != own[k]) | mine[k]
+        at = np.flatnonzero(near) + k + 1
+        if len(at):
+            at = at[~(bands[at] == bands[k]).any(axis=1)]
+            i.append(np.full(len(at), k))
+            j.append(at)
+    return (np.concatenate(i), np.concatenate(j)) if i else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted bucket rows those whose text has a candidate in its pair of blocks."""
+    for batch, bounds in groups(batches, 3):
+        keep = np.zeros(batch.num_rows, bool)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if b - a > 1:
+                for side in block_pairs(batch.slice(a, b - a)):
+                    keep[a + side] = True
+        if keep.any():
+            yield batch.filter(pa.array(keep))
+
+
+def similarities(doc: np.ndarray, h: np.ndarray, count: np.ndarray, idf: np.ndarray, i: np.ndarray, j: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """The weighted Jaccard similarity of the texts i and j of shingle sets (doc, hash, count, weight of one), sorted by doc and hash."""
+    n = int(doc[-1]) + 1 if len(doc) else 0
+    n = max(n, int(max(i.max(initial=-1), j.max(initial=-1))) + 1)
+    total = np.bincount(doc, count * idf, n)
+    # Every occurrence of a shingle is a feature; the least of two weights is the sum over the occurrences that both have.
+    feature, level = spread(count)
+    number = np.unique(h, return_inverse=True)[1][feature]
+    order = np.lexsort((level, number))
+    new = np.concatenate([[True], (np.diff(number[order]) != 0) | (np.diff(level[order]) != 0)]) if len(order) else np.empty(0, bool)
+    held = np.diff(np.append(np.flatnonzero(new), len(order)))
+    common = np.repeat(held > 1, held)
+    row, weight = doc[feature][order][common], idf[feature][order][common]
+    column = np.cumsum(new[common]) - 1
+    features = int(column[-1]) + 1 if len(column) else 0
+    both = np.zeros(len(i))
+    # Seconds by rough unit costs: products of n x n x features, or pair by pair.
+    if n * n * features * 1e-10 < len(i) * (3e-5 + 1e-8 * len(h) / max(n, 1)):
+        cut = np.searchsorted(column, np.arange(0, features, columns))
+        for k, (a, b) in enumerate(zip(cut, [*cut[1:], len(column)])):
+            x = np.zeros((n, columns))
+            x[row[a:b], column[a:b] - k * columns] = np.sqrt(weight[a:b])
+            both += (x @ x.T)[i, j]
+    else:
+        edge = np.searchsorted(doc, np.arange(n + 1))
+        least = lambda a, b: (slice(edge[a], edge[a + 1]), slice(edge[b], edge[b + 1]))
+        for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
+            x, y = least(a, b)
+            _, p, q = np.intersect1d(h[x], h[y], assume_unique=True, return_indices=True)
+            both[k] = (np.minimum(count[x][p], count[y][q]) * idf[x][p]).sum()
+    out = np.zeros(len(i))
+    union = total[i] + total[j] - both
+    np.divide(both, union, out=out, where=union > 0)
+    return out
+
+
+def least_reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least number that each of n numbers reaches over the links a - b."""
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+#: One row a text and pair of blocks: the least text that its links there reach, their number, and the most similar text (the least of equals).
+LINKED = "_rt_did long, _rt_th long, to_did long, to_th long, links long, near_did long, near_th long, similarity double"
+_LINKED = [f.split()[0] for f in LINKED.split(", ")]
 
-    return run
 
+def _verify(weights: np.ndarray, least: float):
+    """Batches of sorted bucket rows with their texts: the rows of LINKED of the pairs whose similarity is ``least`` or more."""
 
-def _compared(best: int | None):
-    """Pairs of one or two blocks of a bucket whose long signatures agree, all or each text's best; pairs of one group are left out."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks().sort_by([("_rt_did", "ascending"), ("_rt_th", "ascending")])
-        did, th, block, group = (rows.column(c).to_numpy() for c in ("_rt_did", "_rt_th", "block", "root"))
-        two = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
-        long = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in rows.column("long")])
-        a, b = [], []
-        for i in range(len(did)):
-            other = group != group[i]
-            if two:
-                other &= block != block[i]
-            if best is None:
-                other[:i] = False
-            j = np.flatnonzero(other)
-            n = np.count_nonzero(long[j] == long[i], axis=1)
-            near = n >= LONG_AGREE * LONG
-            j, n = j[near], n[near]
-            if best is not None:
-                j = j[np.argsort(-n, kind="stable")[:best]]
-            a.append(np.minimum(i, j))
-            b.append(np.maximum(i, j))
-        a, b = np.concatenate(a), np.concatenate(b)
-        return pa.table({"a_did": did[a], "a_th": th[a], "b_did": did[b], "b_th": th[b]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, bounds in groups(batches, 3):
+            parts: list[list[np.ndarray]] = []
+            did, th = (batch.column(k).to_numpy() for k in (3, 4))
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                if b - a < 2:
+                    continue
+                rows = batch.slice(a, b - a)
+                i, j = block_pairs(rows)
+                if not len(i):
+                    continue
+                doc, h, count = shingles(*string_buffers(rows.column(10)))
+                s = similarities(doc, h, count, weights[cell(h)].astype(float), i, j)
+                near = s >= least
+                i, j, s = i[near], j[near], s[near]
+                if not len(i):
+                    continue
+                n = b - a
+                links = np.bincount(i, minlength=n) + np.bincount(j, minlength=n)
+                one, two, both = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([s, s])
+                order = np.lexsort((two, -both, one))
+                first = order[np.concatenate([[True], np.diff(one[order]) != 0])]
+                own, to, best = one[first] + a, least_reached(n, i, j)[one[first]] + a, two[first] + a
+                parts.append([did[own], th[own], did[to], th[to], links[one[first]], did[best], th[best], both[first]])
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=_LINKED)
 
     return run
 
 
-def rest_rows(large: DataFrame, roots: DataFrame, path: str) -> DataFrame:
-    """The rows, with their group's root (roots: node, root), of large buckets whose texts are in several groups."""
-    own = large.join(roots, node("_rt_did", "_rt_th") == roots["node"], "left").select("_rt_did", "_rt_th", "key", "n", F.coalesce("root", node("_rt_did", "_rt_th")).alias("root"))
-    own.write.parquet(f"{path}_large")
-    own = large.sparkSession.read.parquet(f"{path}_large")
-    live = own.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    own.join(live, "key").write.parquet(f"{path}_rest")
-    return large.sparkSession.read.parquet(f"{path}_rest")
-
-
-def long_signatures(rest: DataFrame, texts: DataFrame, weights: np.ndarray, before: int, path: str) -> DataFrame:
-    own = texts.join(rest.select("_rt_did", "_rt_th").distinct(), ["_rt_did", "_rt_th"], "left_semi").select("_rt_did", "_rt_th", "text")
-    own.mapInArrow(_long_signatures(weights, before), "_rt_did long, _rt_th long, long binary").dropDuplicates(["_rt_did", "_rt_th"]).write.parquet(f"{path}/long")
-    return rest.sparkSession.read.parquet(f"{path}/long")
-
-
-def rest_pairs(rest: DataFrame, signatures: DataFrame, best: int | None) -> DataFrame:
-    """Pairs of texts of different groups that share a large bucket and agree in the long signatures."""
-    blocks = F.ceil(F.col("n") / BLOCK)
-    dealt = rest.withColumn("block", F.pmod(F.xxhash64("_rt_did", "_rt_th"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = dealt.select("_rt_did", "_rt_th", "key", F.xxhash64("root").alias("root"), "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    return dealt.join(signatures, ["_rt_did", "_rt_th"]).groupBy("key", "low", "high").applyInArrow(_compared(best), PAIRS).distinct()
+def linked_texts(reps: DataFrame, texts: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
+    """LINKED rows of all verified pairs; reps: _rt_did, _rt_th, size, sig, bands; texts: _rt_did, _rt_th, text."""
+    n = shuffle_partitions(reps.sparkSession)
+    order = [*_WHERE, "_rt_did", "_rt_th"]
+    met = lambda rows: rows.repartition(n, *_WHERE).sortWithinPartitions(*order)
+    live = met(bucket_rows(reps)).mapInArrow(_candidates, BUCKET)
+    names = [f.split()[0] for f in BUCKET.split(", ")]
+    return met(live.join(texts, ["_rt_did", "_rt_th"]).select(*names, "text")).mapInArrow(_verify(weights, threshold), LINKED)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -304,35 +346,9 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(both / (wa.sum(dtype=np.float64) + wb.sum(dtype=np.float64) - both))
 
 
-LINKED = f"{PAIRS}, similarity double"
-_LINKED = pa.schema([*[(c, pa.int64()) for c in ("a_did", "a_th", "b_did", "b_th")], ("similarity", pa.float64())])
-
-
-def _verify(weights: np.ndarray, least: float):
-    def weighed(text: str) -> tuple[np.ndarray, np.ndarray]:
-        data = np.frombuffer(text.encode(), np.uint8)
-        _, h, count = shingles(np.array([0, len(data)]), data)
-        return h, (count * weights[cell(h)]).astype(np.float64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, left = None, None
-        for batch in batches:
-            out = []
-            for a, a_th, b, b_th, x, y in zip(*(batch.column(k) for k in range(6))):
-                a, a_th = a.as_py(), a_th.as_py()
-                if key != (a, a_th):
-                    key, left = (a, a_th), weighed(x.as_py())
-                s = weighted_jaccard(left, weighed(y.as_py()))
-                if s >= least:
-                    out.append((a, a_th, b.as_py(), b_th.as_py(), s))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _LINKED)], schema=_LINKED)
-
-    return run
-
-
 def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(_rt_did, _rt_th, class_did, first) of each different (id, text): class_did is the least id of its group, first whether it is the document that the group keeps."""
+    """One row for each different (id, text): _rt_did, _rt_th; class_did, the least id of its group; first, whether it is the document that the
+    group keeps; links, near_did and similarity: the number of different texts near its own, and the most similar one's id and similarity."""
     weights = shingle_weights(docs)
     spark = docs.sparkSession
     path = scratch_path(spark, "near")
@@ -341,57 +357,52 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, ro
     signed.write.parquet(f"{path}/signed")
     signed = spark.read.parquet(f"{path}/signed")
     # One representative of each text; th and c2 together are 128 bits of its hash (a null and an empty text differ in th).
-    classes = signed.groupBy("_rt_c2", "sig").agg(F.min(F.struct("_rt_did", "_rt_th")).alias("rep"), F.first("bands").alias("bands"))
-    reps = classes.select("rep._rt_did", "rep._rt_th", "sig", "bands")
-    texts = plain.select("_rt_did", "_rt_th", "text")
-    one = lambda did, th, text: texts.select(F.col("_rt_did").alias(did), F.col("_rt_th").alias(th), F.col("text").alias(text))
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        pairs.write.parquet(f"{path}/{name}_pairs")
-        # No repartition of their own, so that Spark can split the joins at a bucket's first text, which may have very many partners.
-        with_b = spark.read.parquet(f"{path}/{name}_pairs").join(one("b_did", "b_th", "b_text"), ["b_did", "b_th"])
-        with_both = with_b.join(one("a_did", "a_th", "a_text"), ["a_did", "a_th"]).select("a_did", "a_th", "b_did", "b_th", "a_text", "b_text")
-        return with_both.mapInArrow(_verify(weights, threshold), LINKED).select(node("a_did", "a_th").alias("u"), node("b_did", "b_th").alias("v"))
-
-    pairs, large = candidates(reps, path)
-    links = verified(pairs, "first")
+    classes = signed.groupBy("_rt_c2", "sig").agg(F.min(F.struct("_rt_did", "_rt_th")).alias("rep"), F.first("bands").alias("bands"), F.first("size").alias("size"))
+    reps = classes.select("rep._rt_did", "rep._rt_th", "size", "sig", "bands")
+    # A representative that stands in several rows is one text.
+    texts = plain.select("_rt_did", "_rt_th", "text").join(reps.select("_rt_did", "_rt_th"), ["_rt_did", "_rt_th"], "left_semi").dropDuplicates(["_rt_did", "_rt_th"])
+    linked_texts(reps, texts, weights, threshold).write.parquet(f"{path}/linked")
+    linked = spark.read.parquet(f"{path}/linked")
+    links = linked.select(node("_rt_did", "_rt_th").alias("u"), node("to_did", "to_th").alias("v"))
+    rep_of = classes.select("_rt_c2", "sig", F.col("rep._rt_did").alias("rep_did"), F.col("rep._rt_th").alias("rep_th"))
+    same = (signed["_rt_c2"] == rep_of["_rt_c2"]) & signed["sig"].eqNullSafe(rep_of["sig"])
+    members = signed.join(rep_of, same).select("_rt_did", "_rt_th", node("_rt_did", "_rt_th").alias("own"), "rep_did", "rep_th", node("rep_did", "rep_th").alias("rep")).distinct()
     # An id with several texts ties their groups together; a null id doesn't.
-    rep_of = classes.select("_rt_c2", "sig", node("rep._rt_did", "rep._rt_th").alias("rep"))
-    members = signed.join(rep_of, (signed["_rt_c2"] == rep_of["_rt_c2"]) & signed["sig"].eqNullSafe(rep_of["sig"])).select(node("_rt_did", "_rt_th").alias("own"), "_rt_did", "_rt_th", "rep").distinct()
-    tied = members.groupBy("own").agg(F.min("rep").alias("v"), F.collect_set("rep").alias("all")).where(F.size("all") > 1).select(F.explode("all").alias("u"), "v")
+    several = members.groupBy("own").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v <> most").select("own", "v")
+    tied = members.join(several, "own").select(F.col("rep").alias("u"), "v").where("u <> v").distinct()
     roots = components(links.unionByName(tied))
-    signatures = None
-    for k in range(ROUNDS + 1):
-        rest = rest_rows(large, roots, f"{path}/round{k}")
-        if rest.isEmpty():
-            break
-        if signatures is None:
-            signatures = long_signatures(rest, texts, weights, bands * rows, path)
-        more = verified(rest_pairs(rest, signatures, BEST if k < ROUNDS else None), f"round{k}")
-        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
-    found = members.join(roots, members["rep"] == roots["node"], "left").select("_rt_did", "_rt_th", "own", F.coalesce("root", "rep").alias("class"))
-    return found.select("_rt_did", "_rt_th", F.when(F.col("class") < F.lit(str(2**63)).cast(NODE), F.col("class").cast("long")).otherwise(NULL_ID).alias("class_did"), (F.col("own") == F.col("class")).alias("first"))
+    best = F.max(F.struct("similarity", (-F.col("near_did")).alias("near_did"))).alias("best")
+    counts = linked.groupBy(F.col("_rt_did").alias("rep_did"), F.col("_rt_th").alias("rep_th")).agg(F.sum("links").alias("links"), best)
+    found = members.join(roots, members["rep"] == roots["node"], "left").withColumn("class", F.coalesce("root", "rep")).join(counts, ["rep_did", "rep_th"], "left")
+    return found.select(
+        "_rt_did", "_rt_th", F.when(F.col("class") < F.lit(str(2**63)).cast(NODE), F.col("class").cast("long")).otherwise(NULL_ID).alias("class_did"), (F.col("own") == F.col("class")).alias("first"),
+        F.coalesce("links", F.lit(0).cast("long")).alias("links"), (-F.col("best.near_did")).alias("near_did"), F.col("best.similarity").alias("similarity"),
+    )
 
 
 def class_report(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its near-duplicates): one row per document row."""
+    """One row per document row: doc_id; class_id, the least doc_id of its near-duplicates; n_links, the number of different texts near its own;
+    nearest_id and similarity, the most similar one of them (null where there is none)."""
     own = docs.select("doc_id", "text")
     joined = with_keys(own).select("doc_id", "_rt_did", "_rt_th").join(near_classes(own, threshold), ["_rt_did", "_rt_th"])
-    return joined.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("class_did") != NULL_ID, F.col("class_did")).alias("class_id"))
+    known = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    return joined.select(F.col("doc_id").cast("long").alias("doc_id"), known("class_did").alias("class_id"), F.col("links").alias("n_links"), known("near_did").alias("nearest_id"), "similarity")
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The documents without near-duplicates of a smaller id; columns as they are.
 
-    A kept row that stands several times stays once (which, if other columns
-    differ, is open); of an id's different texts the one of the least hash stays,
-    of a null id's all that have no near-duplicates before them.
+    A kept row that stands several times stays once (if other columns differ,
+    the row whose columns as JSON have the least hash); of an id's different texts the
+    one of the least hash stays, of a null id's all that have no near-duplicates before them.
     """
     classes = near_classes(docs, threshold)
     own = F.when(F.col("_rt_did") == NULL_ID, F.col("_rt_th"))
     kept = classes.where("first").groupBy("_rt_did", own.alias("own")).agg(F.min("_rt_th").alias("_rt_th"))
-    rows = with_keys(docs).join(kept.hint("shuffle_hash"), ["_rt_did", "_rt_th"], "left_semi")
-    return rows.dropDuplicates(["_rt_did", "_rt_th"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = with_keys(docs).select("_rt_did", "_rt_th", row.alias("row")).join(kept.select("_rt_did", "_rt_th").hint("shuffle_hash"), ["_rt_did", "_rt_th"], "left_semi")
+    one = rows.groupBy("_rt_did", "_rt_th").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 ship_by_value(sys.modules[__name__])

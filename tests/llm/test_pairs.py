@@ -216,3 +216,84 @@ def test_pipeline_on_awkward_documents(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
     assert collected(corpus_pipeline.STAGES[0][1](spark, docs.limit(0), str(tmp_path))) == []
+
+
+def brute_links(spark, rows):
+    """The similarities of all pairs of different texts of 0.8 and more, by their places in ``rows``."""
+    weights = minhash.shingle_weights(table(spark, rows))
+    sets = []
+    for _, t in rows:
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        _, h, c = minhash.shingles(np.array([0, len(raw)]), raw)
+        sets.append((h, (c * weights[minhash.cell(h)]).astype(float)))
+    found = {(a, b): minhash.weighted_jaccard(sets[a], sets[b]) for a in range(len(rows)) for b in range(a) if len(sets[a][0]) and len(sets[b][0])}
+    return {p: s for p, s in found.items() if s >= 0.8}
+
+
+def test_links_and_nearest_texts(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(-1, None), (-2, ""), (-3, " ")]
+    for base in range(0, 300, 100):
+        text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(120))
+        rows += [(base + k, edited(text, rng.randint(0, 3), rng) if k else text) for k in range(40)]
+    rows = list({t: (i, t) for i, t in rows}.values())  # different texts
+    links = brute_links(spark, rows)
+    for part in (1024, 13):  # whole buckets, and many pairs of blocks a bucket
+        monkeypatch.setattr(minhash, "PART", part)
+        got = {r.doc_id: r for r in minhash.class_report(table(spark, rows)).collect()}
+        for k, (i, _) in enumerate(rows):
+            own = {b if a == k else a: s for (a, b), s in links.items() if k in (a, b)}
+            # A pair of 0.8 shares a band in 0.9992 of cases; here all links show.
+            assert got[i].n_links == len(own)
+            assert (got[i].nearest_id is None) == (not own)
+            if own:
+                assert abs(got[i].similarity - max(own.values())) < 1e-9 and abs(own[[x for x, _ in rows].index(got[i].nearest_id)] - got[i].similarity) < 1e-9
+
+
+def test_similarities_by_products_and_by_pairs():
+    rng = np.random.default_rng(5)
+    for size in (2, 30, 120):
+        docs = [np.unique(rng.integers(0, 300, rng.integers(0, 120))).astype(np.uint64) for _ in range(size)]
+        counts = [rng.integers(1, 4, len(d)) for d in docs]
+        idf = [1 + (d % 7).astype(float) for d in docs]
+        i, j = np.triu_indices(size, 1)
+        flat = (np.repeat(np.arange(size), [len(d) for d in docs]), np.concatenate(docs), np.concatenate(counts), np.concatenate(idf))
+        want = [minhash.weighted_jaccard((docs[a], counts[a] * idf[a]), (docs[b], counts[b] * idf[b])) for a, b in zip(i, j)]
+        few = slice(0, 3)
+        assert np.abs(minhash.similarities(*flat, i, j, columns=64) - want).max() < 1e-12
+        assert np.abs(minhash.similarities(*flat, i[few], j[few]) - want[few]).max() < 1e-12
+
+
+def test_a_large_group_of_near_copies_and_planted_pairs(spark):
+    rng = random.Random(77)
+    fresh = lambda n: [f"f{rng.randrange(10**7)}" for _ in range(n)]
+    base = fresh(220)
+    rows = []
+    for k in range(3000):  # near copies of one text, some beyond 0.8 of each other
+        w = list(base)
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = fresh(1)[0]
+        rows.append((k, " ".join(w)))
+    for k in range(500):  # pairs that share the group's first half but are near to each other alone
+        one = base[:60] + fresh(160)
+        cut = rng.randrange(200)
+        rows += [(10_000 + k, " ".join(one)), (20_000 + k, " ".join(one[:cut] + fresh(2) + one[cut + 2 :]))]
+    got = {r.doc_id: r.class_id for r in minhash.class_report(table(spark, rows)).collect()}
+    assert all(got[k] == 0 for k in range(3000))
+    assert sum(got[20_000 + k] == 10_000 + k for k in range(500)) >= 499 and all(got[10_000 + k] == 10_000 + k for k in range(500))
+
+
+def test_near_duplicates_of_empty_and_very_long_texts(spark):
+    assert minhash.class_report(table(spark, [])).collect() == [] and minhash.keep_one(table(spark, [])).collect() == []
+    rng = random.Random(2)
+    long = " ".join(f"w{rng.randrange(5000)}" for _ in range(200_000))
+    rows = [(1, long), (2, edited(long, 3000, rng)), (3, long[: len(long) // 2]), (4, "one"), (5, "one"), (6, None), (7, "")]
+    got = {r.doc_id: r.class_id for r in minhash.class_report(table(spark, rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6}
+
+
+def test_the_kept_row_of_equal_texts_is_defined(spark):
+    text = " ".join(f"w{k}" for k in range(80))
+    rows = [(1, text, "en", f"source {k}", k) for k in range(40)]
+    kept = {tuple(minhash.keep_one(spark.createDataFrame(rows, DOCS).repartition(n)).collect()[0]) for n in (1, 3, 8)}
+    assert len(kept) == 1

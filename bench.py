@@ -23,9 +23,9 @@ from retentia.operators.spine import AS_OF_RUN_MODE, daily_spine, spine_row_coun
 from retentia.plans import catalog  # noqa: E402
 from retentia.plans import context  # noqa: E402
 from retentia.session import build_session  # noqa: E402
-from retentia.session import scratch_path, session_key, size_shuffle_partitions  # noqa: E402
+from retentia.session import scratch_path, session_key  # noqa: E402
 from retentia.sources import csv_ingest  # noqa: E402
-from retentia.sources.store import materialize  # noqa: E402
+from retentia.sources.store import default_buckets, materialize  # noqa: E402
 
 HEADLINE = [
     "total_arr",
@@ -80,8 +80,8 @@ def main() -> None:
     times["csv_ingest"] = time.time() - t
     t = time.time()
     rows = spine_row_count(raw, DEFAULT_PERIOD)
-    size_shuffle_partitions(spark, rows * 4)
-    fact = materialize(spark, daily_spine(raw, DEFAULT_PERIOD), rows=rows)
+    n = default_buckets(spark, rows)
+    fact = materialize(spark, daily_spine(raw, DEFAULT_PERIOD, partitions=n), buckets=n, placed=True)
     times["daily_spine_build"] = time.time() - t
     context._FACTS[(session_key(spark), sf_dir, "window", DEFAULT_PERIOD)] = fact
 

@@ -22,11 +22,14 @@ Two modes: ``window`` cuts churn per refresh window (an account that
 churned, then churned again later has a gap between the two), and
 ``as_of_run`` uses a single cut at the end of the whole period.
 
-Plan shape: no range join and no ``lag``.  Account-days, subscription-days
-(each tagged "active today" and/or "active yesterday"), usage rows and ticket
-rows are unioned and reduced by a single ``groupBy(account_id, day)``;
-partial aggregation runs map-side, and the (account, day) key spreads even a
-very large account over as many groups as it has days.
+Plan shape: no range join, no ``lag``, and no row per subscription and day.
+A subscription becomes one row per month it touches, (account, month, first
+day, last day); a month's subscriptions with the same first and last day are
+reduced to the greatest map-side, so even an account with very many has at
+most some 500 such change points a month.  Panel stays, usage days and ticket
+days are rows of the same key.  One aggregation adds them up, a second one by
+account (month) gathers what is left of a month, and only there, when the
+panel is written, months are expanded into days.
 """
 
 from __future__ import annotations
@@ -134,60 +137,37 @@ _GOV_ORDER = ("start_date", "mrr_amount", "subscription_id")
 _GOV_PAYLOAD = ("downgrade_flag", "billing_frequency", "auto_renew_flag", "is_trial")
 
 
-def _spread(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
-    """Hash-partition rows that are about to be exploded into many rows.
+def month_key(day: Column) -> Column:
+    return (F.year(day) * 100 + F.month(day)).cast("int")
 
-    The input size of a scan says nothing about the work after ``explode``
-    (one subscription becomes up to one row per calendar day), so the rows
-    are spread over the shuffle partition count by key *before* exploding.
-    An explicit count keeps AQE from coalescing this small pre-explode
-    shuffle back into one task."""
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *(keys or ("account_id",)))
 
+def _months(lo: Column, hi: Column) -> Column:
+    """First days of the months that the days lo to hi touch."""
+    return F.explode(F.sequence(F.trunc(lo, "month"), F.trunc(hi, "month"), F.expr("interval 1 month")))
 
-def subscription_days(
-    subscriptions: DataFrame, needed: DataFrame | None, period: AnalysisPeriod, partitions: int | None = None
-) -> DataFrame:
-    """(account_id, observation_date, cur, prev): for every day x, each
-    subscription active on x (``cur``) or on x-1 (``prev``) contributes its
-    ordering struct.
-
-    With ``needed`` = (account_id, need_lo, need_hi) days are clipped to each
-    account's panel range (fewer rows, but a join that regroups subscriptions
-    by account).  With ``needed=None`` days are clipped to the analysis period
-    only and no join is made: subscriptions stay spread by (account,
-    subscription), so an account with a huge share of all subscriptions is
-    still exploded by many tasks; days outside the panel are dropped by the
-    spine's aggregation.  ``daily_spine`` uses the join-free form."""
-    s = subscriptions.select("account_id", *_GOV_ORDER[:1], "end_date", *_GOV_ORDER[1:], *_GOV_PAYLOAD).where(
-        (F.col("start_date") <= _date(period.last_to))
-        & (F.col("end_date").isNull() | (F.col("end_date") >= F.date_sub(_date(period.first_from), 1)))
-    )
-    s = _spread(s, "account_id", "subscription_id", n=partitions)
-    if needed is not None:
-        s = s.join(needed, "account_id", "inner")
-        lo, hi = F.col("need_lo"), F.col("need_hi")
-    else:
-        lo, hi = _date(period.first_from), _date(period.last_to)
-    a = F.greatest(F.col("start_date"), lo)
-    b = F.least(F.coalesce(F.date_add(F.col("end_date"), 1), hi), hi)
-    s = s.where(a <= b).select("*", F.explode(F.sequence(a, b)).alias("observation_date"))
-    x = F.col("observation_date")
-    cur = F.struct(*[F.col(c) for c in _GOV_ORDER + _GOV_PAYLOAD])
-    prev = F.struct(*[F.col(c) for c in _GOV_ORDER])
+
+def subscription_months(subscriptions: DataFrame, period: AnalysisPeriod) -> DataFrame:
+    """(account_id, obs_ym, d1, d2, gov): each subscription's active days in every month, and the day before it
+    (a month's first day has a day before it, too); clipped to the period, with no join."""
+    first, last = _date(period.first_from), _date(period.last_to)
+    s = subscriptions.where((F.col("start_date") <= last) & (F.col("end_date").isNull() | (F.col("end_date") >= F.date_sub(first, 1))))
+    a = F.greatest(F.col("start_date"), F.date_sub(first, 1))
+    b = F.least(F.coalesce(F.col("end_date"), last), last)
+    gov = F.struct(*[F.col(c) for c in _GOV_ORDER + _GOV_PAYLOAD])
+    s = s.select("account_id", a.alias("a"), b.alias("b"), gov.alias("gov")).where("a <= b")
+    s = s.select("*", _months(F.greatest(F.col("a"), first), F.least(F.date_add("b", 1), last)).alias("m"))
     return s.select(
-        "account_id",
-        "observation_date",
-        F.when(F.col("end_date").isNull() | (x <= F.col("end_date")), cur).alias("cur"),
-        F.when(x > F.col("start_date"), prev).alias("prev"),
-    )
+        "account_id", month_key(F.col("m")).alias("obs_ym"), F.greatest(F.col("a"), F.date_sub("m", 1)).alias("d1"), F.least(F.col("b"), F.last_day("m")).alias("d2"), "gov"
+    )
 
 
-def governing_subscription(subscriptions: DataFrame, needed: DataFrame | None, period: AnalysisPeriod) -> DataFrame:
-    """Per (account, day): the governing subscription today and yesterday."""
-    days = subscription_days(subscriptions, needed, period)
-    return days.groupBy("account_id", "observation_date").agg(F.max("cur").alias("gov"), F.max("prev").alias("gov_prev"))
+_STAY = ("lo_full", "churn_date", "industry", "baseline_tier", "referral_source")
+
+
+def stay_months(bounds: DataFrame) -> DataFrame:
+    """(account_id, obs_ym, d1, d2, stay): an account's panel days in every month of each window."""
+    stays = bounds.select("account_id", "lo", "hi", F.struct(*_STAY).alias("stay"), _months(F.col("lo"), F.col("hi")).alias("m"))
+    return stays.select("account_id", month_key(F.col("m")).alias("obs_ym"), F.greatest("lo", "m").alias("d1"), F.least(F.col("hi"), F.last_day("m")).alias("d2"), "stay")
 
 
 def _as_of(c: Column, period: AnalysisPeriod, lower: bool) -> Column:
@@ -276,45 +256,62 @@ def spine_row_count(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_M
     return int(n or 0)
 
 
+_SUMS = ("u_time", "u_err", "u_beta")
+
+
+def account_months(bounds: DataFrame, subscriptions: DataFrame, period: AnalysisPeriod, usage: DataFrame | None = None, tickets: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
+    """One row per account and month with all that its panel days need: stays, subs (change points of the governing
+    subscription) and acts (days with usage or tickets), as arrays; their sizes are bounded by the days of a month."""
+    rows = stay_months(bounds).unionByName(subscription_months(subscriptions, period), allowMissingColumns=True)
+    day = F.col("observation_date")
+    for one in (usage, tickets):
+        if one is not None:
+            dated = one.select("account_id", month_key(day).alias("obs_ym"), day.alias("d1"), day.alias("d2"), *[c for c in one.columns if c not in ("account_id", "observation_date")])
+            rows = rows.unionByName(dated, allowMissingColumns=True)
+    sums = [F.sum(c).alias(c) if c in rows.columns else F.lit(None).cast("bigint").alias(c) for c in _SUMS]
+    of_tickets = [F.count("t_n").alias("t_n"), F.avg("t_res").alias("t_res"), F.avg("t_csat").alias("t_csat")] if tickets is not None else [F.lit(0).cast("bigint").alias("t_n"), F.lit(None).cast("decimal(14,6)").alias("t_res"), F.lit(None).cast("decimal(7,5)").alias("t_csat")]
+    points = rows.groupBy("account_id", "obs_ym", "d1", "d2").agg(F.max("stay").alias("stay"), F.max("gov").alias("gov"), *sums, *of_tickets)
+    n = partitions or int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    span = lambda *c: F.struct("d1", "d2", *c)
+    acts = F.struct(F.col("d1").alias("day"), *_SUMS, "t_n", "t_res", "t_csat")
+    active = (F.col("t_n") > 0) | F.greatest(*_SUMS).isNotNull()
+    return points.repartition(n, "account_id").groupBy("account_id", "obs_ym").agg(
+        F.collect_list(F.when(F.col("stay").isNotNull(), span("stay"))).alias("stays"),
+        F.collect_list(F.when(F.col("gov").isNotNull(), span("gov"))).alias("subs"),
+        F.collect_list(F.when(active, acts)).alias("acts"),
+    )
+
+
+def panel_days(months: DataFrame) -> DataFrame:
+    """The panel's days with the governing subscription of the day and of the day before, usage and tickets.
+
+    A month's governing subscriptions are looked up once a day (``gov``), then read for the day and, one place earlier, for the day before."""
+    one = months.where(F.size("stays") > 0).select("account_id", "subs", "acts", F.inline("stays"))
+    top = lambda d: F.array_max(F.transform(F.filter("subs", lambda x: (x["d1"] <= d) & (d <= x["d2"])), lambda x: x["gov"]))
+    looked = one.select("account_id", "d1", "d2", "stay", "acts", F.transform(F.sequence(F.date_sub("d1", 1), "d2"), top).alias("gov"))
+    act = lambda d: F.get(F.filter("acts", lambda x: x["day"] == d), F.lit(0))
+    day = lambda d, i: F.struct(d.alias("observation_date"), F.get("gov", i + 1).alias("gov"), F.get("gov", i).alias("gov_prev"), act(d).alias("act"))
+    days = looked.select("account_id", "stay", F.inline(F.transform(F.sequence("d1", "d2"), day)))
+    acts = [*[F.col(f"act.{c}").alias(c) for c in (*_SUMS, "t_res", "t_csat")], F.coalesce("act.t_n", F.lit(0)).alias("t_n")]
+    return days.select("account_id", "observation_date", "stay.*", "gov", "gov_prev", *acts)
+
+
+def governing_subscription(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE) -> DataFrame:
+    """Per panel day (account_id, observation_date): the governing subscription (``gov``) and the day before's (``gov_prev``), null where none is active;
+    ``first_day`` is the account's first day in the calendar."""
+    p = _resolve(period, mode)
+    return panel_days(account_months(spine_bounds(raw, period, mode), raw.subscriptions, p)).select("account_id", "observation_date", "gov", "gov_prev", F.col("lo_full").alias("first_day"))
+
+
 def daily_spine(raw: RawTables, period: AnalysisPeriod, mode: str = WINDOW_MODE, partitions: int | None = None) -> DataFrame:
     """The daily fact table (schema ``retentia.schemas.DAILY_SPINE``).
 
-    One plan at every size: subscription-days are clipped to the analysis
-    period with no join, so subscriptions stay spread by (account,
-    subscription); days outside an account's panel go with the aggregation.
-    ``partitions`` sets the spread before days are exploded (default: the
-    shuffle partition count)."""
+    One plan at every size.  The rows come hash-partitioned by account into ``partitions`` parts (default: the shuffle
+    partition count), which is how ``store.materialize`` places buckets, so that the panel itself is never shuffled."""
     p = _resolve(period, mode)
-    bounds = account_windows(raw.accounts, latest_churn(raw.churn_events, p), p)
-    bounds = _spread(bounds, "account_id", n=partitions)
-
-    markers = spine_days(bounds).withColumn("is_spine", F.lit(1))
-    subs = subscription_days(raw.subscriptions, None, p, partitions=partitions)
     usage = _usage_rows(raw.feature_usage, raw.subscriptions, p)
     tickets = _ticket_rows(raw.support_tickets, p)
-
-    rows = (
-        markers.unionByName(subs, allowMissingColumns=True)
-        .unionByName(usage, allowMissingColumns=True)
-        .unionByName(tickets, allowMissingColumns=True)
-    )
-    g = rows.groupBy("account_id", "observation_date").agg(
-        F.max("is_spine").alias("is_spine"),
-        F.max("churn_date").alias("churn_date"),
-        F.max("lo_full").alias("lo_full"),
-        F.max("industry").alias("industry"),
-        F.max("baseline_tier").alias("baseline_tier"),
-        F.max("referral_source").alias("referral_source"),
-        F.max("cur").alias("gov"),
-        F.max("prev").alias("gov_prev"),
-        F.sum("u_time").alias("u_time"),
-        F.sum("u_err").alias("u_err"),
-        F.sum("u_beta").alias("u_beta"),
-        F.count("t_n").alias("t_n"),
-        F.avg("t_res").alias("t_res"),
-        F.avg("t_csat").alias("t_csat"),
-    )
-    return finish_spine(g.where(F.col("is_spine") == 1))
+    return finish_spine(panel_days(account_months(spine_bounds(raw, period, mode), raw.subscriptions, p, usage, tickets, partitions)))
 
 
 def finish_spine(g: DataFrame) -> DataFrame:

@@ -51,13 +51,8 @@ def q_spine_days(spark, sf):
 
 
 def q_governing_subscription(spark, sf):
-    raw = raw_tables(spark, sf)
-    b = spine.spine_bounds(raw, P)
-    gov = spine.governing_subscription(raw.subscriptions, None, P)
-    days = spine.spine_days(b).select("account_id", "observation_date")
-    return days.join(gov, ["account_id", "observation_date"], "left").select(
-        "account_id", "observation_date", F.col("gov.subscription_id").alias("subscription_id")
-    )
+    gov = spine.governing_subscription(raw_tables(spark, sf), P)
+    return gov.select("account_id", "observation_date", F.col("gov.subscription_id").alias("subscription_id"))
 
 
 def q_telemetry_rollup(spark, sf):
@@ -70,17 +65,16 @@ def q_support_friction(spark, sf):
 
 
 def q_mrr_delta(spark, sf):
-    """previous-day MRR (0 before the account's first panel day) and
-    the delta; on the churn day the delta is -previous MRR."""
-    f = fact_table(spark, sf)
-    mrr, delta = F.col("active_mrr_run_rate"), F.col("net_mrr_delta")
-    prev = F.when(F.col("target_churn_flag") == 1, -delta).otherwise(mrr - delta)
-    return f.select(
+    """the day before's MRR (0 before the account's first day in the calendar), looked up anew beside the stored delta."""
+    before = spine.governing_subscription(raw_tables(spark, sf), P).select("account_id", "observation_date", F.col("gov_prev.mrr_amount").alias("eve"), "first_day")
+    rows = fact_table(spark, sf).join(before, ["account_id", "observation_date"])
+    prev = F.when(F.col("observation_date") > F.col("first_day"), F.col("eve"))
+    return rows.select(
         "account_id",
         "observation_date",
-        F.round(mrr, 4).cast("double").alias("active_mrr_run_rate"),
-        F.round(prev, 4).cast("double").alias("prev_day_mrr"),
-        F.round(delta, 4).cast("double").alias("net_mrr_delta"),
+        F.round("active_mrr_run_rate", 4).cast("double").alias("active_mrr_run_rate"),
+        F.coalesce(F.round(prev, 4).cast("double"), F.lit(0.0)).alias("prev_day_mrr"),
+        F.round("net_mrr_delta", 4).cast("double").alias("net_mrr_delta"),
     )
 
 

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retentia.config import DEFAULT_PERIOD, AnalysisPeriod
 from retentia.operators.spine import WINDOW_MODE, daily_spine, spine_row_count
-from retentia.session import apply_runtime_conf, session_key, size_shuffle_partitions
+from retentia.session import apply_runtime_conf, session_key
 from retentia.sources.adapter import raw_from_test_tables
 from retentia.sources.raw import RawTables
-from retentia.sources.store import materialize
+from retentia.sources.store import default_buckets, materialize
 
 _FACTS: dict[tuple, DataFrame] = {}
 _RAW: dict[tuple, RawTables] = {}
@@ -49,9 +49,8 @@ def fact_table(
     if key not in _FACTS:
         raw = raw_tables(spark, sf_dir)
         rows = spine_row_count(raw, period, mode)
-        # Subscription-days outnumber panel rows a few times; size for that.
-        size_shuffle_partitions(spark, rows * 4)
-        _FACTS[key] = materialize(spark, daily_spine(raw, period, mode), rows=rows)
+        n = default_buckets(spark, rows)
+        _FACTS[key] = materialize(spark, daily_spine(raw, period, mode, partitions=n), buckets=n, placed=True)
     return _FACTS[key]
 
 

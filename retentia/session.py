@@ -80,24 +80,6 @@ def ship_by_value(*modules) -> None:
             pass
 
 
-# Rough in-shuffle width of one spine-building row (keys, structs, sums).
-SPINE_SHUFFLE_BYTES_PER_ROW = 96
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 65536
-
-
-def size_shuffle_partitions(spark: SparkSession, rows: int, bytes_per_row: int = SPINE_SHUFFLE_BYTES_PER_ROW) -> int:
-    """Raise (never lower) ``spark.sql.shuffle.partitions`` so a shuffle of
-    ``rows`` rows gets ~128 MB partitions; AQE coalesces what turns out
-    smaller.  Returns the partition count in effect."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-rows * bytes_per_row // TARGET_PARTITION_BYTES))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-        return wanted
-    return current
-
-
 def session_key(spark: SparkSession) -> int:
     """Identity of a session for per-session caches."""
     j = getattr(spark, "_jsparkSession", None)

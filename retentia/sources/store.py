@@ -91,7 +91,7 @@ def backfill(spark: SparkSession, raw, period, current_path: str | None = None,
 
 
 def materialize(
-    spark: SparkSession, spine: DataFrame, name: str = "fact_daily_spine", buckets: int | None = None, rows: int | None = None
+    spark: SparkSession, spine: DataFrame, name: str = "fact_daily_spine", buckets: int | None = None, rows: int | None = None, placed: bool = False
 ) -> DataFrame:
     """Write the fact table as an external table in a fresh folder under the
     shared checkpoint folder, partitioned by month and bucketed by account.
@@ -102,14 +102,16 @@ def materialize(
       ARR) read the buckets already clustered by account_id and skip the
       shuffle.  Bucketing is skew-safe here: an account has at most one row
       per calendar day.
+
+    ``placed``: the rows already come in ``buckets`` hash partitions by account (``daily_spine(partitions=buckets)``), so each task
+    writes its bucket as it is, without a shuffle of the panel.
     """
     n = buckets or default_buckets(spark, rows)
     path = scratch_path(spark, name)
     table = "retentia_" + path.rsplit("/", 1)[-1].replace("-", "_")
+    spread = _with_month(spine) if placed else _with_month(spine).repartition(n, "account_id")
     (
-        _with_month(spine)
-        .repartition(n, "account_id")
-        .write.mode("errorifexists")
+        spread.write.mode("errorifexists")
         .partitionBy(MONTH_COL)
         .bucketBy(n, "account_id")
         .sortBy("account_id", "observation_date")

@@ -7,14 +7,12 @@ Two matched model/attribution pairs, never mixed:
 * ``linear_drivers``: for a linear score, contribution = coefficient x value
   (against a zero baseline; categorical levels carry their own coefficient).
   Exact and additive, written as column expressions only.
-* ``tree_drivers``: for the boosted trees, path attribution - every split on
-  a row's path credits ``weight x (prediction(child) - prediction(node))``
-  to its feature; summed over trees this plus the root values equals the
-  margin.  The trees come from the saved model's node table, whose size is
-  bounded by the training parameters (trees x 2^(depth+1) nodes); they are
-  shipped with the task closure and rows are walked in Arrow batches with
-  numpy (``mapInPandas``).  Additive, but not the Shapley values of the
-  original notebook, so rankings can differ from it.
+* ``tree_drivers``: for the boosted trees, Shapley values by the tree path
+  algorithm with the training rows' node covers (``shapley``); a row's values
+  add up to its margin less the base value.  The trees come from the saved
+  model's node table, whose size is bounded by the training parameters
+  (trees x 2^(depth+1) nodes); they are shipped with the task closure and
+  rows are handled in Arrow batches with numpy (``mapInPandas``).
 """
 
 from __future__ import annotations
@@ -28,7 +26,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retentia.operators import shapley
 from retentia.operators.features import CATEGORICAL, MODEL_FEATURES
+from retentia.operators.shapley import Tree
 from retentia.session import scratch_path, ship_by_value
 
 
@@ -131,6 +131,7 @@ def tree_table(spark: SparkSession, pipeline: PipelineModel) -> dict:
         "treeID",
         F.col("nodeData.id").alias("id"),
         F.col("nodeData.prediction").alias("prediction"),
+        F.col("nodeData.rawCount").alias("cover"),
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
@@ -148,7 +149,7 @@ def tree_table(spark: SparkSession, pipeline: PipelineModel) -> dict:
     trees = []
     for tid, g in nd.groupby("treeID"):
         n = int(g["id"].max()) + 1
-        pred = np.zeros(n)
+        pred, cover = np.zeros(n), np.zeros(n)
         left = -np.ones(n, dtype=np.int64)
         right = -np.ones(n, dtype=np.int64)
         feat = -np.ones(n, dtype=np.int64)
@@ -157,7 +158,7 @@ def tree_table(spark: SparkSession, pipeline: PipelineModel) -> dict:
         cat_left = np.zeros((n, width), dtype=bool)
         for r in g.itertuples(index=False):
             i = int(r.id)
-            pred[i], left[i], right[i] = r.prediction, r.left, r.right
+            pred[i], left[i], right[i], cover[i] = r.prediction, r.left, r.right, r.cover
             if r.left >= 0:
                 feat[i] = r.feature
                 if r.num_categories is not None and r.num_categories > 0:
@@ -165,39 +166,14 @@ def tree_table(spark: SparkSession, pipeline: PipelineModel) -> dict:
                     cat_left[i, [int(v) for v in r.cats]] = True
                 else:
                     thr[i] = r.cats[0]
-        trees.append((float(wd[tid]), pred, left, right, feat, thr, is_cat, cat_left))
+        trees.append(Tree(float(wd[tid]), pred, left, right, feat, thr, is_cat, cover, cat_left))
     return {"trees": trees, "n_features": len(MODEL_FEATURES)}
 
 
-def _path_contributions(table: dict, x: np.ndarray) -> np.ndarray:
-    """(rows, features) signed contributions to the margin."""
-    rows = x.shape[0]
-    out = np.zeros((rows, table["n_features"]))
-    idx = np.arange(rows)
-    for w, pred, left, right, feat, thr, is_cat, cat_left in table["trees"]:
-        node = np.zeros(rows, dtype=np.int64)
-        while True:
-            live = left[node] >= 0
-            if not live.any():
-                break
-            r, nd = idx[live], node[live]
-            f = feat[nd]
-            v = x[r, f]
-            cat = is_cat[nd]
-            code = np.where(cat, v, 0.0).astype(np.int64)
-            go_left = np.where(cat, cat_left[nd, code], v <= thr[nd])
-            child = np.where(go_left, left[nd], right[nd])
-            np.add.at(out, (r, f), w * (pred[child] - pred[nd]))
-            node[live] = child
-    return out
-
-
 def tree_drivers(spark: SparkSession, pipeline: PipelineModel, scored: DataFrame) -> DataFrame:
     """(account_id, primary_risk_drivers) for rows of ``pipeline.transform``
     output (needs ``account_id`` and ``features``)."""
-    import sys
-
-    ship_by_value(sys.modules[__name__])
+    ship_by_value(shapley)
     table = tree_table(spark, pipeline)
     labels = [label(n) for n in MODEL_FEATURES]
     rows = scored.select("account_id", vector_to_array("features").alias("x"))
@@ -207,10 +183,58 @@ def tree_drivers(spark: SparkSession, pipeline: PipelineModel, scored: DataFrame
             if pdf.empty:
                 continue
             x = np.vstack(pdf["x"].to_numpy()).astype(float)
-            c = _path_contributions(table, x)
+            c = shapley.shapley_values(table["trees"], x, table["n_features"])
             # Largest signed contribution first; feature order breaks ties.
             order = np.lexsort((np.tile(np.arange(c.shape[1]), (c.shape[0], 1)), -c), axis=1)
             text = [f"1. {labels[o[0]]} | 2. {labels[o[1]]}" for o in order]
             yield pd.DataFrame({"account_id": pdf["account_id"], "primary_risk_drivers": text})
 
     return rows.mapInPandas(walk, "account_id string, primary_risk_drivers string")
+
+
+# A small stored tree (not fitted) for the registered Shapley query. Splits are
+# (feature, threshold, left, right), left if value <= threshold; leaves are values; each node has its cover.
+STORED_FEATURES = ("daily_friction_events", "active_mrr_run_rate", "app_usage_momentum")
+STORED_NODES = (
+    (0, ("daily_friction_events", 3.0, 1, 2), 100),
+    (1, ("active_mrr_run_rate", 900.0, 3, 4), 60),
+    (2, ("app_usage_momentum", 1.0, 5, 6), 40),
+    (3, ("daily_friction_events", 1.0, 7, 8), 25),
+    (4, -0.8, 35),
+    (5, 1.5, 30),
+    (6, 0.25, 10),
+    (7, -0.25, 10),
+    (8, 0.5, 15),
+)
+
+
+def stored_tree() -> Tree:
+    n = len(STORED_NODES)
+    value, threshold, cover = np.zeros(n), np.zeros(n), np.zeros(n)
+    left, right, feature = (-np.ones(n, np.int64) for _ in range(3))
+    for node, what, rows in STORED_NODES:
+        cover[node] = rows
+        if isinstance(what, tuple):
+            name, threshold[node], left[node], right[node] = what
+            feature[node] = STORED_FEATURES.index(name)
+        else:
+            value[node] = what
+    return Tree(1.0, value, left, right, feature, threshold, np.zeros(n, bool), cover, np.zeros((n, 1), bool))
+
+
+def stored_tree_values(features: DataFrame) -> DataFrame:
+    """(account_id, base_value, margin, one column a feature): the stored tree's Shapley values of each account."""
+    ship_by_value(shapley)
+    trees = [stored_tree()]
+    base = shapley.base_value(trees)
+    names = [f"shap_{c}" for c in STORED_FEATURES]
+    rows = features.select("account_id", F.array(*[F.col(c).cast("double") for c in STORED_FEATURES]).alias("x"))
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not pdf.empty:
+                c = shapley.shapley_values(trees, np.vstack(pdf["x"].to_numpy()).astype(float), len(names))
+                yield pd.DataFrame({"account_id": pdf["account_id"], "base_value": base, "margin": base + c.sum(axis=1), **dict(zip(names, c.T))})
+
+    out = rows.mapInPandas(walk, "account_id string, base_value double, margin double, " + ", ".join(f"{n} double" for n in names))
+    return out.select("account_id", *[F.round(c, 6).alias(c) for c in out.columns[1:]])

@@ -23,13 +23,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retentia.functions.expressions import half_up_ratio
+from retentia.operators import ranking
 from retentia.operators.features import CATEGORICAL, MODEL_FEATURES
 
 NUMERIC_INPUTS = tuple(c for c in MODEL_FEATURES if c not in CATEGORICAL)
@@ -165,8 +165,7 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def evaluate(model: PipelineModel, split_df: DataFrame) -> DataFrame:
     """Held-out report as rows (metric, class, value) on the 'test' split."""
     test = predict(model, split_df.where(F.col("split") == "test"))
-    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)  # 0: the exact curve
-    auc_value = auc.evaluate(test)
+    auc_value = ranking.auc(test.select(F.col("flight_risk_score").alias("score"), "label")).first()["roc_auc"]
     pred = (F.col("flight_risk_score") >= 0.5).cast("double")
     conf = test.groupBy().agg(
         F.sum(F.when((pred == 1) & (F.col("label") == 1), 1).otherwise(0)).alias("tp"),

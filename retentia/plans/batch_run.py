@@ -23,9 +23,11 @@ from retentia import config
 from retentia.config import AnalysisPeriod
 from retentia.operators import drivers, model, quality, roster, split, survival
 from retentia.operators.features import feature_window
+from retentia.operators.spine import daily_spine, spine_row_count
 from retentia.plans import dashboard as dash
 from retentia.session import apply_runtime_conf
 from retentia.sources import csv_ingest, store
+from retentia.sources.manifest import FactStore
 from retentia.sources.raw import RawTables
 
 TABLES = ("accounts", "subscriptions", "feature_usage", "support_tickets", "churn_events")
@@ -81,9 +83,12 @@ def run_all(spark: SparkSession, raw: RawTables, period: AnalysisPeriod, out: st
         df.write.mode("overwrite").parquet(path)
         written[name] = path
 
-    fact_path = store.backfill(spark, raw, period, mode=mode, path=f"{out}/fact_daily_spine")
-    fact = store.read_fact(spark, fact_path)
-    written["fact_daily_spine"] = fact_path
+    # One spine job for all windows; its rows come in the store's buckets, so the panel isn't shuffled. A run into the same folder is one more snapshot.
+    facts = FactStore(spark, f"{out}/fact_daily_spine")
+    n = facts.buckets(spine_row_count(raw, period, mode))
+    facts.refresh(daily_spine(raw, period, mode, partitions=n), period.windows, placed=True)
+    fact = facts.read()
+    written["fact_daily_spine"] = f"{out}/fact_daily_spine"
     store.export_spine_csv(fact.drop(store.MONTH_COL), f"{out}/fact_daily_spine_export")
     written["fact_daily_spine_export"] = f"{out}/fact_daily_spine_export"
 

@@ -305,6 +305,20 @@ def q_risk_drivers_linear(spark, sf):
     return drivers.linear_drivers(f)
 
 
+def q_shapley_stored_tree(spark, sf):
+    from retentia.operators import drivers
+
+    return drivers.stored_tree_values(feature_table(spark, sf))
+
+
+def q_auc_of_linear_score(spark, sf):
+    from retentia.operators import drivers, ranking
+
+    scored = drivers.linear_drivers(feature_table(spark, sf), keep=("target_churn_flag",))
+    # Two digits only, so that many scores tie.
+    return ranking.auc(scored.select(F.round("flight_risk_score", 2).alias("score"), F.col("target_churn_flag").alias("label")))
+
+
 def q_risk_roster(spark, sf):
     # The order is part of the result; reading files back doesn't keep it.
     return _linear_scores(spark, sf).orderBy(F.desc("flight_risk_score"), "account_id")
@@ -327,6 +341,8 @@ def q_account_card(spark, sf):
 QUERIES.update(
     {
         "risk_drivers_linear": q_risk_drivers_linear,
+        "shapley_stored_tree": q_shapley_stored_tree,
+        "auc_of_linear_score": q_auc_of_linear_score,
         "risk_roster": q_risk_roster,
         "portfolio_kpis": q_portfolio_kpis,
         "account_card": q_account_card,

@@ -50,6 +50,16 @@ def touched_months(windows: Sequence[Window]) -> list[int]:
     return sorted(out)
 
 
+def whole_months(windows: Sequence[Window]) -> set[int]:
+    """The touched months all of whose days lie in the windows."""
+    days: dict[int, int] = {}
+    for m in touched_months(windows):
+        first = dt.date(m // 100, m % 100, 1)
+        last = (first + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
+        days[m] = (last - first).days + 1 - sum(max((min(b, last) - max(a, first)).days + 1, 0) for a, b in windows)
+    return {m for m, missing in days.items() if not missing}
+
+
 def _inside(windows: Sequence[Window]):
     day = F.col("observation_date")
     cond = F.lit(False)
@@ -134,13 +144,14 @@ class FactStore:
     def stage(self, recomputed: DataFrame, windows: Sequence[Window], placed: bool = False) -> Snapshot:
         """The next snapshot, written but not published: the windows' rows replaced by ``recomputed``'s.
 
-        ``placed``: the rows come hash-partitioned by account into the store's bucket count (see ``buckets``); it holds only where
-        no month is touched in part."""
+        Months that lie in the windows whole aren't read.  ``placed``: the rows come hash-partitioned by account into the store's
+        bucket count (see ``buckets``); months touched in part bring their other rows by a shuffle all the same."""
         last = self.snapshot()
         buckets = last.buckets if last else self.buckets()
         months = touched_months(windows)
         rows = recomputed.where(_inside(windows)).select(*schemas.SPINE_COLUMNS)
-        old = [m for m in months if last and m in last.months]
+        whole = whole_months(windows)
+        old = [m for m in months if last and m in last.months and m not in whole]
         if old:
             kept = self.read(last).where(F.col(MONTH_COL).isin(old) & ~_inside(windows)).drop(MONTH_COL)
             rows, placed = rows.unionByName(kept), False

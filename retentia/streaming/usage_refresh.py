@@ -5,7 +5,9 @@ idempotent window refresh.  This wires that refresh to Structured
 Streaming: usage files landing in a folder are read as a stream, each
 micro-batch is appended to the raw usage store, and only the refresh
 windows whose dates the batch touches are recomputed (window refresh
-rewrites exactly those dates).  Because a window refresh is a pure function
+replaces exactly those dates).  With a ``FactStore`` as its target only the
+touched months are read and written, and each batch publishes one snapshot;
+with a ``FactPointer`` each batch writes a whole new version.  Because a window refresh is a pure function
 of the raw tables, replaying a batch after a failure rewrites the same rows
 - the sink is idempotent, so the checkpointed query is effectively
 exactly-once.  De-duplication of usage_id stays "earliest usage_date wins"
@@ -23,6 +25,7 @@ from retentia import schemas
 from retentia.config import AnalysisPeriod
 from retentia.operators.dedup import dedup_usage
 from retentia.operators.spine import WINDOW_MODE, daily_spine, window_array
+from retentia.sources.manifest import FactStore
 from retentia.sources.raw import RawTables
 from retentia.sources.store import refresh_windows
 
@@ -98,7 +101,7 @@ def start_usage_refresh(
     usage_store: str,
     base: RawTables,
     period: AnalysisPeriod,
-    pointer: FactPointer,
+    pointer: FactPointer | FactStore,
     checkpoint_location: str,
     file_format: str = "parquet",
     mode: str = WINDOW_MODE,
@@ -128,7 +131,10 @@ def start_usage_refresh(
         # the touched windows are rebuilt; as-of-run mode has one window.
         sub = AnalysisPeriod(period.cal_start, period.cal_end, tuple(windows)) if mode == WINDOW_MODE else period
         spine = daily_spine(raw, sub, mode)
-        pointer.swap(refresh_windows(spark, pointer.path, spine, windows))
+        if isinstance(pointer, FactStore):
+            pointer.refresh(spine, windows)
+        else:
+            pointer.swap(refresh_windows(spark, pointer.path, spine, windows))
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

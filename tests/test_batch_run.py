@@ -9,6 +9,7 @@ from retentia.operators.spine import daily_spine
 from retentia.plans import batch_run
 from retentia.plans.context import raw_tables
 from retentia.sources import csv_ingest, store
+from retentia.sources.manifest import FactStore
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -18,7 +19,7 @@ def test_batch_run_from_csv(spark, tmpdir_path):
     paths = csv_ingest.write_raw_csv(raw_tables(spark, SF), os.path.join(tmpdir_path, "csv"))
     raw = csv_ingest.load_raw_csv(spark, batch_run.csv_paths(os.path.dirname(paths["accounts"])))
     out = batch_run.run_all(spark, raw, DEFAULT_PERIOD, os.path.join(tmpdir_path, "out"))
-    fact = spark.read.parquet(out["fact_daily_spine"])
+    fact = FactStore(spark, out["fact_daily_spine"]).read()
     assert fact.count() == daily_spine(raw_tables(spark, SF), DEFAULT_PERIOD).count()
     scores = spark.read.option("header", True).csv(out["live_flight_risk_scores"])
     assert scores.columns[:6] == ["account_id", "industry", "active_mrr_run_rate", "flight_risk_score",

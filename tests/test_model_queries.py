@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from retentia import config
+from retentia.operators import shapley
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -26,7 +27,7 @@ def test_model_report_scores_and_tree_drivers(spark):
     assert drivers.count() == len(rows)
 
 
-def test_tree_path_contributions_reconstruct_gbt_margin(spark):
+def test_tree_shapley_values_reconstruct_gbt_margin(spark):
     import numpy as np
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
@@ -45,8 +46,7 @@ def test_tree_path_contributions_reconstruct_gbt_margin(spark):
     x = np.array([r["x"] for r in rows])
     margin = np.array([r["raw"][1] for r in rows])
     table = drivers.tree_table(spark, pipe)
-    bias = sum(w * pred[0] for w, pred, *_ in table["trees"])
-    got = drivers._path_contributions(table, x).sum(axis=1) + bias
+    got = shapley.shapley_values(table["trees"], x, table["n_features"]).sum(axis=1) + shapley.base_value(table["trees"])
     assert np.allclose(got, margin, atol=1e-9)
 
 
@@ -90,7 +90,87 @@ def test_categorical_of_a_hundred_levels(spark):
     pipe = model.fit_gbt(frame, model.GbtParams(max_iter=5, max_depth=3))
     out = pipe.transform(frame).select(vector_to_array("features").alias("x"), vector_to_array("rawPrediction").alias("raw")).collect()
     table = drivers.tree_table(spark, pipe)
-    assert max(t[-1].shape[1] for t in table["trees"]) > 64
-    bias = sum(t[0] * t[1][0] for t in table["trees"])
+    assert max(t.category_left.shape[1] for t in table["trees"]) > 64
     x = np.array([r["x"] for r in out])
-    assert np.allclose(drivers._path_contributions(table, x).sum(axis=1) + bias, [r["raw"][1] for r in out], atol=1e-9)
+    values = shapley.shapley_values(table["trees"], x, table["n_features"])
+    assert np.allclose(values.sum(axis=1) + shapley.base_value(table["trees"]), [r["raw"][1] for r in out], atol=1e-9)
+
+
+def _random_tree(rng, features, depth):
+    """A tree with covers from random rows; one feature is a category of five codes."""
+    import numpy as np
+
+    nodes = []
+
+    def grow(rows, level):
+        at = len(nodes)
+        nodes.append([rng.normal(), -1, -1, -1, 0.0, False, len(rows), np.zeros(5, bool)])
+        if level < depth and len(rows) > 1:
+            f = int(rng.integers(features))
+            if f == 0:
+                codes = rng.random(5) < 0.5
+                goes = codes[rows[:, 0].astype(int)]
+                nodes[at][3:6], nodes[at][7] = [0, 0.0, True], codes
+            else:
+                threshold = float(rng.choice(rows[:, f]))
+                goes = rows[:, f] <= threshold
+                nodes[at][3:6] = [f, threshold, False]
+            nodes[at][1] = grow(rows[goes], level + 1)
+            nodes[at][2] = grow(rows[~goes], level + 1)
+        return at
+
+    rows = np.column_stack([rng.integers(0, 5, 60), rng.integers(0, 4, (60, features - 1))]).astype(float)
+    grow(rows, 0)
+    value, left, right, feature, threshold, is_category, cover, codes = (np.array(c) for c in zip(*nodes))
+    return shapley.Tree(float(rng.uniform(0.1, 1)), value, left, right, feature, threshold, is_category.astype(bool), cover.astype(float), codes), rows
+
+
+def test_shapley_values_equal_the_sum_over_all_feature_subsets():
+    from itertools import combinations
+    from math import factorial
+
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    for features, depth in ((1, 3), (3, 4), (5, 5), (8, 4)):
+        made = [_random_tree(rng, features, depth) for _ in range(3)]
+        trees, x = [t for t, _ in made], made[0][1][:6]
+
+        def expectation(t, row, known, node=0):
+            if t.left[node] < 0:
+                return t.value[node]
+            l, r = t.left[node], t.right[node]
+            if t.feature[node] in known:
+                v = row[t.feature[node]]
+                goes = t.category_left[node, int(v)] if t.is_category[node] else v <= t.threshold[node]
+                return expectation(t, row, known, l if goes else r)
+            share = t.cover[l] / t.cover[node]
+            return share * expectation(t, row, known, l) + (1 - share) * expectation(t, row, known, r)
+
+        value = lambda row, known: sum(t.weight * expectation(t, row, known) for t in trees)
+        got = shapley.shapley_values(trees, x, features)
+        for row, phi in zip(x, got):
+            for i in range(features):
+                others = [f for f in range(features) if f != i]
+                want = sum(
+                    factorial(k) * factorial(features - 1 - k) / factorial(features) * (value(row, {*s, i}) - value(row, set(s)))
+                    for k in range(features) for s in combinations(others, k)
+                )
+                assert abs(phi[i] - want) < 1e-9
+            assert abs(phi.sum() + shapley.base_value(trees) - value(row, set(range(features)))) < 1e-9
+
+
+def test_auc_by_average_ranks(spark):
+    import random
+
+    from retentia.operators import ranking
+
+    rng = random.Random(5)
+    rows = [(rng.choice([None, 0.1, 0.2, 0.2, 0.5, rng.random()]), rng.choice([0, 1, 1, None])) for _ in range(600)]
+    below = lambda x: -1.0 if x is None else x
+    pos, neg = ([below(s) for s, y in rows if y == k] for k in (1, 0))
+    want = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg) / (len(pos) * len(neg))
+    df = spark.createDataFrame(rows, "score double, label int")
+    r = ranking.auc(df.repartition(5)).first()
+    assert (r.positives, r.negatives) == (len(pos), len(neg)) and abs(r.roc_auc - want) < 1e-6
+    assert ranking.auc(df.where("label = 1")).first().roc_auc is None and ranking.auc(df.limit(0)).first().positives == 0

@@ -8,6 +8,7 @@ from retentia import schemas
 from retentia.config import AnalysisPeriod
 from retentia.operators.dedup import dedup_usage
 from retentia.operators.spine import daily_spine
+from retentia.sources.manifest import FactStore
 from retentia.sources.store import backfill, read_fact
 from retentia.streaming.usage_refresh import FactPointer, start_usage_refresh
 
@@ -42,6 +43,25 @@ def test_stream_matches_batch(spark, tmpdir_path):
     assert days[dt.date(2024, 1, 2)][11] == 99 and days[dt.date(2024, 1, 5)][11] == 0
 
 
+def test_stream_into_a_fact_store_touches_its_months_alone(spark, tmpdir_path):
+    first = [usage("u1", "s", "2024-05-05", secs=30)]
+    later = [usage("u2", "s", "2024-02-02", secs=99)]
+    base = raw(spark, [account("a", "2024-01-01")], [sub("s", "a", "2024-01-01", mrr="10.00")])
+    landing, store, ckpt = (os.path.join(tmpdir_path, x) for x in ("landing", "store", "ckpt"))
+    facts = FactStore(spark, os.path.join(tmpdir_path, "fact"))
+    built = facts.refresh(daily_spine(base, P), P.windows)
+    seen = [built]
+    for rows in (first, later):  # each batch in a query of its own, as after a restart
+        spark.createDataFrame(rows, schemas.FEATURE_USAGE).write.mode("append").parquet(landing)
+        start_usage_refresh(spark, landing, store, base, P, FactStore(spark, facts.base), ckpt).awaitTermination()
+        seen.append(facts.snapshot())
+    moved = lambda a, b: {m for m in b.months if a.months[m] != b.months[m]}
+    assert [s.number for s in seen] == [1, 2, 3]
+    assert moved(seen[0], seen[1]) == {202404, 202405, 202406} and moved(seen[1], seen[2]) == {202401, 202402, 202403}
+    full = raw(spark, [account("a", "2024-01-01")], [sub("s", "a", "2024-01-01", mrr="10.00")], usages=first + later)
+    assert sorted(map(tuple, facts.read().drop("obs_ym").collect())) == sorted(map(tuple, daily_spine(full, P).collect()))
+
+
 def test_usage_id_moved_to_another_window(spark, tmpdir_path):
     first = [usage("u1", "s", "2024-05-05", secs=30)]
     later = [usage("u1", "s", "2024-01-02", secs=99)]

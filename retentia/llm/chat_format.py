@@ -5,7 +5,8 @@ one conversation with most of the rows spreads over the partitions.  A task
 formats a batch at once: the segments' lengths (header, text, footer) give
 cumulative offsets, and scatter indices copy all headers and texts into one
 preallocated buffer, which becomes an Arrow column as it is.  Each turn is
-one row of the output; ``read_back`` streams a conversation's turns in
+one row of the output, made in portions of 2 MB of text (or one long text);
+``read_back`` streams a conversation's turns in
 order and keeps digests only, so a long conversation needs no memory.
 
 Template of a turn:
@@ -40,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import shuffle_partitions, spread, string_buffers
+from retentia.llm.common import portions, shuffle_partitions, spread, string_buffers
 from retentia.session import ship_by_value
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -78,6 +79,12 @@ def escaped_column(col: pa.Array) -> pa.Array:
     return pc.replace_substring_regex(pc.fill_null(col.cast(pa.string()), ""), pattern=_ESCAPE, replacement=r"\1\\\2\3")
 
 
+#: Code points of a text that rows are range-partitioned by, after conversation, turn and role.
+RANGE_CHARS = 64
+#: Longer segments are copied as slices, shorter ones by scatter indices.
+LONG = 4096
+
+
 def assemble(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, bytes) of the rows' concatenations of these columns, given as (offsets, bytes)."""
     lengths = np.stack([np.diff(o) for o, _ in parts], axis=1)
@@ -85,13 +92,17 @@ def assemble(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     buffer = np.empty(int(starts[-1]), np.uint8)
     place = starts[:-1].reshape(lengths.shape)
     for k, (offsets, data) in enumerate(parts):
-        _, inside = spread(lengths[:, k])
-        buffer[np.repeat(place[:, k], lengths[:, k]) + inside] = data
+        n = lengths[:, k]
+        for row in np.flatnonzero(n > LONG).tolist():
+            buffer[place[row, k] : place[row, k] + n[row]] = data[offsets[row] : offsets[row + 1]]
+        short = np.flatnonzero(n <= LONG)
+        run, inside = spread(n[short])
+        buffer[place[short, k][run] + inside] = data[offsets[short][run] + inside]
     return starts[:: len(parts)], buffer
 
 
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches, 3, 1 << 21):
         for at in range(0, batch.num_rows, 2048):
             part = batch.slice(at, 2048)
             n = part.num_rows
@@ -114,7 +125,8 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     """One row per turn: conv_id, turn, seq (order among equal turns of a partition), formatted, mask_start, mask_end (null where there is no loss)."""
     n = shuffle_partitions(conversations.sparkSession)
     rows = conversations.select("conv_id", "turn", "role", "text")
-    ordered = rows.repartitionByRange(n, "conv_id", "turn", "role", "text").sortWithinPartitions("conv_id", "turn", "role", "text")
+    # The bounds of ranges go to the driver and every task, so of a text only its beginning is a key; texts that begin alike stay together.
+    ordered = rows.repartitionByRange(n, "conv_id", "turn", "role", F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.withColumn("seq", F.monotonically_increasing_id()).mapInArrow(_format, FORMATTED)
 
 

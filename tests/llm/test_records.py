@@ -1,8 +1,10 @@
 """Chat formatting and WARC archives: round trips, and the queries against their SQL."""
 
 import hashlib
+import tracemalloc
 
 import duckdb
+import pyarrow as pa
 import pytest
 from llm_helpers import collected, in_order, sha
 
@@ -31,6 +33,25 @@ def test_chat_round_trip(spark):
     assert chat_format.read_back(chat_format.format_turns(df.limit(0))).collect() == []
 
 
+def test_long_texts_are_formatted_in_bounded_memory():
+    texts = ["é<s>" * 400_000 + str(k) for k in range(64)]  # 2 MB each
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * 64), pa.array(range(64)), pa.array(["assistant"] * 64), pa.array(texts), pa.array(range(64))], names=["conv_id", "turn", "role", "text", "seq"])
+    tracemalloc.start()
+    for k, out in enumerate(chat_format._format(iter([batch]))):
+        assert out.num_rows == 1 and (k % 20 or chat_format.parse_turns(out.column(3)[0].as_py()) == [("assistant", texts[k])])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert k == 63 and peak < 100 << 20
+
+
+def test_equal_turns_in_text_order_over_partitions(spark):
+    # Many texts of one turn, alike in their beginnings: text order across range partitions.
+    rows = [(1, 0, "user", ("a" * 70 if k % 2 else f"{k % 7}" * 70) + f"{k * 7919 % 1000:04d}" + "\U0001F600" * (k % 3)) for k in range(400)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat_format.read_back(chat_format.format_turns(df)).collect()
+    assert [(r.n_turns, r.turns_sha256) for r in got] == [(400, sha("".join(f"user\n{t}\n" for t in sorted((r[3] for r in rows), key=lambda t: t.encode()))))]
+
+
 def test_warc_round_trip(spark):
     big = "".join(chr(0x100 + k % 5000) for k in range(90_000))
     crlf = "\r\n\r\nWARC/1.1\r\n\r\n0\r\n\r\n" * 50

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm_helpers import DOCS, awkward, collected, order_id, table
 from test_texts import clashing
 
@@ -183,7 +184,9 @@ def test_matches_are_found_in_a_space_without_their_directions():
     assert {(d, d % 50) for d in range(500)} <= got
 
 
-def test_common_subsequence():
+@pytest.mark.parametrize("cells", [1 << 22, 8])
+def test_common_subsequence(monkeypatch, cells):
+    monkeypatch.setattr(decontaminate, "CELLS", cells)
     rng = np.random.default_rng(0)
     for _ in range(50):
         a, b = rng.integers(0, 5, rng.integers(1, 12)).astype(np.uint64), rng.integers(0, 5, rng.integers(0, 15)).astype(np.uint64)
@@ -297,3 +300,23 @@ def test_the_kept_row_of_equal_texts_is_defined(spark):
     rows = [(1, text, "en", f"source {k}", k) for k in range(40)]
     kept = {tuple(minhash.keep_one(spark.createDataFrame(rows, DOCS).repartition(n)).collect()[0]) for n in (1, 3, 8)}
     assert len(kept) == 1
+
+
+def test_decontamination_of_short_equal_and_long_items(spark, monkeypatch):
+    rng = random.Random(41)
+    word = lambda: "".join(rng.choice("abcdefghijk") for _ in range(rng.randint(3, 7)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    long, mid = prose(6000), prose(40)
+    items = [(1, mid), (2, mid), (3, long), (4, "red Herring, blue"), (5, "zebra"), (6, "..."), (7, None), (8, ""), (9, prose(30))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(k, prose(120)) for k in range(40)]
+    rows += [(100, f"{prose(50)} {mid} {prose(50)}"), (101, f"{prose(90_000)} {mid}"), (102, f"{prose(30)} {long} {prose(30)}"), (103, f"{prose(9)} RED herring blue {prose(9)}"), (104, "red herring is blue zebra zebra")]
+    rows += [rows[40], (None, f"a {mid} b")]
+    want = sorted([(100, 1), (100, 2), (100, 1), (100, 2), (101, 1), (101, 2), (102, 3), (103, 4), (104, 5), (None, 1), (None, 2)], key=str)
+    docs = clashing(table(spark, rows))
+    for most in (20_000, 2):  # one block of items, and five with one latent space
+        monkeypatch.setattr(decontaminate, "ITEMS", most)
+        got = [(r.doc_id, r.item_id) for r in decontaminate.contaminated_pairs(docs, benchmark).collect()]
+        assert sorted(got, key=str) == want
+        kept = [r.doc_id for r in decontaminate.drop_contaminated(docs, benchmark).collect()]
+        assert sorted(kept, key=str) == sorted([*range(40), 103, 104], key=str)

@@ -36,7 +36,7 @@ class Snapshot:
     buckets: int
     #: Month (yyyymm) -> folder; months without rows have none.
     months: dict[int, str] = field(default_factory=dict)
-    #: Rows and NULLs by column, as counted while the months' rows were written.
+    #: Rows and NULLs by column of each month, counted from its files as they were written.
     checks: dict[int, dict[str, int]] = field(default_factory=dict)
 
 
@@ -130,7 +130,7 @@ class FactStore:
         return self.spark.table(name).select(*schemas.SPINE_COLUMNS, MONTH_COL)
 
     def _write(self, rows: DataFrame, buckets: int, placed: bool) -> tuple[str, dict[int, dict[str, int]]]:
-        """Writes rows as month folders; the folder, and per written month its rows and NULLs, counted by the written files' own rows."""
+        """Writes rows as month folders; the folder, and per written month its rows and NULLs, by one scan of the new files."""
         path = f"{self.base}/data/{uuid.uuid4().hex}"
         table = f"retentia_stage_{uuid.uuid4().hex}"
         dated = rows.select(*schemas.SPINE_COLUMNS).withColumn(MONTH_COL, month_key("observation_date"))

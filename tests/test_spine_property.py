@@ -1,5 +1,5 @@
-"""Property test: the aggregation-only Spark spine equals the literal SQL
-formulation (range join, row_number, lag per window) on random raw tables."""
+"""Property test: the Spark spine by change points equals the SQL oracle
+(unnested days, arg_max, a lookup of the day before) on random raw tables."""
 
 import datetime as dt
 from decimal import Decimal
@@ -74,7 +74,7 @@ def _oracle(tables, mode):
 @pytest.mark.parametrize("mode", [WINDOW_MODE, AS_OF_RUN_MODE])
 @settings(max_examples=10, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(accounts_st, subs_st, churn_st, usage_st, ticket_st)
-def test_spine_matches_literal_sql(spark, mode, accts, subs, churns, usages, tickets):
+def test_spine_matches_sql(spark, mode, accts, subs, churns, usages, tickets):
     tables = _tables(accts, subs, churns, usages, tickets)
     r = raw(spark, *[tables[i] for i in (0, 1, 3, 4, 2)])
     from retentia.plans.catalog import decimals_to_double

@@ -127,17 +127,19 @@ def test_drivers_rank_by_signed_contribution(spark):
     assert f.select(drivers.top_two(contribs).alias("t")).first()["t"] == "1. X3 | 2. X2"
 
 
-def test_tree_path_contributions_sum_to_margin():
+def test_tree_shapley_values_of_a_stump_sum_to_margin():
     import numpy as np
 
-    # one stump: x0 <= 0.5 -> 1.0 else 3.0, root prediction 2.0, weight 0.5
+    from retentia.operators import shapley
+
+    # one stump: x0 <= 0.5 -> 1.0 else 3.0, each for half of the rows, weight 0.5
     pred = np.array([2.0, 1.0, 3.0])
     left, right = np.array([1, -1, -1]), np.array([2, -1, -1])
     feat, thr = np.array([0, -1, -1]), np.array([0.5, 0, 0])
     is_cat, cat_left = np.zeros(3, bool), np.zeros((3, 64), bool)
-    table = {"trees": [(0.5, pred, left, right, feat, thr, is_cat, cat_left)], "n_features": 2}
-    c = drivers._path_contributions(table, np.array([[0.0, 9.0], [1.0, 9.0]]))
-    assert c.tolist() == [[-0.5, 0.0], [0.5, 0.0]]
+    trees = [shapley.Tree(0.5, pred, left, right, feat, thr, is_cat, np.array([2.0, 1.0, 1.0]), cat_left)]
+    c = shapley.shapley_values(trees, np.array([[0.0, 9.0], [1.0, 9.0]]), 2)
+    assert c.tolist() == [[-0.5, 0.0], [0.5, 0.0]] and shapley.base_value(trees) == 1.0
 
 
 def test_linear_drivers_end_to_end(spark):

@@ -161,3 +161,29 @@ def test_both_subscription_clipping_forms_agree(spark):
     b = daily_spine(r, DEFAULT_PERIOD, partitions=3)
     assert a.count() == b.count() > 0
     assert decimals_to_double(a).exceptAll(decimals_to_double(b)).count() == 0
+
+
+def test_account_with_most_subscriptions_stays_bounded(spark):
+    import datetime as dt
+    import random
+
+    from pyspark.sql import functions as F
+
+    from retentia.operators import spine
+
+    rng = random.Random(3)
+    day = lambda n: dt.date(2023, 12, 15) + dt.timedelta(days=n)
+    subs = []
+    for k in range(1500):  # account a has two thirds of all subscriptions
+        start = rng.randrange(120)
+        subs.append(sub(f"s{k:04d}", "a" if k % 3 else f"x{k}", str(day(start)), str(day(start + rng.randrange(60))), mrr=f"{rng.randrange(1, 50)}.00"))
+    p = AnalysisPeriod.quarters("2024-01-01", "2024-03-31", [("2024-01-01", "2024-02-10"), ("2024-02-11", "2024-03-31")])
+    r = raw(spark, [account("a", "2024-01-01")], subs)
+    months = spine.account_months(spine.spine_bounds(r, p), r.subscriptions, p)
+    assert months.select(F.max(F.size("subs"))).first()[0] <= 32 * 33 // 2
+    got = rows_by_day(spine.governing_subscription(r, p), "a")
+    assert len(got) == 91
+    for at, row in got.items():
+        for when, gov in ((at, row["gov"]), (at - dt.timedelta(days=1), row["gov_prev"])):
+            active = [(x[2], x[6], x[0]) for x in subs if x[1] == "a" and x[2] <= when <= x[3]]
+            assert (gov and gov["subscription_id"]) == (max(active)[2] if active else None)

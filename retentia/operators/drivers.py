@@ -7,10 +7,10 @@ Two matched model/attribution pairs, never mixed:
 * ``linear_drivers``: for a linear score, contribution = coefficient x value
   (against a zero baseline; categorical levels carry their own coefficient).
   Exact and additive, written as column expressions only.
-* ``tree_drivers``: for the boosted trees, Shapley values by the tree path
-  algorithm with the training rows' node covers (``shapley``); a row's values
-  add up to its margin less the base value.  The trees come from the saved
-  model's node table, whose size is bounded by the training parameters
+* ``boosted_drivers`` and ``tree_drivers``: for boosted trees (of ``boosting``,
+  or Spark ML's), Shapley values by the tree path algorithm with the training
+  rows' node covers (``shapley``); a row's values add up to its margin less
+  the base value.  Spark ML's trees come from the saved model's node table, whose size is bounded by the training parameters
   (trees x 2^(depth+1) nodes); they are shipped with the task closure and
   rows are handled in Arrow batches with numpy (``mapInPandas``).
 """
@@ -26,7 +26,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.operators import shapley
+from retentia.operators import boosting, shapley
+from retentia.operators.boosting import BoostedTrees
 from retentia.operators.features import CATEGORICAL, MODEL_FEATURES
 from retentia.operators.shapley import Tree
 from retentia.session import scratch_path, ship_by_value
@@ -192,6 +193,12 @@ def tree_drivers(spark: SparkSession, pipeline: PipelineModel, scored: DataFrame
     return rows.mapInPandas(walk, "account_id string, primary_risk_drivers string")
 
 
+def boosted_drivers(model: BoostedTrees, scored: DataFrame) -> DataFrame:
+    """(account_id, primary_risk_drivers) of rows that carry the model's inputs; feature order breaks ties."""
+    valued = boosting.attributions(model, scored, "_values")
+    return valued.select("account_id", top_two([(c, F.get("_values", F.lit(model.inputs.index(c)))) for c in MODEL_FEATURES]).alias("primary_risk_drivers"))
+
+
 # A small stored tree (not fitted) for the registered Shapley query. Splits are
 # (feature, threshold, left, right), left if value <= threshold; leaves are values; each node has its cover.
 STORED_FEATURES = ("daily_friction_events", "active_mrr_run_rate", "app_usage_momentum")

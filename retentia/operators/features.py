@@ -63,6 +63,16 @@ MODEL_FEATURES = (
 )
 
 
+# Means that the report rounds to 4 places and the model takes as they are.
+MEANS = ("daily_time_in_app", "avg_resolution_time", "avg_csat_score", "app_usage_momentum")
+
+
+def unrounded(features: DataFrame) -> DataFrame:
+    """The features with their means as the model takes them, where ``feature_window`` kept them."""
+    kept = {c: F.col(f"exact_{c}") for c in MEANS if f"exact_{c}" in features.columns}
+    return features.withColumns(kept).drop(*[f"exact_{c}" for c in kept])
+
+
 def _first_non_null(c: str) -> Column:
     return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(DATE)))
 
@@ -81,8 +91,9 @@ def account_profile(spine: DataFrame) -> DataFrame:
 
 
 def feature_window(
-    spine: DataFrame, days: int = config.FEATURE_WINDOW_DAYS, recent: int = config.FEATURE_RECENT_DAYS
+    spine: DataFrame, days: int = config.FEATURE_WINDOW_DAYS, recent: int = config.FEATURE_RECENT_DAYS, exact: bool = False
 ) -> DataFrame:
+    """``exact`` adds the unrounded means as ``exact_<name>``, for the model."""
     from retentia.plans.dashboard import latest_date
 
     latest = latest_date(spine)
@@ -124,6 +135,13 @@ def feature_window(
         (F.col("_r_n") > 0) & (F.col("_p_n") > 0),
         half_up_ratio(F.col("_r_sum") * F.col("_p_n"), F.col("_r_n") * (F.col("_p_sum") + F.col("_p_n"))),
     )
+    quotient = lambda a, b: F.when(F.col(b) > 0, F.col(a).cast("double") / F.col(b))
+    means = {
+        "daily_time_in_app": quotient("_t_sum", "_t_n"),
+        "avg_resolution_time": quotient("_res_sum", "_res_n") / 100,
+        "avg_csat_score": quotient("_csat_sum", "_csat_n") / 10,
+        "app_usage_momentum": F.coalesce(quotient("_r_sum", "_r_n") / (quotient("_p_sum", "_p_n") + 1), F.lit(1.0)),
+    }
     return g.select(
         "account_id",
         *CATEGORICAL,
@@ -143,6 +161,7 @@ def feature_window(
         F.coalesce(momentum, F.lit(1.0)).alias("app_usage_momentum"),
         "target_churn_flag",
         "first_seen_date",
+        *[means[c].alias(f"exact_{c}") for c in MEANS if exact],
     )
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from retentia import config
 from retentia.config import AnalysisPeriod
 from retentia.operators import drivers, model, quality, roster, split, survival
-from retentia.operators.features import feature_window
+from retentia.operators.features import MEANS, feature_window
 from retentia.operators.spine import daily_spine, spine_row_count
 from retentia.plans import dashboard as dash
 from retentia.session import apply_runtime_conf
@@ -92,27 +92,26 @@ def run_all(spark: SparkSession, raw: RawTables, period: AnalysisPeriod, out: st
     store.export_spine_csv(fact.drop(store.MONTH_COL), f"{out}/fact_daily_spine_export")
     written["fact_daily_spine_export"] = f"{out}/fact_daily_spine_export"
 
-    features = feature_window(fact).persist()
+    features = feature_window(fact, exact=True).persist()
     sp = split.cohort_split(features)
-    save("features", features)
+    save("features", features.drop(*[f"exact_{c}" for c in MEANS]))
     save("split_summary", split.split_summary(sp))
-    frame = model.model_frame(sp).join(sp.select("account_id", "split"), "account_id").persist()
-    pipe = model.fit_gbt(frame)
-    save("model_report", model.evaluate(pipe, frame))
-    scored = model.score_active(pipe, features)
-    scores = roster.risk_roster(scored, drivers.tree_drivers(spark, pipe, scored), fact)
+    frame = model.boosted_frame(sp)
+    trees = model.fit_boosted(frame)
+    save("model_report", model.evaluate(trees, frame))
+    scored = model.score_active(trees, features)
+    scores = roster.risk_roster(scored, drivers.boosted_drivers(trees, scored), fact)
     roster.write_scores(scores, f"{out}/live_flight_risk_scores")
     written["live_flight_risk_scores"] = f"{out}/live_flight_risk_scores"
     scores_back = roster.read_scores(spark, f"{out}/live_flight_risk_scores")
     save("portfolio_kpis", roster.portfolio_kpis(scores_back, config.RISK_THRESHOLD))
     curve = survival.survival_curve(fact)
-    written.update({f"model_{k}": v for k, v in model.save_models(pipe, curve, f"{out}/models").items()})
+    written.update({f"model_{k}": v for k, v in model.save_models(trees, curve, f"{out}/models").items()})
 
     for name, df in dashboard_sheets(fact, raw, period).items():
         save(f"dashboard/{name}", df)
     for name, df in quality_reports(raw, fact, period).items():
         save(f"quality/{name}", df)
-    frame.unpersist()
     features.unpersist()
     return written
 

@@ -232,7 +232,7 @@ _MODEL_RUNS: dict[tuple, dict] = {}
 
 
 def model_run(spark: SparkSession, sf: str) -> dict:
-    """Features -> split -> GBT fit -> held-out report -> active scores ->
+    """Features -> split -> boosted trees -> held-out report -> active scores ->
     tree drivers, once per (session, input folder)."""
     from retentia.operators import drivers, model
 
@@ -242,17 +242,15 @@ def model_run(spark: SparkSession, sf: str) -> dict:
         # One row per account, read by the split, the fit, scoring and drivers.
         features = feature_table(spark, sf)
         sp = split.cohort_split(features)
-        # Iterative training reads its input many times: keep it in memory
-        # (lineage ends at the Parquet fact table, so a lost block is recomputed).
-        frame = model.model_frame(sp).join(sp.select("account_id", "split"), "account_id").persist()
-        pipe = model.fit_gbt(frame)
-        scored = model.score_active(pipe, features)
+        frame = model.boosted_frame(sp)
+        trees = model.fit_boosted(frame)
+        scored = model.score_active(trees, features)
         _MODEL_RUNS[key] = {
             "features": features,
             "frame": frame,
-            "pipeline": pipe,
+            "model": trees,
             "scored": scored,
-            "drivers": drivers.tree_drivers(spark, pipe, scored),
+            "drivers": drivers.boosted_drivers(trees, scored),
             "fact": fact,
         }
     return _MODEL_RUNS[key]
@@ -262,7 +260,7 @@ def q_model_report(spark, sf):
     from retentia.operators import model
 
     r = model_run(spark, sf)
-    return model.evaluate(r["pipeline"], r["frame"])
+    return model.evaluate(r["model"], r["frame"])
 
 
 def q_risk_scores(spark, sf):

@@ -66,7 +66,7 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _FEATURES:
         path = scratch_path(spark, "features")
-        feature_window(fact_table(spark, sf_dir)).write.parquet(path)
+        feature_window(fact_table(spark, sf_dir), exact=True).write.parquet(path)
         _FEATURES[key] = spark.read.parquet(path)
     return _FEATURES[key]
 

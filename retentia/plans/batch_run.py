@@ -26,7 +26,7 @@ from retentia.operators.features import MEANS, feature_window
 from retentia.operators.spine import daily_spine, spine_row_count
 from retentia.plans import dashboard as dash
 from retentia.session import apply_runtime_conf
-from retentia.sources import csv_ingest, store
+from retentia.sources import rejects, store
 from retentia.sources.manifest import FactStore
 from retentia.sources.raw import RawTables
 
@@ -125,7 +125,9 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("retentia-batch").getOrCreate()
     period = config.REFERENCE_PERIOD if a.period == "reference" else config.DEFAULT_PERIOD
-    raw = csv_ingest.load_raw_csv(spark, csv_paths(a.csv_dir))
+    # Bad lines don't stop the batch: they stand in OUT/raw/<table> beside the loaded rows.
+    raw, rejected = rejects.load_checked_csv(spark, csv_paths(a.csv_dir), f"{a.out.rstrip('/')}/raw")
+    rejects.load_report(raw, rejected).show(100, truncate=False)
     for name, path in run_all(spark, raw, period, a.out, a.mode).items():
         print(f"{name}\t{path}")
 

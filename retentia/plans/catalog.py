@@ -18,8 +18,9 @@ from retentia.operators import features as feat
 from retentia.operators import quality, spine, split, survival
 from retentia.plans import dashboard as dash
 from retentia.plans.context import fact_table, feature_table, raw_tables
-from retentia.session import session_key
-from retentia.sources import adapter
+from retentia.session import scratch_path, session_key
+from retentia.sources import adapter, csv_ingest, rejects
+from retentia.sources.raw import RawTables
 
 P = DEFAULT_PERIOD
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +121,34 @@ def q_dropped_activity(spark, sf):
     return quality.dropped_activity(raw_tables(spark, sf), fact_table(spark, sf), P)
 
 
+# -- raw CSV exports -----------------------------------------------------------
+
+
+def q_csv_round_trip(spark, sf):
+    """The raw tables written as CSV exports, loaded and typed again: a profile of each column."""
+    paths = csv_ingest.write_raw_csv(raw_tables(spark, sf), scratch_path(spark, "csv"))
+    return rejects.column_profile(csv_ingest.load_raw_csv(spark, paths))
+
+
+def _damaged(raw: RawTables) -> RawTables:
+    """The raw tables as text with bad fields in rows that their ids name."""
+    hit = lambda c, n: F.substring_index(c, "-", -1).cast("bigint") % n == 0
+    text = lambda c, key, n, bad: F.when(hit(key, n), F.lit(bad)).otherwise(F.col(c).cast("string"))
+    return RawTables(
+        raw.accounts.withColumn("seats", text("seats", "account_id", 17, "many")),
+        raw.subscriptions.withColumn("start_date", text("start_date", "subscription_id", 11, "2000-02-30")),
+        raw.feature_usage.withColumn("usage_id", text("usage_id", "usage_id", 13, None)),
+        raw.support_tickets.withColumn("submitted_at", text("submitted_at", "ticket_id", 19, "noon")),
+        raw.churn_events.withColumn("refund_amount_usd", text("refund_amount_usd", "churn_event_id", 5, "1,00")),
+    )
+
+
+def q_csv_load_report(spark, sf):
+    """CSV exports of the raw tables with bad fields among them, loaded with a store of rejected rows: rows by outcome."""
+    paths = csv_ingest.write_raw_csv(_damaged(raw_tables(spark, sf)), scratch_path(spark, "csv-damaged"))
+    return rejects.load_report(*rejects.load_checked_csv(spark, paths, scratch_path(spark, "csv-loaded")))
+
+
 # -- features, split, survival -------------------------------------------------
 
 
@@ -186,6 +215,8 @@ def q_cross_filtered_by_cohort(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "usage_dedup": q_usage_dedup,
+    "csv_round_trip": q_csv_round_trip,
+    "csv_load_report": q_csv_load_report,
     "latest_churn": q_latest_churn,
     "spine_days": q_spine_days,
     "governing_subscription": q_governing_subscription,
@@ -282,7 +313,6 @@ def _linear_scores(spark, sf) -> DataFrame:
     accounts, written once per session to the shared folder (the app and
     KPIs read a written score table, as the original app reads its file)."""
     from retentia.operators import drivers, roster
-    from retentia.session import scratch_path
 
     key = (session_key(spark), sf.rstrip("/"))
     if key not in _SCORES:

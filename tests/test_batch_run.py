@@ -8,7 +8,7 @@ from retentia.config import DEFAULT_PERIOD
 from retentia.operators.spine import daily_spine
 from retentia.plans import batch_run
 from retentia.plans.context import raw_tables
-from retentia.sources import csv_ingest, store
+from retentia.sources import csv_ingest, rejects, store
 from retentia.sources.manifest import FactStore
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +17,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 def test_batch_run_from_csv(spark, tmpdir_path):
     paths = csv_ingest.write_raw_csv(raw_tables(spark, SF), os.path.join(tmpdir_path, "csv"))
-    raw = csv_ingest.load_raw_csv(spark, batch_run.csv_paths(os.path.dirname(paths["accounts"])))
+    raw, rejected = rejects.load_checked_csv(spark, batch_run.csv_paths(os.path.dirname(paths["accounts"])), os.path.join(tmpdir_path, "raw"))
+    assert rejected.count() == 0
     out = batch_run.run_all(spark, raw, DEFAULT_PERIOD, os.path.join(tmpdir_path, "out"))
     fact = FactStore(spark, out["fact_daily_spine"]).read()
     assert fact.count() == daily_spine(raw_tables(spark, SF), DEFAULT_PERIOD).count()

@@ -301,6 +301,13 @@ def q_risk_scores(spark, sf):
     return roster.risk_roster(r["scored"], r["drivers"], r["fact"])
 
 
+def q_portfolio_kpis_fitted(spark, sf):
+    """J10 on the fitted model's scores; ``portfolio_kpis`` is the same report on the fixed linear score."""
+    from retentia.operators import roster
+
+    return roster.portfolio_kpis(q_risk_scores(spark, sf))
+
+
 def q_risk_drivers_tree(spark, sf):
     return model_run(spark, sf)["drivers"]
 
@@ -381,5 +388,6 @@ QUERIES.update(
 MODEL_QUERIES: dict[str, Query] = {
     "model_report": q_model_report,
     "risk_scores": q_risk_scores,
+    "portfolio_kpis_fitted": q_portfolio_kpis_fitted,
     "risk_drivers_tree": q_risk_drivers_tree,
 }

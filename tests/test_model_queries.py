@@ -23,6 +23,12 @@ def test_model_report_scores_and_tree_drivers(spark):
     assert rows and all(0.0 <= r["flight_risk_score"] <= 1.0 and r["tenure_days"] >= 0 for r in rows)
     assert all(r["primary_risk_drivers"].startswith("1. ") and " | 2. " in r["primary_risk_drivers"] for r in rows)
     assert [r["flight_risk_score"] for r in rows] == sorted((r["flight_risk_score"] for r in rows), reverse=True)
+    (kpis,) = q["portfolio_kpis_fitted"](spark, SF).collect()
+    at_risk = [r for r in rows if r["flight_risk_score"] >= config.RISK_THRESHOLD]
+    assert (kpis["accounts"], kpis["at_risk_accounts"]) == (len(rows), len(at_risk))
+    assert abs(kpis["total_mrr"] - sum(r["active_mrr_run_rate"] for r in rows)) < 0.01
+    assert abs(kpis["at_risk_mrr"] - sum(r["active_mrr_run_rate"] for r in at_risk)) < 0.01
+    assert abs(kpis["avg_risk"] - sum(r["flight_risk_score"] for r in rows) / len(rows)) < 1e-4
     drivers = q["risk_drivers_tree"](spark, SF)
     assert drivers.count() == len(rows)
 

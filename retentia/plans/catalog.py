@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retentia import schemas
 from retentia.config import DEFAULT_PERIOD
 from retentia.operators import features as feat
 from retentia.operators import quality, spine, split, survival
 from retentia.plans import dashboard as dash
 from retentia.plans.context import fact_table, feature_table, raw_tables
-from retentia.session import scratch_path, session_key
+from retentia.session import scratch_path, session_key, ship_by_value
 from retentia.sources import adapter, csv_ingest, rejects
 from retentia.sources.raw import RawTables
+from retentia.streaming import usage_state
 
 P = DEFAULT_PERIOD
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +44,25 @@ def q_usage_dedup(spark, sf):
     return raw_tables(spark, sf).feature_usage
 
 
+_STREAMED: dict[tuple, str] = {}
+
+
+def q_usage_dedup_streamed(spark, sf):
+    """F1 on a stream: usage with its re-delivered copies lands as files; micro-batches of a quarter of them meet keyed state."""
+    key = (session_key(spark), sf.rstrip("/"))
+    if key not in _STREAMED:
+        path = scratch_path(spark, "usage-stream")
+        staging = adapter.feature_usage_staging(adapter.load_test_tables(spark, sf)["lineitem"])
+        staging.write.parquet(f"{path}/landing")
+        files = len(spark.read.parquet(f"{path}/landing").inputFiles())
+        ship_by_value(usage_state, schemas)
+        usage_state.start_usage_dedup(
+            spark, f"{path}/landing", f"{path}/store", f"{path}/checkpoint", files_a_batch=max(files // 4, 1)
+        ).awaitTermination()
+        _STREAMED[key] = f"{path}/store"
+    return usage_state.current_usage(spark, _STREAMED[key])
+
+
 def q_latest_churn(spark, sf):
     return spine.latest_churn(raw_tables(spark, sf).churn_events, P)
 
@@ -215,6 +236,7 @@ def q_cross_filtered_by_cohort(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "usage_dedup": q_usage_dedup,
+    "usage_dedup_streamed": q_usage_dedup_streamed,
     "csv_round_trip": q_csv_round_trip,
     "csv_load_report": q_csv_load_report,
     "latest_churn": q_latest_churn,

@@ -2,16 +2,17 @@
 
 The original pipeline has no streaming; its nearest relative is the
 idempotent window refresh.  This wires that refresh to Structured
-Streaming: usage files landing in a folder are read as a stream, each
-micro-batch is appended to the raw usage store, and only the refresh
-windows whose dates the batch touches are recomputed (window refresh
-replaces exactly those dates).  With a ``FactStore`` as its target only the
-touched months are read and written, and each batch publishes one snapshot;
+Streaming: usage files landing in a folder are read as a stream and
+de-duplicated against keyed state (``usage_state``: "earliest usage_date
+wins" over everything received so far, as in batch mode), and only the refresh
+windows that hold a changed row, on its new or its old date, are recomputed
+(window refresh replaces exactly those dates).  A batch reads its own rows,
+the state and the usage of the touched windows' months.  With a ``FactStore``
+as its target only the touched months of the panel are read and written, and each batch publishes one snapshot;
 with a ``FactPointer`` each batch writes a whole new version.  Because a window refresh is a pure function
 of the raw tables, replaying a batch after a failure rewrites the same rows
 - the sink is idempotent, so the checkpointed query is effectively
-exactly-once.  De-duplication of usage_id stays "earliest usage_date wins"
-over everything received so far, as in batch mode.
+exactly-once.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 
 from retentia import schemas
 from retentia.config import AnalysisPeriod
-from retentia.operators.dedup import dedup_usage
 from retentia.operators.spine import WINDOW_MODE, daily_spine, window_array
-from retentia.sources.manifest import FactStore
+from retentia.session import ship_by_value
+from retentia.sources.manifest import FactStore, touched_months
 from retentia.sources.raw import RawTables
 from retentia.sources.store import refresh_windows
+from retentia.streaming import usage_state
+from retentia.streaming.usage_state import current_usage, epoch_changes, start_usage_dedup
 
 
 @dataclass
@@ -110,23 +113,16 @@ def start_usage_refresh(
     """Start the streaming query; returns the ``StreamingQuery``.
 
     ``base`` supplies accounts, subscriptions, tickets and churn events; the
-    usage table is whatever has landed in ``usage_store`` so far."""
-    stream = spark.readStream.schema(schemas.FEATURE_USAGE).format(file_format).load(landing_dir)
+    usage table is what ``usage_store`` holds, changes by month."""
 
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        # Overwrite, not append: a replayed epoch rewrites the same folder.
-        batch.write.mode("overwrite").parquet(f"{usage_store}/epoch={epoch_id}")
-        landed = spark.read.parquet(usage_store).select(*schemas.FEATURE_USAGE.fieldNames())
-        usage = dedup_usage(landed)
-        raw = RawTables(base.accounts, base.subscriptions, usage, base.support_tickets, base.churn_events)
-        # A usage_id that came again may have left a window: the dates of its other copies count too.
-        copies = landed.join(batch.select("usage_id").distinct(), "usage_id", "left_semi")
-        touched = touched_windows(copies, period)
+    def after(epoch: int) -> None:
+        touched = touched_windows(epoch_changes(spark, usage_store, epoch), period)
         if not touched:
             return
         windows = [period.windows[w] for w in touched]
+        # A window's rows depend on no usage outside it: only its months are read.
+        usage = current_usage(spark, usage_store, touched_months(windows))
+        raw = RawTables(base.accounts, base.subscriptions, usage, base.support_tickets, base.churn_events)
         # In window mode a window's rows depend on that window alone, so only
         # the touched windows are rebuilt; as-of-run mode has one window.
         sub = AnalysisPeriod(period.cal_start, period.cal_end, tuple(windows)) if mode == WINDOW_MODE else period
@@ -136,6 +132,5 @@ def start_usage_refresh(
         else:
             pointer.swap(refresh_windows(spark, pointer.path, spine, windows))
 
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    ship_by_value(usage_state, schemas)
+    return start_usage_dedup(spark, landing_dir, usage_store, checkpoint_location, after, file_format, available_now)

@@ -65,7 +65,7 @@ class EarliestUsage(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = min((tuple(r[c] for c in ORDER) for r in rows), key=_place)
-        old = tuple(self.state.get()) if self.state.exists() else None
+        old = self.state.get()  # None for a new id
         if old is not None and _place(old) <= _place(new):
             return
         self.state.update(new)

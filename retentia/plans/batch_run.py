@@ -26,7 +26,7 @@ from retentia.operators.features import MEANS, feature_window
 from retentia.operators.spine import daily_spine, spine_row_count
 from retentia.plans import dashboard as dash
 from retentia.session import apply_runtime_conf
-from retentia.sources import rejects, store
+from retentia.sources import rejects, rollup, store
 from retentia.sources.manifest import FactStore
 from retentia.sources.raw import RawTables
 
@@ -41,22 +41,13 @@ def csv_paths(csv_dir: str) -> dict[str, str]:
     return out
 
 
-def dashboard_sheets(fact: DataFrame, raw: RawTables, period: AnalysisPeriod) -> dict[str, DataFrame]:
-    return {
-        "total_arr": dash.total_arr(fact),
-        "arpa": dash.arpa(fact),
-        "velocity_30d": dash.velocity_30d(fact),
-        "app_minutes_30d": dash.app_minutes_30d(fact),
-        "mrr_trajectory": dash.mrr_trajectory(fact),
-        "velocity_by_month": dash.velocity_by_month(fact),
-        "churned_arr_by_tier": dash.churned_arr_by_tier(fact),
-        "cohort_retention": dash.cohort_retention(fact),
+def dashboard_sheets(fact: DataFrame, raw: RawTables, period: AnalysisPeriod, months: rollup.MonthRollup) -> dict[str, DataFrame]:
+    """Sheets of sums and cohorts from the month rollup; the others from the panel or the raw tables."""
+    return rollup.sheets(months) | {
         "churn_reasons": dash.churn_reasons(raw.churn_events, period.cal_start, period.cal_end),
         "support_resolution": dash.support_resolution(raw.support_tickets, period.cal_start, period.cal_end),
         "growth_multiple": dash.growth_multiple(fact),
-        "at_risk_arr": dash.at_risk_arr(fact),
         "churned_account_arr": dash.churned_account_arr(fact),
-        "recognized_churned_arr": dash.recognized_churned_arr(fact),
     }
 
 
@@ -88,6 +79,8 @@ def run_all(spark: SparkSession, raw: RawTables, period: AnalysisPeriod, out: st
     n = facts.buckets(spine_row_count(raw, period, mode))
     facts.refresh(daily_spine(raw, period, mode, partitions=n), period.windows, placed=True)
     fact = facts.read()
+    months = rollup.MonthRollup(facts)
+    months.update()
     written["fact_daily_spine"] = f"{out}/fact_daily_spine"
     store.export_spine_csv(fact.drop(store.MONTH_COL), f"{out}/fact_daily_spine_export")
     written["fact_daily_spine_export"] = f"{out}/fact_daily_spine_export"
@@ -108,7 +101,7 @@ def run_all(spark: SparkSession, raw: RawTables, period: AnalysisPeriod, out: st
     curve = survival.survival_curve(fact)
     written.update({f"model_{k}": v for k, v in model.save_models(trees, curve, f"{out}/models").items()})
 
-    for name, df in dashboard_sheets(fact, raw, period).items():
+    for name, df in dashboard_sheets(fact, raw, period, months).items():
         save(f"dashboard/{name}", df)
     for name, df in quality_reports(raw, fact, period).items():
         save(f"quality/{name}", df)

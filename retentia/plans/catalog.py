@@ -18,9 +18,9 @@ from retentia.config import DEFAULT_PERIOD
 from retentia.operators import features as feat
 from retentia.operators import quality, spine, split, survival
 from retentia.plans import dashboard as dash
-from retentia.plans.context import fact_table, feature_table, raw_tables
+from retentia.plans.context import fact_table, feature_table, month_rollup, raw_tables
 from retentia.session import scratch_path, session_key, ship_by_value
-from retentia.sources import adapter, csv_ingest, rejects
+from retentia.sources import adapter, csv_ingest, rejects, rollup
 from retentia.sources.raw import RawTables
 from retentia.streaming import usage_state
 
@@ -407,6 +407,14 @@ QUERIES.update(
 )
 
 # Model-based queries: no SQL oracle (row-count check only).
+def _from_rollup(name: str) -> Query:
+    kind, sheet = rollup.SHEETS[name]
+    return lambda spark, sf: sheet(month_rollup(spark, sf).read(kind))
+
+
+#: The sheets again, from the month rollup's slices alone.
+QUERIES.update({f"rollup_{name}": _from_rollup(name) for name in rollup.SHEETS})
+
 MODEL_QUERIES: dict[str, Query] = {
     "model_report": q_model_report,
     "risk_scores": q_risk_scores,

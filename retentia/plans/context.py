@@ -15,7 +15,9 @@ from retentia.config import DEFAULT_PERIOD, AnalysisPeriod
 from retentia.operators.spine import WINDOW_MODE, daily_spine, spine_row_count
 from retentia.session import apply_runtime_conf, session_key
 from retentia.sources.adapter import raw_from_test_tables
+from retentia.sources.manifest import FactStore
 from retentia.sources.raw import RawTables
+from retentia.sources.rollup import MonthRollup
 from retentia.sources.store import default_buckets, materialize
 
 _FACTS: dict[tuple, DataFrame] = {}
@@ -54,6 +56,22 @@ def fact_table(
     return _FACTS[key]
 
 
+_ROLLUPS: dict[tuple, MonthRollup] = {}
+
+
+def month_rollup(spark: SparkSession, sf_dir: str) -> MonthRollup:
+    """The rollup of a fact store that holds the (window-mode) fact table."""
+    key = (session_key(spark), sf_dir.rstrip("/"))
+    if key not in _ROLLUPS:
+        from retentia.session import scratch_path
+
+        store = FactStore(spark, scratch_path(spark, "fact-store"))
+        store.refresh(fact_table(spark, sf_dir), DEFAULT_PERIOD.windows)
+        _ROLLUPS[key] = MonthRollup(store)
+        _ROLLUPS[key].update()
+    return _ROLLUPS[key]
+
+
 _FEATURES: dict[tuple, DataFrame] = {}
 
 
@@ -75,3 +93,4 @@ def reset() -> None:
     _FACTS.clear()
     _RAW.clear()
     _FEATURES.clear()
+    _ROLLUPS.clear()

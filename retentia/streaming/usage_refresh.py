@@ -8,7 +8,8 @@ wins" over everything received so far, as in batch mode), and only the refresh
 windows that hold a changed row, on its new or its old date, are recomputed
 (window refresh replaces exactly those dates).  A batch reads its own rows,
 the state and the usage of the touched windows' months.  With a ``FactStore``
-as its target only the touched months of the panel are read and written, and each batch publishes one snapshot;
+as its target only the touched months of the panel are read and written, with their slices of the month rollup, and each batch
+publishes one snapshot;
 with a ``FactPointer`` each batch writes a whole new version.  Because a window refresh is a pure function
 of the raw tables, replaying a batch after a failure rewrites the same rows
 - the sink is idempotent, so the checkpointed query is effectively
@@ -28,6 +29,7 @@ from retentia.operators.spine import WINDOW_MODE, daily_spine, window_array
 from retentia.session import ship_by_value
 from retentia.sources.manifest import FactStore, touched_months
 from retentia.sources.raw import RawTables
+from retentia.sources.rollup import MonthRollup
 from retentia.sources.store import refresh_windows
 from retentia.streaming import usage_state
 from retentia.streaming.usage_state import current_usage, epoch_changes, start_usage_dedup
@@ -129,6 +131,7 @@ def start_usage_refresh(
         spine = daily_spine(raw, sub, mode)
         if isinstance(pointer, FactStore):
             pointer.refresh(spine, windows)
+            MonthRollup(pointer).update()
         else:
             pointer.swap(refresh_windows(spark, pointer.path, spine, windows))
 

@@ -2,9 +2,9 @@
 
 The state holds one row per usage_id, the one that counts now; its order is
 ``dedup_usage``'s (NULLs first, then usage_date, then the other columns).  A
-micro-batch is first reduced to one row per usage_id and Arrow batch, so many
-copies of one id neither meet in one task nor reach the state; what is left is
-compared with the state alone.  Out come changes: ``change`` 1, the row counts
+micro-batch is first reduced to one row per usage_id and Arrow batch, so of
+many copies of one id only few meet in one task; what is left is compared with
+the state alone.  Out come changes: ``change`` 1, the row counts
 from now on, or -1, it no longer does.
 
 Changes are kept as ``usage_month=yyyymm/epoch=n`` folders.  An epoch's

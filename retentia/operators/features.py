@@ -17,6 +17,8 @@ aggregations combine map-side.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,16 +93,20 @@ def account_profile(spine: DataFrame) -> DataFrame:
 
 
 def feature_window(
-    spine: DataFrame, days: int = config.FEATURE_WINDOW_DAYS, recent: int = config.FEATURE_RECENT_DAYS, exact: bool = False
+    spine: DataFrame, days: int = config.FEATURE_WINDOW_DAYS, recent: int = config.FEATURE_RECENT_DAYS, exact: bool = False,
+    rows: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> DataFrame:
-    """``exact`` adds the unrounded means as ``exact_<name>``, for the model."""
+    """``exact`` adds the unrounded means as ``exact_<name>``, for the model.  ``rows`` gives the panel rows of the accounts' windows, and
+    maybe others, from (account_id, eval_end_date) and ``days``, where a reader can find them without all others."""
     from retentia.plans.dashboard import latest_date
 
     latest = latest_date(spine)
     prof = account_profile(spine).withColumnRenamed("target_churn_flag", "_label").withColumn(
         "eval_end_date", F.coalesce(F.date_sub(F.col("exit_date"), 1), latest)
     )
-    s = spine.join(prof, "account_id")
+    # One row an account: hashed, so that the panel is neither sorted nor moved where it comes by account.
+    s = rows(prof.select("account_id", "eval_end_date"), days) if rows else spine
+    s = s.join(prof.hint("shuffle_hash"), "account_id")
     s = s.where((F.col(DATE) > F.date_sub("eval_end_date", days)) & (F.col(DATE) <= F.col("eval_end_date")))
     recent_row = F.col(DATE) > F.date_sub("eval_end_date", recent)
     t = F.col("daily_time_in_app").cast("bigint")

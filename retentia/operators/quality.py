@@ -16,6 +16,7 @@ from retentia import schemas
 from retentia.functions.expressions import ts_on_days
 from retentia.config import AnalysisPeriod
 from retentia.sources.raw import RawTables
+from retentia.sources.store import month_key
 
 PRIMARY_KEYS = {
     "accounts": ["account_id"],
@@ -95,7 +96,11 @@ def dropped_activity(raw: RawTables, spine: DataFrame, period: AnalysisPeriod) -
     """H-6: usage / ticket activity inside the period that has no panel row
     (before signup, after churn, orphan subscription)."""
     lo, hi = F.lit(str(period.first_from)).cast("date"), F.lit(str(period.last_to)).cast("date")
-    keys = spine.select("account_id", "observation_date")
+    # The panel's days of an account and month as bits of one number: 30 rows less to join, made where the panel's rows are.
+    month, bit = month_key("observation_date"), F.expr("shiftleft(1, day(observation_date))")
+    panel = spine.groupBy("account_id", (F.col("obs_ym") if "obs_ym" in spine.columns else month).alias("_ym")).agg(F.bit_or(bit).alias("_days"))
+    days = lambda rows: rows.withColumn("_ym", month).join(panel, ["account_id", "_ym"], "left")
+    outside = F.coalesce(F.col("_days").bitwiseAND(bit), F.lit(0)) == 0
     # Rows per (subscription, day) and per (account, day) first, so a hot key
     # reaches each join as one row with its count.
     u = raw.feature_usage.where(F.col("usage_date").between(lo, hi)).groupBy(
@@ -103,12 +108,12 @@ def dropped_activity(raw: RawTables, spine: DataFrame, period: AnalysisPeriod) -
     ).agg(F.count(F.lit(1)).alias("_n"))
     u = u.join(raw.subscriptions.select("subscription_id", "account_id"), "subscription_id", "left")
     orphan_u = u.where(F.col("account_id").isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n"))
-    off_u = u.where(F.col("account_id").isNotNull()).join(keys, ["account_id", "observation_date"], "left_anti")
+    off_u = days(u.where(F.col("account_id").isNotNull())).where(outside)
     t = raw.support_tickets.where(ts_on_days("submitted_at", period.first_from, period.last_to))
     t = t.select("account_id", F.to_date("submitted_at").alias("observation_date")).groupBy("account_id", "observation_date").agg(
         F.count(F.lit(1)).alias("_n")
     )
-    off_t = t.join(keys, ["account_id", "observation_date"], "left_anti")
+    off_t = days(t).where(outside)
     return reduce(
         DataFrame.unionByName,
         [

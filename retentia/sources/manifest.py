@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia import schemas
-from retentia.sources.store import MONTH_COL, default_buckets, month_key
+from retentia.sources.store import MONTH_COL, default_buckets, month_key, write_buckets
 
 Window = tuple[dt.date, dt.date]
 
@@ -134,20 +134,20 @@ class FactStore:
         path = f"{self.base}/data/{uuid.uuid4().hex}"
         table = f"retentia_stage_{uuid.uuid4().hex}"
         dated = rows.select(*schemas.SPINE_COLUMNS).withColumn(MONTH_COL, month_key("observation_date"))
-        dated = dated if placed else dated.repartition(buckets, "account_id")
-        dated.write.partitionBy(MONTH_COL).bucketBy(buckets, "account_id").sortBy("account_id", "observation_date").option("path", path).saveAsTable(table)
+        dated = dated if placed else dated.repartition(buckets, "account_id").sortWithinPartitions("account_id", "observation_date")
+        write_buckets(dated, buckets, path, table)
         counts = self.spark.table(table).groupBy(MONTH_COL).agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in schemas.SPINE_COLUMNS])
         checks = {r[MONTH_COL]: {k: v for k, v in r.asDict().items() if k != MONTH_COL} for r in counts.collect()}
         self.spark.sql(f"DROP TABLE {table}")  # external: its files stay
         return path, checks
 
-    def stage(self, recomputed: DataFrame, windows: Sequence[Window], placed: bool = False) -> Snapshot:
+    def stage(self, recomputed: DataFrame, windows: Sequence[Window], placed: bool = False, buckets: int | None = None) -> Snapshot:
         """The next snapshot, written but not published: the windows' rows replaced by ``recomputed``'s.
 
         Months that lie in the windows whole aren't read.  ``placed``: the rows come hash-partitioned by account into the store's
-        bucket count (see ``buckets``); months touched in part bring their other rows by a shuffle all the same."""
+        bucket count (see ``buckets``; of a new store it is the given one, where there is one), each part by account and day; months touched in part bring their other rows by a shuffle all the same."""
         last = self.snapshot()
-        buckets = last.buckets if last else self.buckets()
+        buckets = last.buckets if last else buckets or self.buckets()
         months = touched_months(windows)
         rows = recomputed.where(_inside(windows)).select(*schemas.SPINE_COLUMNS)
         whole = whole_months(windows)
@@ -161,9 +161,9 @@ class FactStore:
         now.update({m: f"{path}/{MONTH_COL}={m}" for m in checks})
         return Snapshot((last.number if last else 0) + 1, buckets, now, known | checks)
 
-    def refresh(self, recomputed: DataFrame, windows: Sequence[Window], placed: bool = False) -> Snapshot:
+    def refresh(self, recomputed: DataFrame, windows: Sequence[Window], placed: bool = False, buckets: int | None = None) -> Snapshot:
         """Replaces the windows' rows and publishes; reads and writes the touched months alone."""
-        return self.publish(self.stage(recomputed, windows, placed))
+        return self.publish(self.stage(recomputed, windows, placed, buckets))
 
     def buckets(self, rows: int | None = None) -> int:
         last = self.snapshot()

@@ -187,3 +187,50 @@ def test_account_with_most_subscriptions_stays_bounded(spark):
         for when, gov in ((at, row["gov"]), (at - dt.timedelta(days=1), row["gov_prev"])):
             active = [(x[2], x[6], x[0]) for x in subs if x[1] == "a" and x[2] <= when <= x[3]]
             assert (gov and gov["subscription_id"]) == (max(active)[2] if active else None)
+
+
+def test_mrr_delta_looks_up_by_account_without_a_broadcast(spark, tmpdir_path):
+    import datetime as dt
+
+    from retentia.plans import catalog
+
+    at = lambda s: dt.datetime.fromisoformat(s)
+    spark.createDataFrame([(1, "n", 1, 10.0, "x"), (None, "n", 1, 10.0, "x")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmpdir_path}/customer.parquet")
+    orders = [(10, 1, "O", 100.0, at("1999-12-20"), "1-URGENT"), (11, 1, "O", 250.0, at("2000-02-03"), "3-MEDIUM")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmpdir_path}/orders.parquet")
+    lines = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame([], lines).write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    got = catalog.q_mrr_delta(spark, tmpdir_path)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    top = next(line for line in plan.splitlines() if "Join" in line)  # the panel's; those below it join accounts
+    assert "ShuffledHashJoin" in top and "observation_date" in top
+    rows = {str(r.observation_date): (r.active_mrr_run_rate, r.prev_day_mrr, r.net_mrr_delta) for r in got.collect()}
+    assert rows["2000-01-29"] == (1.0, 1.0, 0.0) and rows["2000-01-30"] == (0.0, 1.0, -1.0)  # order 10 lasts 40 days
+    assert rows["2000-02-03"] == (2.5, 0.0, 2.5) and rows["2000-02-04"] == (2.5, 2.5, 0.0)
+    assert len(rows) == 366 and rows["2000-01-01"] == (1.0, 0.0, 1.0)  # signed up before the calendar
+
+
+def test_panel_runs_are_few_and_expand_to_the_panel(spark):
+    from retentia.operators import spine
+
+    p = AnalysisPeriod.quarters("2024-01-01", "2024-03-31", [("2024-01-01", "2024-02-10"), ("2024-02-11", "2024-03-31")])
+    r = raw(spark, [account("a", "2023-12-01")], [sub("s1", "a", "2023-12-05", "2024-02-20", mrr="5.00"), sub("s2", "a", "2024-03-10", None, mrr="7.00")])
+    runs = spine.spine_runs(r, p)
+    # January; February to the window's end, to s1's end and to the month's end; March before and from s2 on.
+    assert sorted((str(x["first"]), str(x["last"])) for x in runs.collect()) == [
+        ("2024-01-01", "2024-01-31"), ("2024-02-01", "2024-02-10"), ("2024-02-11", "2024-02-20"),
+        ("2024-02-21", "2024-02-29"), ("2024-03-01", "2024-03-09"), ("2024-03-10", "2024-03-31"),
+    ]
+    days = {str(x["observation_date"]): (float(x["active_mrr_run_rate"]), float(x["net_mrr_delta"]), x["obs_ym"]) for x in spine.spine_of_runs(runs).collect()}
+    assert len(days) == 91
+    assert days["2024-02-20"] == (5.0, 0.0, 202402) and days["2024-02-21"] == (0.0, -5.0, 202402) and days["2024-03-10"] == (7.0, 7.0, 202403)
+
+
+def test_account_days_are_expanded_by_many_tasks(spark):
+    from retentia.operators import spine
+
+    p = AnalysisPeriod.quarters("2024-01-01", "2024-03-31", [("2024-01-01", "2024-03-31")])
+    r = raw(spark, [account(f"a{k}", "2023-12-01") for k in range(64)], [])
+    one = spine.spine_bounds(r, p).coalesce(1)
+    assert spine.spine_days(one).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spine.spine_days(one).count() == 64 * 91

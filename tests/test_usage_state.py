@@ -70,3 +70,15 @@ def test_replayed_epoch_leaves_the_same_rows(spark, tmpdir_path):
         write_changes(changes, store, epoch)
     assert epoch_changes(spark, store, 1).count() == 2
     assert [str(r.usage_date) for r in current_usage(spark, store).collect()] == ["2024-02-02"]
+
+
+def test_state_is_reached_by_slots_not_by_ids():
+    import pyarrow as pa
+
+    ids = [f"u{k}" for k in range(5000)]
+    columns = [pa.array(ids) if c == "usage_id" else pa.nulls(5000, pa.int32()) for c in usage_state.COLUMNS]
+    batch = pa.RecordBatch.from_arrays([pa.array([k % 7 for k in range(5000)], pa.int32()), *columns], names=["slot", *usage_state.COLUMNS])
+    (packed,) = usage_state.packed_slots(iter([batch]))
+    assert packed.num_rows == 7  # one row, and so one state value, a slot
+    back = [x for blob in packed.column(1) for x in pa.ipc.open_stream(blob.as_py()).read_all().column("usage_id").to_pylist()]
+    assert sorted(back) == sorted(ids)

@@ -9,8 +9,9 @@ levels, and a stop after ``patience`` trees without a better validation AUC.
   bin a level (at most ``max_levels``, else ``ValueError``).  NULL and NaN, and
   levels not seen in training, share one more bin, the missing one.
 * Rows are packed into chunks of codes and written to the shared folder; the
-  margins of the finished trees are cached beside them and come again from the
-  written chunks and the trees if an executor is lost.
+  margins of the finished trees are cached beside them, each tree added to
+  them once, and come again from the written chunks and the trees if an
+  executor is lost.
 * A level of a tree is one job: each task adds up gradient, hessian and rows by
   (node, input, bin), and the tables are summed tree-wise on the executors.
   Their size depends on nodes and bins, not on rows, and so does what the
@@ -50,8 +51,8 @@ from retentia.session import scratch_path, ship_by_value
 AUC_STEPS = 1 << 16
 UNIT_BITS = 28  # a gradient of the largest class weight is 2**28 units
 CHUNK = 1 << 14  # rows: a chunk's sums stay below 2**53, exact in a double
-TASK_ROWS = 250_000
-REFRESH = 16  # trees between two caches of the margins
+TASK_ROWS = 1 << 16
+REFRESH = 16  # trees after which the margins are made from the written chunks again
 
 
 @dataclass(frozen=True)
@@ -286,6 +287,11 @@ def _unpack(row, features: int):
     return np.frombuffer(bytes(row.codes), np.uint16).reshape(len(labels), features), labels, np.frombuffer(bytes(row.valid), np.uint8).astype(bool)
 
 
+def _grown(cached, tree: Tree):
+    """The cached chunks with a tree's leaves added to their margins, cached in turn."""
+    return cached.map(lambda c: (*c[:3], c[3] + _added([tree], c[0]))).persist()
+
+
 def _cached(chunks: DataFrame, base: float, trees: list[Tree], features: int):
     """RDD of (codes, labels, valid, margin): numpy arrays a chunk, margins by the trees so far."""
 
@@ -296,7 +302,7 @@ def _cached(chunks: DataFrame, base: float, trees: list[Tree], features: int):
     return chunks.rdd.map(load).persist()
 
 
-def _histograms(cached, newer: list[Tree], growing: Tree, slots: dict[int, int], widths: list[int], weights: tuple[float, float], unit: float, with_auc: bool):
+def _histograms(cached, growing: Tree, slots: dict[int, int], widths: list[int], weights: tuple[float, float], unit: float, with_auc: bool):
     """Sums of all rows: (nodes in question, bins, 3) whole numbers, and class counts by probability of the validation rows."""
     offsets = np.concatenate([[0], np.cumsum(widths)[:-1]]).astype(np.int64)
     bins = int(sum(widths))
@@ -305,10 +311,10 @@ def _histograms(cached, newer: list[Tree], growing: Tree, slots: dict[int, int],
         slot[at] = k
 
     def sums(chunks):
-        hist = np.zeros((len(slots) * bins, 3), np.int64)
+        hist = np.zeros((len(slots), bins, 3), np.int64)
         auc = np.zeros((2, AUC_STEPS + 1 if with_auc else 0), np.int64)
         for codes, labels, valid, margin in chunks:
-            prob = _probability(margin + _added(newer, codes))
+            prob = _probability(margin)
             if with_auc and valid.any():
                 step = np.rint(prob[valid] * AUC_STEPS).astype(np.int64)
                 for y in (0, 1):
@@ -319,10 +325,11 @@ def _histograms(cached, newer: list[Tree], growing: Tree, slots: dict[int, int],
             w = np.where(y == 1, weights[1], weights[0])
             g, h = np.rint((prob - y) * w / unit), np.rint(prob * (1 - prob) * w / unit)
             for f in range(len(widths)):
-                cell = at * bins + offsets[f] + part[:, f]
+                cell = at * widths[f] + part[:, f]
+                own = hist[:, offsets[f] : offsets[f] + widths[f]]
                 for k, v in enumerate((g, h, None)):
-                    hist[:, k] += np.bincount(cell, weights=v, minlength=len(hist)).astype(np.int64)
-        yield hist.reshape(len(slots), bins, 3), auc
+                    own[:, :, k] += np.bincount(cell, weights=v, minlength=len(slots) * widths[f]).astype(np.int64).reshape(-1, widths[f])
+        yield hist, auc
 
     return cached.mapPartitions(sums).treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1]))
 
@@ -361,17 +368,17 @@ def fit(rows: DataFrame, numeric: list[str], categorical: list[str], params: Boo
     widths, is_cat = model.widths(), [x in levels for x in inputs]
     chunks = _packed(model, rows, c.n)
 
-    cached, since = _cached(chunks, model.base, [], len(inputs)), 0
+    cached, old = _cached(chunks, model.base, [], len(inputs)), None
     best, best_at = -1.0, 0
     stump = _tree([_Node(0, 0.0, 0.0, 0)], max(widths), p.rate)
     trees: list[Tree] = []
     while True:
-        if len(trees) - since >= REFRESH:
-            old, since = cached, len(trees)
-            cached = _cached(chunks, model.base, trees, len(inputs))
-            old.unpersist()
-        newer = trees[since:]
-        hist, counts = _histograms(cached, newer, stump, {0: 0}, widths, weights, unit, True)
+        if trees:
+            # A tree is added to the cached margins once; every REFRESH trees they start from the chunks, which keeps the lineage short.
+            old, cached = cached, _cached(chunks, model.base, trees, len(inputs)) if len(trees) % REFRESH == 0 else _grown(cached, trees[-1])
+        hist, counts = _histograms(cached, stump, {0: 0}, widths, weights, unit, True)
+        if old is not None:
+            old.unpersist()  # the job above has read it
         if trees:
             auc = _auc(counts)
             model.valid_auc.append(auc)
@@ -384,7 +391,7 @@ def fit(rows: DataFrame, numeric: list[str], categorical: list[str], params: Boo
         level = [0]
         for depth in range(p.depth):
             if depth:
-                hist, _ = _histograms(cached, newer, _tree(nodes, max(widths), p.rate), _places(nodes, level), widths, weights, unit, False)
+                hist, _ = _histograms(cached, _tree(nodes, max(widths), p.rate), _places(nodes, level), widths, weights, unit, False)
             following = []
             for k, at in enumerate(level):
                 found = best_split(hist[k] * np.array([unit, unit, 1.0]), widths, is_cat, p)
@@ -439,8 +446,9 @@ def attributions(model: BoostedTrees, rows: DataFrame, name: str = "values") ->
     _ship()
 
     def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        ready = shapley.prepared(model.trees)
         for x in batches:
-            yield pd.Series(list(shapley.shapley_values(model.trees, model.codes(x).astype(float), len(model.inputs))))
+            yield pd.Series(list(shapley.shapley_values(model.trees, model.codes(x).astype(float), len(model.inputs), ready)))
 
     return rows.withColumn(name, F.pandas_udf(values, "array<double>")(_inputs(model)))
 

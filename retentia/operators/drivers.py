@@ -180,11 +180,12 @@ def tree_drivers(spark: SparkSession, pipeline: PipelineModel, scored: DataFrame
     rows = scored.select("account_id", vector_to_array("features").alias("x"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ready = shapley.prepared(table["trees"])
         for pdf in batches:
             if pdf.empty:
                 continue
             x = np.vstack(pdf["x"].to_numpy()).astype(float)
-            c = shapley.shapley_values(table["trees"], x, table["n_features"])
+            c = shapley.shapley_values(table["trees"], x, table["n_features"], ready)
             # Largest signed contribution first; feature order breaks ties.
             order = np.lexsort((np.tile(np.arange(c.shape[1]), (c.shape[0], 1)), -c), axis=1)
             text = [f"1. {labels[o[0]]} | 2. {labels[o[1]]}" for o in order]

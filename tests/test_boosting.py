@@ -190,3 +190,35 @@ def test_saved_model_and_attributions(spark, tmp_path):
     for r in boosting.attributions(m, boosting.probability(m, df)).collect():
         s = r.flight_risk_score
         assert abs(sum(r["values"]) + base - math.log(s / (1 - s))) < 1e-9
+
+
+def test_pattern_tables_serve_all_batches(monkeypatch):
+    import numpy as np
+
+    from retentia.operators import shapley
+    from retentia.operators.drivers import stored_tree
+
+    x = np.random.default_rng(2).uniform(0, 1000, (300, 3))
+    ready = shapley.prepared([stored_tree()])
+    made = []
+    monkeypatch.setattr(shapley, "_leaf_values", lambda *a: made.append(a))
+    tabled = np.concatenate([shapley.shapley_values([stored_tree()], x[k : k + 100], 3, ready) for k in (0, 100, 200)])
+    assert not made  # nothing is computed again by batch
+    monkeypatch.undo()
+    monkeypatch.setattr(shapley, "TABLE_BITS", 0)
+    assert np.array_equal(tabled, shapley.shapley_values([stored_tree()], x, 3))
+
+
+def test_a_tree_is_added_to_the_margins_once(spark):
+    import numpy as np
+
+    from retentia.operators import boosting
+    from retentia.operators.boosting import _Node, _tree
+
+    boosting._ship()
+    leaf = _tree([_Node(0, -2.0, 1.0, 4)], 2, 0.5)  # one leaf of value 2, weight 0.5
+    rows = (np.zeros((4, 1), np.uint16), np.zeros(4, np.uint8), np.zeros(4, bool), np.zeros(4))
+    cached = spark.sparkContext.parallelize([rows], 1)
+    for _ in range(3):
+        cached = boosting._grown(cached, leaf)
+    assert cached.first()[3].tolist() == [3.0] * 4

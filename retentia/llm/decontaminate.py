@@ -7,8 +7,7 @@
    ``FEATURES`` columns) gives the latent space: tasks multiply their rows
    with a thin matrix, the products are added up, and two power iterations
    with orthonormalisation find the leading right singular vectors.  It is
-   fitted on all items of the benchmark, in whatever number, and the passages
-   of ``SAMPLE_DOCS`` documents, the smallest by a hash of their id; a text is folded in as
+   fitted on all passages of all documents and items, in whatever number; a text is folded in as
    d V diag(1 / s), which makes unrelated texts nearly orthogonal.
 3. Every document is searched whole.  Sums of ``BLOCK`` words in the latent
    space make overlapping passages of 16, 32, 64 ... words; each item is
@@ -17,7 +16,7 @@
    cosine, all passages whose surroundings hold enough of the item's words
    for a match (``shared_words``, an exact bound over an inverted index of
    the items' rarer words).  So no match of step 4 is lost to the latent
-   space or to the documents that it is fitted on.
+   space.
 4. A candidate's surroundings are compared with the item word by word: the
    longest common subsequence must hold ``LCS_SHARE`` of the item's words,
    and of the IDF weight, and its answer part (the last quarter) must be
@@ -60,10 +59,9 @@ _U = np.uint64
 CELL_BITS = 18
 FEATURES = 4096
 RANK, OVERSAMPLE, POWER = 96, 8, 2
-SAMPLE_DOCS = 4096
-#: Passages of a sampled document that the space is fitted on, evenly spread.
-SAMPLE_PASSAGES = 16
 PASSAGE = 64
+#: Passages that are multiplied at once; a written row holds no more.
+PASSAGES_AT_ONCE = 1024
 BLOCK = 8
 SHORTEST = 16
 LEAST_WORDS = 5
@@ -144,30 +142,52 @@ def idf_weights(docs: DataFrame) -> np.ndarray:
     return np.log((1 + 1e-3) / (share + 1e-3)).astype(np.float32)
 
 
-def _passage_matrix(texts: pa.Array, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF rows of length 1 of the texts' passages."""
-    h, first = word_keys(*lowered(texts))
-    rows = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        starts = range(a, max(b - PASSAGE // 4, a + 1), PASSAGE) if b > a else ()
-        step = max(1, -(-len(starts) // SAMPLE_PASSAGES))
-        rows += [(s, min(s + PASSAGE, b)) for s in starts[::step]] if b > a else []
-    out = np.zeros((len(rows), FEATURES), np.float32)
-    for k, (s, e) in enumerate(rows):
-        out[k] = np.bincount(feature(h[s:e]), idf[cell(h[s:e])], FEATURES)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+def passage_bounds(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end word of each document's passages: ``PASSAGE`` words each, and the last one a rest of up to a quarter more."""
+    doc, inside = spread(np.where(np.diff(first) > 0, np.maximum(-(-(np.diff(first) - PASSAGE // 4) // PASSAGE), 1), 0))
+    start = first[doc] + inside * PASSAGE
+    last = np.concatenate([doc[1:] != doc[:-1], [True]])[: len(doc)]
+    return start, np.where(last, first[doc + 1], start + PASSAGE)
 
 
-def _products(idf: np.ndarray, q: np.ndarray, gram: bool):
+_PASSAGES = "sizes binary, features binary, weights binary"
+
+
+def _weighed_passages(idf: np.ndarray):
+    """Blocks of the texts' passages as TF-IDF rows of length 1, sparse: entries of each row, their columns and their values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches, 0, 1 << 20):
+            h, first = word_keys(*lowered(batch.column(0)))
+            start, end = passage_bounds(first)
+            for i in range(0, len(start), PASSAGES_AT_ONCE):
+                lengths = (end - start)[i : i + PASSAGES_AT_ONCE]
+                row, inside = spread(lengths)
+                own = h[start[i : i + PASSAGES_AT_ONCE][row] + inside]
+                key, at = np.unique(row * FEATURES + feature(own), return_inverse=True)
+                row, weight = key // FEATURES, np.bincount(at, idf[cell(own)])
+                norm = np.sqrt(np.bincount(row, weight * weight, len(lengths)))
+                columns = np.bincount(row, minlength=len(lengths)), key % FEATURES, weight / np.maximum(norm, 1e-9)[row]
+                packed = [pack(x.astype(t)) for x, t in zip(columns, (np.uint16, np.uint16, np.float32))]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], names=["sizes", "features", "weights"])
+
+    return run
+
+
+def _products(q: np.ndarray, gram: bool):
     """A'AQ (in parts of rows), or (AQ)'AQ, over the task's passages A."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((q.shape[1], q.shape[1]) if gram else q.shape, np.float64)
+        a = np.zeros((PASSAGES_AT_ONCE, FEATURES), np.float32)
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                a = _passage_matrix(batch.column(0).slice(i, 64), idf)
-                y = a @ q
-                total += (y.T if gram else a.T) @ y
+            for sizes, features, weights in zip(*(batch.column(k) for k in range(3))):
+                sizes, features, weights = (unpack(x.as_py()) for x in (sizes, features, weights))
+                place = np.repeat(np.arange(len(sizes)), sizes), features
+                a[place] = weights
+                y = a[: len(sizes)] @ q
+                total += (y.T if gram else a[: len(sizes)].T) @ y
+                a[place] = 0
         parts = np.split(total.ravel(), q.shape[1] if gram else 32)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([pack(x) for x in parts], pa.binary())], names=["part", "sums"])
 
@@ -175,25 +195,21 @@ def _products(idf: np.ndarray, q: np.ndarray, gram: bool):
 
 
 def latent_space(docs: DataFrame, items: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """FEATURES x rank: the projection V diag(1 / s)."""
+    """FEATURES x rank: the projection V diag(1 / s), fitted on all passages of all rows of both tables."""
     spark = docs.sparkSession
     path = scratch_path(spark, "latent")
-    ids = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    # Broadcast: SAMPLE_DOCS ids.
-    chosen = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    own = items.select(F.coalesce("text", F.lit("")).alias("text"))
-    sample.select("text").unionByName(own).repartition(min(16, shuffle_partitions(spark))).write.parquet(path)
-    sample = spark.read.parquet(path)
+    for table in (docs, items):
+        table.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_weighed_passages(idf), _PASSAGES).write.mode("append").parquet(path)
+    passages_ = spark.read.schema(_PASSAGES).parquet(path)
     size = RANK + OVERSAMPLE
     q = np.linalg.qr(np.random.default_rng(5).standard_normal((FEATURES, size)))[0].astype(np.float32)
     for _ in range(POWER):
-        parts = _sum_parts(sample.mapInArrow(_products(idf, q, False), _SUMS))
-        z = np.concatenate([parts[k] for k in sorted(parts)]).reshape(FEATURES, size)
-        # Directions that the sample lacks stay random.
+        parts = _sum_parts(passages_.mapInArrow(_products(q, False), _SUMS))
+        z = np.concatenate([parts[k] for k in sorted(parts)]).reshape(FEATURES, size) if parts else np.zeros((FEATURES, size))
+        # Directions that the passages lack stay random.
         q = np.linalg.qr(z + 1e-9 * np.random.default_rng(6).standard_normal(z.shape))[0].astype(np.float32)
-    parts = _sum_parts(sample.mapInArrow(_products(idf, q, True), _SUMS))
-    value, vector = np.linalg.eigh(np.concatenate([parts[k] for k in sorted(parts)]).reshape(size, size))
+    parts = _sum_parts(passages_.mapInArrow(_products(q, True), _SUMS))
+    value, vector = np.linalg.eigh(np.concatenate([parts[k] for k in sorted(parts)]).reshape(size, size) if parts else np.zeros((size, size)))
     value, vector = value[::-1][:RANK], vector[:, ::-1][:, :RANK]
     good = value > max(value[0], 1e-12) * 1e-6
     return (q @ vector[:, good] / np.sqrt(value[good])).astype(np.float32)

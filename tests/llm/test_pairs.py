@@ -320,3 +320,29 @@ def test_decontamination_of_short_equal_and_long_items(spark, monkeypatch):
         assert sorted(got, key=str) == want
         kept = [r.doc_id for r in decontaminate.drop_contaminated(docs, benchmark).collect()]
         assert sorted(kept, key=str) == sorted([*range(40), 103, 104], key=str)
+
+
+def test_latent_space_is_fitted_on_every_passage(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    # 40 passages of words that no other has; a rest of 10 words is in the last one's row.
+    text = [" ".join(f"w{k}x{j}" for j in range(64 if k < 39 else 74)) for k in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(text)), (None, "nulls count too " * 30), (2, None), (3, "")], "doc_id long, text string")
+    items = spark.createDataFrame([], "item_id long, text string")
+    idf = decontaminate.idf_weights(docs)
+    space = decontaminate.latent_space(docs, items, idf)
+    assert space.shape[1] >= 41
+    for t in [*text, "w39x70 w39x71 w39x72 w39x73", "nulls count too"]:
+        h, _ = decontaminate.word_keys(*decontaminate.lowered(pa.array([t])))
+        v = (space[decontaminate.feature(h)] * idf[decontaminate.cell(h)][:, None]).sum(axis=0)
+        assert np.linalg.norm(v) > 0.5
+
+
+def test_passage_bounds():
+    import numpy as np
+
+    start, end = decontaminate.passage_bounds(np.cumsum([0, 0, 1, 64, 80, 81, 0]))
+    assert list(zip(start.tolist(), end.tolist())) == [(0, 1), (1, 65), (65, 145), (145, 209), (209, 226)]
+    start, end = decontaminate.passage_bounds(np.array([0, 0]))
+    assert not len(start) and not len(end)

@@ -15,8 +15,10 @@ levels, and a stop after ``patience`` trees without a better validation AUC.
 * A level of a tree is one job: each task adds up gradient, hessian and rows by
   (node, input, bin), and the tables are summed tree-wise on the executors.
   Their size depends on nodes and bins, not on rows, and so does what the
-  driver holds.  Gradients are whole numbers of a fixed small unit, so sums,
-  and with them the trees, don't depend on how rows are partitioned.
+  driver holds; their number is that of the tasks, at most ``TASKS`` a core.
+  Gradients are whole numbers of a fixed small unit, so sums, and with them
+  the trees, don't depend on how rows are partitioned, and of two children
+  only the smaller is summed: the other is their parent less it, exactly.
 * Best-first growth: a node's best split doesn't depend on other nodes, so all
   nodes down to ``depth`` are searched level by level (``depth`` jobs a tree)
   and the splits are then taken by falling gain until the tree has ``leaves``.
@@ -52,6 +54,7 @@ AUC_STEPS = 1 << 16
 UNIT_BITS = 28  # a gradient of the largest class weight is 2**28 units
 CHUNK = 1 << 14  # rows: a chunk's sums stay below 2**53, exact in a double
 TASK_ROWS = 1 << 16
+TASKS = 2  # a core at most: a level sends one table a task, however many rows there are
 REFRESH = 16  # trees after which the margins are made from the written chunks again
 
 
@@ -165,6 +168,11 @@ def _bins(train: DataFrame, numeric: list[str], categorical: list[str], p: Boost
     return bounds, levels
 
 
+def _task_count(rows: int, cores: int) -> int:
+    """Tasks of a level's job: one for every ``TASK_ROWS`` rows, as long as the cores have no more than ``TASKS`` each."""
+    return max(1, min(-(-rows // TASK_ROWS), TASKS * cores))
+
+
 def _packed(model: BoostedTrees, rows: DataFrame, n: int) -> DataFrame:
     """Chunks (codes, labels, valid) of the rows, written to the shared folder."""
     _ship()
@@ -183,7 +191,7 @@ def _packed(model: BoostedTrees, rows: DataFrame, n: int) -> DataFrame:
 
     spark = rows.sparkSession
     path = scratch_path(spark, "boosting-chunks")
-    rows = rows.repartition(max(1, -(-n // TASK_ROWS)))
+    rows = rows.repartition(_task_count(n, spark.sparkContext.defaultParallelism))
     rows.mapInPandas(pack, "codes binary, labels binary, valid binary").write.parquet(path)
     return spark.read.parquet(path)
 
@@ -388,13 +396,15 @@ def fit(rows: DataFrame, numeric: list[str], categorical: list[str], params: Boo
                 break
         total = hist[0, : widths[0]].sum(axis=0)
         nodes = [_Node(0, total[0] * unit, total[1] * unit, int(total[2]))]
-        level = [0]
+        level, tables = [0], {0: hist[0]}
         for depth in range(p.depth):
             if depth:
-                hist, _ = _histograms(cached, _tree(nodes, max(widths), p.rate), _places(nodes, level), widths, weights, unit, False)
+                summed = _smaller_children(nodes, level)
+                hist, _ = _histograms(cached, _tree(nodes, max(widths), p.rate), _places(nodes, summed), widths, weights, unit, False)
+                tables = _all_children(nodes, tables, dict(zip(summed, hist)))
             following = []
-            for k, at in enumerate(level):
-                found = best_split(hist[k] * np.array([unit, unit, 1.0]), widths, is_cat, p)
+            for at in level:
+                found = best_split(tables[at] * np.array([unit, unit, 1.0]), widths, is_cat, p)
                 if found is None:
                     continue
                 node = nodes[at]
@@ -414,6 +424,22 @@ def fit(rows: DataFrame, numeric: list[str], categorical: list[str], params: Boo
     return model
 
 
+def _smaller_children(nodes: list[_Node], level: list[int]) -> list[int]:
+    """The smaller child of each pair that has a node in ``level``: the only ones whose rows are summed."""
+    wanted = set(level)
+    return [min(node.children, key=lambda at: nodes[at].n) for node in nodes if node.children and wanted & set(node.children)]
+
+
+def _all_children(nodes: list[_Node], above: dict[int, np.ndarray], summed: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """The tables of both children where one was summed: the other's is the parent's less it, in whole numbers."""
+    out = {}
+    for at, node in enumerate(nodes):
+        for own, other in (node.children, node.children[::-1]) if node.children else ():
+            if own in summed:
+                out[own], out[other] = summed[own], above[at] - summed[own]
+    return out
+
+
 def _places(nodes: list[_Node], level: list[int]) -> dict[int, int]:
     """Number in the flat tree (breadth first) -> slot, for the nodes of a level."""
     kept = [0]

@@ -222,3 +222,22 @@ def test_a_tree_is_added_to_the_margins_once(spark):
     for _ in range(3):
         cached = boosting._grown(cached, leaf)
     assert cached.first()[3].tolist() == [3.0] * 4
+
+
+def test_tasks_of_a_level_are_bounded_and_only_smaller_children_are_summed(spark, monkeypatch):
+    assert [boosting._task_count(n, 12) for n in (0, 1, boosting.TASK_ROWS + 1, 10**6, 10**9)] == [1, 1, 2, 16, 24]
+    real, asked = boosting._histograms, []
+
+    def spy(cached, growing, slots, *rest):
+        asked.append(len(slots))
+        return real(cached, growing, slots, *rest)
+
+    monkeypatch.setattr(boosting, "_histograms", spy)
+    m = boosting.fit(spark.createDataFrame(_rows(900, 4), SCHEMA), NUMERIC, CATEGORICAL, BoostParams(trees=3, patience=99))
+    assert len(m.trees) == 3 and max(asked) <= 2 ** (BoostParams().depth - 2)
+    left, right = boosting._Node(1, 0.0, 0.0, 7), boosting._Node(1, 0.0, 0.0, 3)
+    nodes = [boosting._Node(0, 0.0, 0.0, 10, children=(1, 2)), left, right]
+    assert boosting._smaller_children(nodes, [1]) == [2] and boosting._smaller_children(nodes, []) == []
+    whole, part = np.array([[5, 6, 10]]), np.array([[1, 2, 3]])
+    out = boosting._all_children(nodes, {0: whole}, {2: part})
+    assert out[2].tolist() == part.tolist() and out[1].tolist() == [[4, 4, 7]]

@@ -234,3 +234,28 @@ def test_account_days_are_expanded_by_many_tasks(spark):
     one = spine.spine_bounds(r, p).coalesce(1)
     assert spine.spine_days(one).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert spine.spine_days(one).count() == 64 * 91
+
+
+def test_shuffles_grow_with_the_tables(spark, tmpdir_path, monkeypatch):
+    import datetime as dt
+
+    from retentia import session
+    from retentia.plans import context
+
+    day = dt.datetime(2000, 1, 5)
+    spark.createDataFrame([(1, "n", 1, 10.0, "x")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmpdir_path}/customer.parquet")
+    spark.createDataFrame([(k, 1, "O", 100.0, day, "3-MEDIUM") for k in range(30)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmpdir_path}/orders.parquet")
+    lines = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame([], lines).write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    name, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set(name, 5)
+        session.size_shuffles(spark, session.SHUFFLE_ROWS * 5)
+        assert spark.conf.get(name) == "5"
+        monkeypatch.setattr(session, "SHUFFLE_ROWS", 4)
+        context.raw_tables(spark, tmpdir_path)
+        assert spark.conf.get(name) == "8"  # 30 orders
+        session.size_shuffles(spark, 3)
+        assert spark.conf.get(name) == "8"
+    finally:
+        spark.conf.set(name, before)

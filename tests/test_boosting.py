@@ -234,7 +234,7 @@ def test_tasks_of_a_level_are_bounded_and_only_smaller_children_are_summed(spark
 
     monkeypatch.setattr(boosting, "_histograms", spy)
     m = boosting.fit(spark.createDataFrame(_rows(900, 4), SCHEMA), NUMERIC, CATEGORICAL, BoostParams(trees=3, patience=99))
-    assert len(m.trees) == 3 and max(asked) <= 2 ** (BoostParams().depth - 2)
+    assert len(m.valid_auc) == 3 and max(asked) <= 2 ** (BoostParams().depth - 2)
     left, right = boosting._Node(1, 0.0, 0.0, 7), boosting._Node(1, 0.0, 0.0, 3)
     nodes = [boosting._Node(0, 0.0, 0.0, 10, children=(1, 2)), left, right]
     assert boosting._smaller_children(nodes, [1]) == [2] and boosting._smaller_children(nodes, []) == []

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retentia.llm.common import portions
+from retentia.llm.common import bound_batches, portions
 from retentia.session import ship_by_value
 
 #: A space amid white space: pre-tokens may run across it.
@@ -337,6 +337,7 @@ def _ids(tokens: list[bytes], pattern: str, cache_words: int, at: int):
 def encode_rows(docs: DataFrame, rank_file: str, pattern: str, cache_words: int = 100_000) -> DataFrame:
     """The document rows with token_ids (array of int), n_tokens and the digest of the decoded bytes; input columns of these names are replaced."""
     tokens = load_ranks(rank_file)
+    bound_batches(docs.sparkSession)
     kept = docs.drop("token_ids", "n_tokens", "decoded_sha256")
     schema = T.StructType(kept.schema.fields + [T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("decoded_sha256", T.StringType())])
     return kept.mapInArrow(_ids(tokens, pattern, cache_words, kept.columns.index("text")), schema)

@@ -34,6 +34,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+BATCH_BYTES = 1 << 22
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Rows pass between the JVM and Python tasks in batches of at most ``BATCH_BYTES`` (or one longer row), however long their texts
+    are: both sides hold whole batches outside the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def did(col: str = "doc_id") -> Column:
     return F.coalesce(F.col(col).cast("long"), F.lit(NULL_ID)).alias("_rt_did")
 
@@ -191,14 +200,16 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(start, offsets)
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 1 << 20) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, in blocks so that the working memory stays small."""
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 1 << 15) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, in blocks that stay in the processor's cache and share their powers."""
     out = np.empty(len(start), np.uint64)
+    up, down = powers(min(block, len(data)))
     i = 0
     while i < len(start):
         stop = max(i + 1, int(np.searchsorted(end, start[i] + block, "right")))
         lo, hi = int(start[i]), int(end[stop - 1])
-        up, down = powers(hi - lo)
+        if hi - lo > len(up):  # one long word
+            up, down = powers(hi - lo)
         c = prefix_hash(BYTE_VALUE[data[lo:hi]], up)
         a, b = start[i:stop] - lo, end[i:stop] - lo
         out[i:stop] = mix((c[b] - c[a]) * down[a] + (b - a).astype(np.uint64))

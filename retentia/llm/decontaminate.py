@@ -51,7 +51,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import mix, portions, shuffle_partitions, spread, string_buffers, word_hashes, words
+from retentia.llm.common import bound_batches, mix, portions, shuffle_partitions, spread, string_buffers, word_hashes, words
 from retentia.llm.repeats import pack, unpack
 from retentia.session import scratch_path, ship_by_value
 
@@ -61,7 +61,7 @@ FEATURES = 4096
 RANK, OVERSAMPLE, POWER = 96, 8, 2
 PASSAGE = 64
 #: Passages that are multiplied at once; a written row holds no more.
-PASSAGES_AT_ONCE = 1024
+PASSAGES_AT_ONCE = 4096
 BLOCK = 8
 SHORTEST = 16
 LEAST_WORDS = 5
@@ -164,8 +164,13 @@ def _weighed_passages(idf: np.ndarray):
                 lengths = (end - start)[i : i + PASSAGES_AT_ONCE]
                 row, inside = spread(lengths)
                 own = h[start[i : i + PASSAGES_AT_ONCE][row] + inside]
-                key, at = np.unique(row * FEATURES + feature(own), return_inverse=True)
-                row, weight = key // FEATURES, np.bincount(at, idf[cell(own)])
+                # Sorted with their weights in the lower half.
+                entry = np.sort((row * FEATURES + feature(own)).astype(np.uint64) << _U(32) | idf[cell(own)].view(np.uint32))
+                key = (entry >> _U(32)).astype(np.int64)
+                new = np.flatnonzero(np.diff(key, prepend=-1))
+                weight = np.add.reduceat(entry.astype(np.uint32).view(np.float32).astype(np.float64), new)
+                key = key[new]
+                row = key // FEATURES
                 norm = np.sqrt(np.bincount(row, weight * weight, len(lengths)))
                 columns = np.bincount(row, minlength=len(lengths)), key % FEATURES, weight / np.maximum(norm, 1e-9)[row]
                 packed = [pack(x.astype(t)) for x, t in zip(columns, (np.uint16, np.uint16, np.float32))]
@@ -174,20 +179,49 @@ def _weighed_passages(idf: np.ndarray):
     return run
 
 
+#: Rows of a table that are gathered at once, so that they stay in the processor's cache.
+ROWS_AT_ONCE = 1 << 11
+
+
+def weighed_sums(table: np.ndarray, row: np.ndarray, weight: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
+    """The sum of table[row] * weight over each run of entries; runs follow each other, have these sizes and aren't empty.
+
+    Runs are cut into groups of ``width`` entries, the last one filled up with weights of zero; a small product adds up each group."""
+    cut = -(-sizes // width)
+    first = np.cumsum(cut) - cut
+    run, inside = spread(sizes)
+    place = first[run] * width + inside
+    n = int(cut.sum())
+    rows, weights = np.zeros(n * width, np.int64), np.zeros(n * width, table.dtype)
+    rows[place], weights[place] = row, weight
+    sums = np.empty((n, 1, table.shape[1]), table.dtype)
+    step = max(ROWS_AT_ONCE // width, 1)
+    some = np.empty((min(step, n) * width, table.shape[1]), table.dtype)
+    for i in range(0, n, step):
+        part, k = slice(i * width, (i + step) * width), min(step, n - i)
+        np.take(table, rows[part], axis=0, out=some[: k * width], mode="clip")
+        np.matmul(weights[part].reshape(k, 1, width), some[: k * width].reshape(k, width, -1), out=sums[i : i + k])
+    return sums[:, 0] if n == len(sizes) else np.add.reduceat(sums[:, 0], first, axis=0)
+
+
 def _products(q: np.ndarray, gram: bool):
     """A'AQ (in parts of rows), or (AQ)'AQ, over the task's passages A."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((q.shape[1], q.shape[1]) if gram else q.shape, np.float64)
-        a = np.zeros((PASSAGES_AT_ONCE, FEATURES), np.float32)
         for batch in batches:
             for sizes, features, weights in zip(*(batch.column(k) for k in range(3))):
                 sizes, features, weights = (unpack(x.as_py()) for x in (sizes, features, weights))
-                place = np.repeat(np.arange(len(sizes)), sizes), features
-                a[place] = weights
-                y = a[: len(sizes)] @ q
-                total += (y.T if gram else a[: len(sizes)].T) @ y
-                a[place] = 0
+                sizes = sizes.astype(np.int64)
+                y = weighed_sums(q, features, weights, sizes, int(sizes.max()))
+                if gram:
+                    total += y.T @ y
+                    continue
+                order = np.argsort(features, kind="stable")
+                counts = np.bincount(features, minlength=FEATURES)
+                there = np.flatnonzero(counts)
+                sums = weighed_sums(y, np.repeat(np.arange(len(sizes)), sizes)[order], weights[order], counts[there], 16)
+                total[slice(None) if len(there) == FEATURES else there] += sums
         parts = np.split(total.ravel(), q.shape[1] if gram else 32)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([pack(x) for x in parts], pa.binary())], names=["part", "sums"])
 
@@ -392,6 +426,16 @@ def check_match(item: np.ndarray, weight: np.ndarray, text: np.ndarray) -> tuple
     return shares if shares[0] >= LCS_SHARE and shares[1] >= LCS_SHARE and shares[2] >= ANSWER_SHARE else None
 
 
+def pairs_added(rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For runs of rows of these sizes: the sums of each run's neighbours in pairs, an odd last row alone."""
+    run, inside = spread(-(-sizes // 2))
+    at = (np.cumsum(sizes) - sizes)[run] + 2 * inside
+    out = rows[at]
+    two = np.flatnonzero(2 * inside + 1 < sizes[run])
+    out[two] += rows[at[two] + 1]
+    return out
+
+
 def search(offsets: np.ndarray, data: np.ndarray, items: Items) -> Iterator[tuple[int, int, float, float, float, float]]:
     """(document, item, cosine, and the shares of ``check_match``) of each match."""
     h, first = word_keys(offsets, data)
@@ -400,39 +444,39 @@ def search(offsets: np.ndarray, data: np.ndarray, items: Items) -> Iterator[tupl
     if not len(doc_of):
         return
     starts = first[doc_of] + inside * BLOCK
-    sums = np.empty((len(starts), items.table.shape[1]), np.float32)
-    for i in range(0, len(starts), 1 << 10):  # in steps that stay in the cache
-        j = min(i + (1 << 10), len(starts))
-        a, b = starts[i], starts[j] if j < len(starts) else len(h)
-        sums[i:j] = np.add.reduceat(items.table[feature(h[a:b])] * items.idf[cell(h[a:b])][:, None], starts[i:j] - a, axis=0)
-    total = np.zeros((len(sums) + 1, sums.shape[1]), np.float64)
-    np.cumsum(sums, axis=0, out=total[1:])
     blocks = np.bincount(doc_of, minlength=len(n))
     before = np.concatenate([[0], np.cumsum(blocks)])
+    sums = weighed_sums(items.table, feature(h), items.idf[cell(h)], np.diff(starts, append=len(h)), BLOCK)
     best: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
+    # Sums of each document's halves of passages: lengths are powers of two and overlap by half.
+    half, halves, size = sums, blocks, 1
     for length, (which, vectors) in items.by_length.items():
-        width = length // BLOCK
-        stride = max(width // 2, 1)
+        stride = max(length // BLOCK // 2, 1)
+        while size < stride:
+            half, halves, size = pairs_added(half, halves), -(-halves // 2), size * 2
         doc, k = spread(passages(blocks, length))
         s = before[doc] + k * stride
-        e = np.minimum(s + width, before[doc + 1])
-        for i in range(0, len(s), 1 << 13):
-            part = slice(i, i + (1 << 13))
-            v = (total[e[part]] - total[s[part]]).astype(np.float32)
-            norm = np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+        at_half = (np.cumsum(halves) - halves)[doc] + k
+        two = k + 1 < halves[doc]
+        for i in range(0, len(s), 1 << 11):
+            part = slice(i, i + (1 << 11))
+            v = half[at_half[part]]
+            more = np.flatnonzero(two[part])
+            v[more] += half[at_half[part][more] + 1]
+            norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-9)[:, None]
             for c0 in range(0, len(vectors), AT_ONCE):
-                cosine = v @ vectors[c0 : c0 + AT_ONCE].T / norm
-                for w, c in zip(*np.nonzero(cosine >= COSINE)):
+                product = v @ vectors[c0 : c0 + AT_ONCE].T
+                for w, c in zip(*(x.tolist() for x in np.divmod(np.flatnonzero(product >= COSINE * norm), product.shape[1]))):
                     d = int(doc[i + w])
                     at = int(first[d] + (s[i + w] - before[d]) * BLOCK)
-                    best.setdefault((d, int(which[c0 + c])), []).append((at, min(at + length, int(first[d + 1])), float(cosine[w, c])))
+                    best.setdefault((d, int(which[c0 + c])), []).append((at, min(at + length, int(first[d + 1])), float(product[w, c] / norm[w, 0])))
     for d, k, j in zip(*(x.tolist() for x in shared_words(h, first, items.index))):
         width = int(items.index.length[k]) // BLOCK
         s = int(before[d]) + j * max(width // 2, 1)
         at = int(first[d]) + (s - int(before[d])) * BLOCK
         found = best.setdefault((d, k), [])
         if all(at != x[0] for x in found):
-            v = total[min(s + width, int(before[d + 1]))] - total[s]
+            v = sums[s : min(s + width, int(before[d + 1]))].sum(axis=0)
             found.append((at, min(at + width * BLOCK, int(first[d + 1])), float(v @ items.units[k] / max(float(np.linalg.norm(v)), 1e-9))))
     names = h.tolist() if best else []
     for (d, k), found in best.items():
@@ -484,6 +528,7 @@ def _clean(items: Items, at: int):
 def item_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
     """The benchmark in blocks, folded into one latent space of the documents and all items."""
     spark = docs.sparkSession
+    bound_batches(spark)
     path = scratch_path(spark, "items")
     benchmark.select("item_id", "text").orderBy("item_id", "text").write.parquet(path)
     written = spark.read.parquet(path)

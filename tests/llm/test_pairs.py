@@ -346,3 +346,50 @@ def test_passage_bounds():
     assert list(zip(start.tolist(), end.tolist())) == [(0, 1), (1, 65), (65, 145), (145, 209), (209, 226)]
     start, end = decontaminate.passage_bounds(np.array([0, 0]))
     assert not len(start) and not len(end)
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(3)
+    table_ = rng.standard_normal((50, 7)).astype(np.float32)
+    for sizes in ([], [1], [8, 8, 3], rng.integers(1, 40, 300), [5000, 1]):
+        sizes = np.array(sizes, np.int64)
+        row, weight = rng.integers(0, 50, sizes.sum()), rng.random(sizes.sum()).astype(np.float32)
+        ends = np.cumsum(sizes)
+        want = [(table_[row[a:b]] * weight[a:b, None]).sum(axis=0) for a, b in zip(ends - sizes, ends)]
+        for width in (1, 8, 64):
+            got = decontaminate.weighed_sums(table_, row, weight, sizes, width)
+            assert got.shape == (len(sizes), 7) and np.allclose(got, np.reshape(want, (-1, 7)), rtol=1e-3, atol=1e-3)
+    sizes = np.array([0, 1, 2, 5, 0])
+    assert decontaminate.pairs_added(np.arange(8.0)[:, None], sizes).ravel().tolist() == [0, 3, 7, 11, 7]
+
+
+def test_products_of_sparse_passages():
+    rng = np.random.default_rng(4)
+    texts = pa.array([" ".join(f"w{k}" for k in rng.integers(0, 900, n)) for n in (0, 1, 63, 64, 500, 3000)])
+    idf = rng.random(1 << decontaminate.CELL_BITS).astype(np.float32)
+    rows = []  # each passage on its own, plainly
+    for t in texts:
+        h, first = decontaminate.word_keys(*decontaminate.lowered(pa.array([t])))
+        for a, b in zip(*decontaminate.passage_bounds(first)):
+            x = np.bincount(decontaminate.feature(h[a:b]), idf[decontaminate.cell(h[a:b])], decontaminate.FEATURES)
+            rows.append(x / np.linalg.norm(x))
+    dense = np.array(rows)
+    q = rng.standard_normal((decontaminate.FEATURES, 9)).astype(np.float32)
+    packed = list(decontaminate._weighed_passages(idf)([pa.RecordBatch.from_arrays([texts], names=["text"])]))
+    for gram, want in ((False, dense.T @ (dense @ q)), (True, (dense @ q).T @ (dense @ q))):
+        [out] = decontaminate._products(q, gram)(iter(packed))
+        got = np.concatenate([decontaminate.unpack(x.as_py()) for x in out.column("sums")]).reshape(want.shape)
+        assert np.allclose(got, want, atol=1e-3 * np.abs(want).max())
+
+
+def test_steps_take_batches_of_few_bytes(spark):
+    docs = spark.range(1, 9, 1, 1).selectExpr("id as doc_id", "repeat('many words ', 200000) as text")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["size"])
+
+    corpus_pipeline.encoding(spark, docs, "")
+    assert max(r.size for r in docs.mapInArrow(sizes, "size long").collect()) < 5 << 20
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")

@@ -92,13 +92,17 @@ def not_null_violations(spine: DataFrame) -> DataFrame:
     return row.select(stacked.alias("x")).select("x.column_name", "x.null_rows")
 
 
-def dropped_activity(raw: RawTables, spine: DataFrame, period: AnalysisPeriod) -> DataFrame:
+def dropped_activity(raw: RawTables, spine: DataFrame, period: AnalysisPeriod, runs: DataFrame | None = None) -> DataFrame:
     """H-6: usage / ticket activity inside the period that has no panel row
-    (before signup, after churn, orphan subscription)."""
+    (before signup, after churn, orphan subscription).  ``runs``: the stored runs of the panel (``spine.panel_runs``), whose days then
+    aren't expanded."""
     lo, hi = F.lit(str(period.first_from)).cast("date"), F.lit(str(period.last_to)).cast("date")
     # The panel's days of an account and month as bits of one number: 30 rows less to join, made where the panel's rows are.
-    month, bit = month_key("observation_date"), F.expr("shiftleft(1, day(observation_date))")
-    panel = spine.groupBy("account_id", (F.col("obs_ym") if "obs_ym" in spine.columns else month).alias("_ym")).agg(F.bit_or(bit).alias("_days"))
+    month, bit = month_key("observation_date"), F.expr("shiftleft(1L, day(observation_date))")
+    if runs is not None:  # a run lies in one month
+        panel = runs.groupBy("account_id", F.col("obs_ym").alias("_ym")).agg(F.bit_or(F.expr("shiftleft(1L, day(last) + 1) - shiftleft(1L, day(first))")).alias("_days"))
+    else:
+        panel = spine.groupBy("account_id", (F.col("obs_ym") if "obs_ym" in spine.columns else month).alias("_ym")).agg(F.bit_or(bit).alias("_days"))
     days = lambda rows: rows.withColumn("_ym", month).join(panel, ["account_id", "_ym"], "left")
     outside = F.coalesce(F.col("_days").bitwiseAND(bit), F.lit(0)) == 0
     # Rows per (subscription, day) and per (account, day) first, so a hot key

@@ -259,3 +259,32 @@ def test_shuffles_grow_with_the_tables(spark, tmpdir_path, monkeypatch):
         assert spark.conf.get(name) == "8"
     finally:
         spark.conf.set(name, before)
+
+
+def test_months_are_gathered_behind_one_shuffle(spark):
+    from retentia.operators import spine
+
+    p = AnalysisPeriod.quarters("2024-01-01", "2024-03-31", [("2024-01-01", "2024-02-10"), ("2024-02-11", "2024-03-31")])
+    r = raw(spark, [account("a", "2024-01-05")], [sub("s1", "a", "2023-12-20", "2024-02-15", mrr="5.00")])
+    months = spine.account_months(spine.spine_bounds(r, p), r.subscriptions, p, partitions=3)
+    above = months._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+    assert above.count("Exchange") == 1  # of spans, not of months
+    got = {x["obs_ym"]: (len(x["stays"]), [(str(y["d1"]), str(y["d2"])) for y in x["subs"]]) for x in months.collect()}
+    assert got == {
+        202401: (1, [("2023-12-31", "2024-01-31")]),
+        202402: (2, [("2024-01-31", "2024-02-15")]),
+        202403: (1, []),
+    }
+
+
+def test_dropped_activity_from_runs(spark):
+    from retentia.operators import spine
+
+    p = AnalysisPeriod.quarters("2024-01-01", "2024-03-31", [("2024-01-01", "2024-02-10"), ("2024-02-11", "2024-03-31")])
+    subs = [sub("s1", "a", "2023-12-20", "2024-02-15", mrr="5.00"), sub("s2", "b", "2024-01-31", "2024-03-31", mrr="7.00")]
+    days = ["2024-01-01", "2024-01-05", "2024-01-31", "2024-02-29", "2024-03-31"]
+    r = raw(spark, [account("a", "2024-01-05"), account("b", "2024-01-31")], subs, usages=[usage(f"u{k}{s}", s, d) for s in ("s1", "s2", "gone") for k, d in enumerate(days)])
+    runs = spine.spine_runs(r, p)
+    of_days = quality.dropped_activity(r, spine.spine_of_runs(runs), p).collect()
+    assert sorted(quality.dropped_activity(r, spine.spine_of_runs(runs), p, runs=runs).collect()) == sorted(of_days)
+    assert {x["kind"]: x["dropped_rows"] for x in of_days} == {"usage_orphan_subscription": 5, "usage_outside_panel": 3, "tickets_outside_panel": 0}

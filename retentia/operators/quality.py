@@ -103,30 +103,24 @@ def dropped_activity(raw: RawTables, spine: DataFrame, period: AnalysisPeriod, r
         panel = runs.groupBy("account_id", F.col("obs_ym").alias("_ym")).agg(F.bit_or(F.expr("shiftleft(1L, day(last) + 1) - shiftleft(1L, day(first))")).alias("_days"))
     else:
         panel = spine.groupBy("account_id", (F.col("obs_ym") if "obs_ym" in spine.columns else month).alias("_ym")).agg(F.bit_or(bit).alias("_days"))
-    days = lambda rows: rows.withColumn("_ym", month).join(panel, ["account_id", "_ym"], "left")
+    days = lambda rows, key: rows.withColumn("_ym", month).join(panel.withColumnRenamed("account_id", key), [key, "_ym"], "left")
     outside = F.coalesce(F.col("_days").bitwiseAND(bit), F.lit(0)) == 0
+    dropped = lambda kind, hit: F.struct(F.lit(kind).alias("kind"), F.coalesce(F.sum(F.when(hit, F.col("_n"))), F.lit(0)).cast("bigint").alias("dropped_rows"))
     # Rows per (subscription, day) and per (account, day) first, so a hot key
     # reaches each join as one row with its count.
     u = raw.feature_usage.where(F.col("usage_date").between(lo, hi)).groupBy(
         "subscription_id", F.col("usage_date").alias("observation_date")
     ).agg(F.count(F.lit(1)).alias("_n"))
     u = u.join(raw.subscriptions.select("subscription_id", "account_id"), "subscription_id", "left")
-    orphan_u = u.where(F.col("account_id").isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n"))
-    off_u = days(u.where(F.col("account_id").isNotNull())).where(outside)
+    # Orphans are told by their null account alone; they go through the join by their own ids, as nulls would meet in one task.
+    u = days(u.withColumn("_key", F.coalesce("account_id", "subscription_id")), "_key")
+    orphan = F.col("account_id").isNull()
     t = raw.support_tickets.where(ts_on_days("submitted_at", period.first_from, period.last_to))
     t = t.select("account_id", F.to_date("submitted_at").alias("observation_date")).groupBy("account_id", "observation_date").agg(
         F.count(F.lit(1)).alias("_n")
     )
-    off_t = days(t).where(outside)
-    return reduce(
-        DataFrame.unionByName,
-        [
-            orphan_u.select(F.lit("usage_orphan_subscription").alias("kind"), F.col("n").alias("dropped_rows")),
-            off_u.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n")).select(
-                F.lit("usage_outside_panel").alias("kind"), F.col("n").alias("dropped_rows")
-            ),
-            off_t.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n")).select(
-                F.lit("tickets_outside_panel").alias("kind"), F.col("n").alias("dropped_rows")
-            ),
-        ],
-    )
+    counts = [
+        u.agg(F.array(dropped("usage_orphan_subscription", orphan), dropped("usage_outside_panel", ~orphan & outside)).alias("x")),
+        days(t, "account_id").agg(F.array(dropped("tickets_outside_panel", outside)).alias("x")),
+    ]
+    return reduce(DataFrame.unionByName, [c.select(F.inline("x")) for c in counts])

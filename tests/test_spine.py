@@ -288,3 +288,5 @@ def test_dropped_activity_from_runs(spark):
     of_days = quality.dropped_activity(r, spine.spine_of_runs(runs), p).collect()
     assert sorted(quality.dropped_activity(r, spine.spine_of_runs(runs), p, runs=runs).collect()) == sorted(of_days)
     assert {x["kind"]: x["dropped_rows"] for x in of_days} == {"usage_orphan_subscription": 5, "usage_outside_panel": 3, "tickets_outside_panel": 0}
+    plan = quality.dropped_activity(r, spine.spine_of_runs(runs), p, runs=r.accounts.selectExpr("account_id", "202401 as obs_ym", "signup_date as first", "signup_date as last"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("usage_date") and plan.count("Aggregate [subscription_id") == 1  # usage is counted in one pass

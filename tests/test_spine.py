@@ -236,6 +236,31 @@ def test_account_days_are_expanded_by_many_tasks(spark):
     assert spine.spine_days(one).count() == 64 * 91
 
 
+def test_accounts_of_one_file_are_fanned_out_by_many_tasks(spark, tmpdir_path, monkeypatch):
+    import datetime as dt
+
+    from retentia import session
+    from retentia.plans import catalog, context
+
+    cores = spark.sparkContext.defaultParallelism
+    customers = [(k, "n", 1, 10.0, "x") for k in range(1, 8 * cores + 1)] + [(1, "again", 1, 10.0, "x"), (None, "n", 1, 10.0, "x")]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").coalesce(1).write.parquet(f"{tmpdir_path}/customer.parquet")
+    spark.createDataFrame([(1, 2, "F", 100.0, dt.datetime(2000, 1, 5), "1-URGENT")], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmpdir_path}/orders.parquet")
+    lines = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame([], lines).write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    raw = context.raw_tables(spark, tmpdir_path)
+    assert len(raw.accounts.inputFiles()) == cores
+    assert raw.accounts.count() == len(customers)  # copies of a key and null keys stay
+    assert raw.accounts.rdd.getNumPartitions() == cores
+    days = catalog.q_spine_days(spark, tmpdir_path).groupBy("account_id").count().collect()
+    one = {r["account_id"]: r["count"] for r in days}
+    assert one["A-2"] == 5  # churned on January 5
+    assert one["A-1"] == 2 * 366 and one["A-3"] == 366 - 19  # two rows of one key; signed up on January 20
+    monkeypatch.setattr(session, "SHUFFLE_ROWS", 4)
+    assert session.tasks_for(spark, 8 * cores + 2) == 2 * cores + 1
+    assert session.tasks_for(spark, 1) == cores
+
+
 def test_shuffles_grow_with_the_tables(spark, tmpdir_path, monkeypatch):
     import datetime as dt
 
